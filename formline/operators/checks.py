@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,20 +116,18 @@ def merge_report(
     keys: Sequence[str] = GAME_KEY,
     metadata: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row: sizes before and after, entities on both sides, lost entities, duplicates, missing metadata."""
+    """(metric, value): sizes before and after, entities on both sides, lost ones, duplicates, missing metadata."""
     chosen = [c for c in lookup.columns if c != entity] if metadata is None else list(metadata)
-    left = before.agg(F.count(F.lit(1)).alias("input_rows"), F.count_distinct(entity).alias("players_in_features"))
-    right = lookup.agg(F.count(F.lit(1)).alias("lookup_rows"), F.count_distinct(entity).alias("players_in_lookup"))
-    after = merged.agg(
-        F.count(F.lit(1)).alias("merged_rows"),
-        *[missing_count(column).alias(f"missing_{column}") for column in chosen],
-    )
-    absent = missing_entities(before, lookup, entity).agg(F.count(F.lit(1)).alias("missing_players"))
-    doubled = duplicate_keys(merged, keys).select(F.col("surplus_rows").alias("duplicate_keys"))
-    return _side_by_side([left, right, after, absent, doubled]).withColumns({
-        "input_columns": F.lit(len(before.columns)).cast("long"),
-        "merged_columns": F.lit(len(merged.columns)).cast("long"),
-    })
+    rows = F.count(F.lit(1))
+    return _metrics([
+        (before, {"input_rows": rows, "input_columns": F.max(F.lit(len(before.columns))),
+                  "players_in_features": F.count_distinct(entity)}),
+        (lookup, {"lookup_rows": rows, "players_in_lookup": F.count_distinct(entity)}),
+        (merged, {"merged_rows": rows, "merged_columns": F.max(F.lit(len(merged.columns)))}
+         | {f"missing_{column}": missing_count(column) for column in chosen}),
+        (missing_entities(before, lookup, entity), {"missing_players": rows}),
+        (duplicate_groups(merged, keys), {"duplicate_keys": F.sum(F.col("rows") - 1)}),
+    ])
 
 
 def full_feature_report(
@@ -137,28 +136,27 @@ def full_feature_report(
     columns: Sequence[str] = fv.IMPORTANT_COLUMNS,
     keys: Sequence[str] = GAME_KEY,
 ) -> DataFrame:
-    """One row: row and column counts before and after, duplicates, NULLs of the important columns."""
+    """(metric, value): row and column counts before and after, duplicates, NULLs of the important columns."""
     present = [column for column in columns if column in full.columns]
-    return _side_by_side([
-        base.agg(F.count(F.lit(1)).alias("base_rows")),
-        full.agg(
-            F.count(F.lit(1)).alias("full_rows"),
-            *[missing_count(column).alias(f"missing_{column}") for column in present],
-        ),
-        duplicate_keys(full, keys).select(F.col("surplus_rows").alias("duplicate_keys")),
-    ]).withColumns({
-        "base_columns": F.lit(len(base.columns)).cast("long"),
-        "full_columns": F.lit(len(full.columns)).cast("long"),
-        "new_columns": F.lit(len(full.columns) - len(base.columns)).cast("long"),
-    })
+    rows = F.count(F.lit(1))
+    return _metrics([
+        (base, {"base_rows": rows, "base_columns": F.max(F.lit(len(base.columns)))}),
+        (full, {"full_rows": rows, "full_columns": F.max(F.lit(len(full.columns))),
+                "new_columns": F.max(F.lit(len(full.columns) - len(base.columns)))}
+         | {f"missing_{column}": missing_count(column) for column in present}),
+        (duplicate_groups(full, keys), {"duplicate_keys": F.sum(F.col("rows") - 1)}),
+    ])
 
 
-def _side_by_side(single_rows: Sequence[DataFrame]) -> DataFrame:
-    """Join one-row frames into one row."""
-    joined = single_rows[0].withColumn("_row", F.lit(1))
-    for frame in single_rows[1:]:
-        joined = joined.join(frame.withColumn("_row", F.lit(1)), "_row")
-    return joined.drop("_row")
+def _metrics(parts: Sequence[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """One aggregate per frame, stacked as (metric, value)."""
+    stacked = [
+        wide_to_long(df, {
+            name: {"value": F.coalesce(value.cast("long"), F.lit(0).cast("long"))} for name, value in metrics.items()
+        }, key="metric")
+        for df, metrics in parts
+    ]
+    return reduce(DataFrame.unionByName, stacked)
 
 
 def missing_entities(facts: DataFrame, lookup: DataFrame, entity: str = "PLAYER_ID") -> DataFrame:

@@ -274,23 +274,29 @@ def all_time_series_features(
 
 def days_rest(df: DataFrame, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
     """Days since the entity's previous row, and their category."""
-    previous = Feature("_previous_date", "lag", keys.date, 1)
+    return rest_and_experience(df, keys).drop("career_games_played")
+
+
+def career_games_played(df: DataFrame, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
+    """How many rows of the entity come before this one."""
+    return rest_and_experience(df, keys).drop("days_rest", "days_rest_category")
+
+
+def rest_and_experience(df: DataFrame, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
+    """Rest days, their category and the number of earlier rows, from one window."""
+    features = [
+        Feature("_previous_date", "lag", keys.date, 1),
+        Feature("career_games_played", "count", "_one"),
+    ]
     rest = F.datediff(F.col(keys.date), F.col("_previous_date"))
     return (
-        add_features(df, [previous], keys.with_nulls_last())
+        add_features(df.withColumn("_one", F.lit(1)), features, keys.with_nulls_last())
         .withColumn("days_rest", rest.cast("double"))
         .withColumn("days_rest_category", C.days_rest_category("days_rest"))
-        .drop("_previous_date")
+        .select(*df.columns, "days_rest", "days_rest_category", "career_games_played")
     )
 
 
-def career_games_played(df: DataFrame, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
-    """How many rows of the entity come before this one."""
-    one = df.withColumn("_one", F.lit(1))
-    count = Feature("career_games_played", "count", "_one")
-    return add_features(one, [count], keys.with_nulls_last()).drop("_one")
-
-
 def recent_form(
     df: DataFrame,
     team: str = "TEAM_ID",
@@ -304,12 +310,11 @@ def recent_form(
     """Per (game, team): the share of wins in up to five games the team played before.
 
     Team-mates repeat a team's game, so the rows are first reduced to one per (game, team). All of
-    them carry the same result; taking that of the smallest entity keeps it deterministic.
+    them carry the same result; taking that of the smallest entity keeps it deterministic, and
+    reducing numbers rather than text keeps the aggregate in hash tables.
     """
-    team_games = (
-        df.groupBy(team, game)
-        .agg(F.min(date).alias(date), F.min_by(F.col(result), F.col(entity)).alias(result))
-        .withColumn("team_win", C.win_flag(result))
+    team_games = df.groupBy(team, game).agg(
+        F.min(date).alias(date), F.min_by(C.win_flag(result), F.col(entity)).alias("team_win")
     )
     keys = SeriesKeys(team, date, game, nulls_last=True, max_group_rows=max_group_rows)
     # The rows of a team bound its games, and counting them needs no de-duplication.
@@ -317,4 +322,4 @@ def recent_form(
     if hot is not None:
         hot = find_hot_groups(team_games, [team], max_group_rows)
     form = Feature("recent_form", "avg", "team_win", games)
-    return add_features(team_games, [form], keys, hot).select(game, team, date, result, "team_win", "recent_form")
+    return add_features(team_games, [form], keys, hot).select(game, team, date, "team_win", "recent_form")
