@@ -43,15 +43,25 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _correlations(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    values = df.select(*[null_if_nan(F.col(c)).alias(f"c{i}") for i, c in enumerate(columns)])
-    long = _by_expression(values, pairs) if len(pairs) <= MAX_PAIR_EXPRESSIONS else _by_moments(values, pairs)
+    values = df.select(*[F.col(c) for c in columns])
+    long = by_expression(values, pairs) if len(pairs) <= MAX_PAIR_EXPRESSIONS else by_moments(values, pairs)
+    return named_pairs(long, columns)
+
+
+def named_pairs(long: DataFrame, columns: Sequence[str]) -> DataFrame:
     name = F.array(*[F.lit(column) for column in columns])
     return long.select(
         F.get(name, F.col("i")).alias("feature_1"), F.get(name, F.col("j")).alias("feature_2"), "correlation"
     )
 
 
-def _by_expression(values: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
+def _numbered(df: DataFrame) -> DataFrame:
+    return df.select(*[null_if_nan(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+
+
+def by_expression(df: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """(i, j, correlation) for pairs of column positions, one aggregate expression per pair."""
+    values = _numbered(df)
     parts = {
         f"{i},{j}": {"i": F.max(F.lit(i)), "j": F.max(F.lit(j)),
                      "correlation": correlation_of(F.col(f"c{i}"), F.col(f"c{j}"))}
@@ -60,7 +70,9 @@ def _by_expression(values: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataF
     return wide_to_long(values, parts, key="pair").drop("pair")
 
 
-def _by_moments(values: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
+def by_moments(df: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """The same from the six moments of each pair, summed per partition and then per pair."""
+    values = _numbered(df)
     # Without its mean, a column far from zero keeps its digits in the sums of squares.
     means = values.agg(*[F.avg(c).alias(c) for c in values.columns]).first()
     centres = np.array([means[c] or 0.0 for c in values.columns])
