@@ -20,7 +20,7 @@ from formline.functions import names as N
 from formline.functions.columns import null_if_nan
 from formline.operators.checks import wide_to_long
 
-MAX_PAIR_EXPRESSIONS = 120
+MAX_PAIR_EXPRESSIONS = 6
 MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 MOMENT_SCHEMA = "i int, j int, " + ", ".join(f"{m} double" for m in MOMENTS)
 

@@ -60,10 +60,15 @@ def join_recent_form(
     result: str = "WL",
     entity: str = "PLAYER_ID",
     max_group_rows: int = MAX_GROUP_ROWS,
+    source: DataFrame | None = None,
 ) -> DataFrame:
-    """The opponent's recent form in each game. One row per (game, team) by construction: no check needed."""
+    """The opponent's recent form in each game. One row per (game, team) by construction: no check needed.
+
+    ``source`` may name the table to read the games from, when ``features`` is that table with more
+    columns: the joins and windows behind those need not run again for it.
+    """
     form = series.recent_form(
-        features, team=team, game=game, date=date, result=result, entity=entity, max_group_rows=max_group_rows
+        features if source is None else source, team=team, game=game, date=date, result=result, entity=entity, max_group_rows=max_group_rows
     ).select(game, F.col(team).alias(opponent), F.col("recent_form").alias("opponent_recent_form"))
     joined = features.join(form, [game, opponent], "left")
     return joined.select(*features.columns, "opponent_recent_form")

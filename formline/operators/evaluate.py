@@ -75,6 +75,19 @@ def model_metrics(metrics: DataFrame, prefix: str, label: str) -> DataFrame:
     )
 
 
+def stack_models(metrics: DataFrame, labels: Mapping[str, str]) -> DataFrame:
+    """Metrics of several models side by side (by prefix) as one row per model, under common names."""
+    rows = F.array(*[
+        F.struct(
+            F.lit(label).alias("model"), "target",
+            *[F.col(f"baseline_{m}").alias(f"baseline_{m}") for m in METRICS],
+            *[F.col(f"{prefix}_{m}").alias(f"model_{m}") for m in METRICS],
+        )
+        for prefix, label in labels.items()
+    ])
+    return metrics.select(F.inline(rows))
+
+
 def metric_comparison(
     per_model: Sequence[DataFrame], targets: Sequence[str] = fv.TARGETS, digits: int | None = 3
 ) -> DataFrame:

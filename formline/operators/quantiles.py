@@ -1,24 +1,26 @@
 """Exact quantiles with linear interpolation, for columns of any length.
 
 ``percentile`` keeps every distinct value of a column in one task. Up to ``max_values`` rows that is
-the direct way. Beyond, the two order statistics on either side of each quantile are found by
-narrowing: ``percentile_approx`` proposes a bracket, exact counts (partial aggregates, no shuffle of
-rows) confirm which part holds the wanted rank, and this repeats until a bracket holds few enough
-values to rank them. A wrong proposal costs a pass, never exactness.
+the direct way. Beyond, the order statistics on either side of each quantile are found by narrowing:
+``percentile_approx`` proposes values on both sides of the wanted ranks, exact counts confirm where
+the ranks lie, and this repeats until an interval holds few enough values to rank them. All columns
+share the passes, and a pass shuffles a few numbers per column and no rows. A poor proposal costs a
+pass, never exactness.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formline.functions.columns import null_if_nan
 
-MAX_VALUES = 2_000_000
+MAX_VALUES = 200_000
 ACCURACY = 10_000
 COLUMNS_PER_PASS = 50
 
@@ -32,131 +34,171 @@ def exact_quantiles(
     result: Quantiles = {}
     for start in range(0, len(columns), COLUMNS_PER_PASS):
         part = columns[start:start + COLUMNS_PER_PASS]
-        values = df.select(*[null_if_nan(F.col(column)).alias(f"c{i}") for i, column in enumerate(part)])
-        bounds = values.agg(*[
-            F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
-            for c in values.columns
-        ]).first()
-        if all(bounds[c]["n"] <= max_values for c in values.columns):
-            found = values.agg(*[F.percentile(c, list(probabilities)).alias(c) for c in values.columns]).first()
-            for c, column in zip(values.columns, part):
-                result[column] = dict(zip(probabilities, found[c] or [None] * len(probabilities)))
-        else:
-            for c, column in zip(values.columns, part):
-                n = bounds[c]["n"]
-                ranks = {r for p in probabilities for r in _neighbours(n, p)} if n else set()
-                at = _order_statistics(values, c, ranks, bounds[c], max_values)
-                result[column] = {p: _interpolate(n, p, at) for p in probabilities}
+        values = df.select(*[null_if_nan(F.col(f"`{column}`")).alias(f"c{i}") for i, column in enumerate(part)])
+        sizes = values.agg(*[F.count(c).alias(c) for c in values.columns]).first().asDict()
+        found = _direct(values, [c for c in sizes if sizes[c] <= max_values], probabilities)
+        found |= _narrowed(values, {c: n for c, n in sizes.items() if n > max_values}, probabilities, max_values)
+        result |= {column: found[c] for c, column in zip(values.columns, part)}
     return result
 
 
-def _neighbours(n: int, probability: float) -> tuple[int, int]:
-    position = (n - 1) * probability
-    return math.floor(position), math.ceil(position)
-
-
-def _interpolate(n: int, probability: float, at: dict[int, float]) -> float | None:
-    if not n:
-        return None
-    low, high = _neighbours(n, probability)
-    position = (n - 1) * probability
-    return at[low] if low == high else (high - position) * at[low] + (position - low) * at[high]
+def _direct(values: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> Quantiles:
+    if not columns:
+        return {}
+    row = values.agg(*[F.percentile(c, list(probabilities)).alias(c) for c in columns]).first()
+    return {c: dict(zip(probabilities, row[c] or [None] * len(probabilities))) for c in columns}
 
 
 @dataclass
-class _Bracket:
-    """The value of ``rank`` lies in [lo, hi]; the counts are those of the whole column."""
+class _Search:
+    """The ranks on either side of one quantile, and the open interval (lo, hi) that still holds them."""
+
+    column: str
+    probability: float
+    size: int
+    lo: float = -math.inf
+    hi: float = math.inf
+    up_to_lo: int = 0  # number of values <= lo
+    below_hi: int = 0  # number of values < hi
+    at: dict[int, float] = field(default_factory=dict)
+
+    def __post_init__(self):
+        self.below_hi = self.size
+        self.position = (self.size - 1) * self.probability
+        self.ranks = sorted({math.floor(self.position), math.ceil(self.position)})
 
-    rank: int
-    lo: float
-    hi: float
-    up_to_lo: int  # values <= lo
-    below_hi: int  # values < hi
-
-    def settled(self) -> float | None:
-        if self.rank < self.up_to_lo or self.lo == self.hi:
-            return self.lo
-        return self.hi if self.rank >= self.below_hi else None
+    @property
+    def open_ranks(self) -> list[int]:
+        return [rank for rank in self.ranks if rank not in self.at]
 
     @property
-    def inner(self) -> int:
+    def inside(self) -> int:
         return self.below_hi - self.up_to_lo
 
-    def holds(self, column: str) -> Column:
-        return (F.col(column) > self.lo) & (F.col(column) < self.hi)
+    def holds(self) -> Column:
+        return (F.col(self.column) > F.lit(self.lo)) & (F.col(self.column) < F.lit(self.hi))
+
+    def proposals(self) -> list[float]:
+        """Local probabilities a little below the first and above the last open rank."""
+        margin = 2 / ACCURACY
+        first, last = self.open_ranks[0], self.open_ranks[-1]
+        places = [(first - self.up_to_lo) / self.inside - margin, (last + 1 - self.up_to_lo) / self.inside + margin]
+        return [min(max(place, 0.0), 1.0) for place in places]
+
+    def learn(self, value: float, below: int, up_to: int) -> None:
+        """``below`` values of the column are smaller than ``value``, ``up_to`` are not larger."""
+        for rank in self.open_ranks:
+            if below <= rank < up_to:
+                self.at[rank] = value
+        if not self.open_ranks:
+            return
+        if up_to <= self.open_ranks[0] and value > self.lo:
+            self.lo, self.up_to_lo = value, up_to
+        if below > self.open_ranks[-1] and value < self.hi:
+            self.hi, self.below_hi = value, below
+
+    def value(self) -> float:
+        low, high = self.at[self.ranks[0]], self.at[self.ranks[-1]]
+        lower, higher = self.ranks[0], self.ranks[-1]
+        return low if lower == higher else (higher - self.position) * low + (self.position - lower) * high
+
+
+def _narrowed(
+    values: DataFrame, sizes: dict[str, int], probabilities: Sequence[float], max_values: int
+) -> Quantiles:
+    searches = [_Search(column, p, size) for column, size in sizes.items() for p in probabilities]
+    while wide := [s for s in searches if s.open_ranks and s.inside > max_values]:
+        before = [s.inside for s in wide]
+        _narrow(values, wide)
+        if all(s.open_ranks and s.inside == b for s, b in zip(wide, before)):
+            break  # the two ranks lie on either side of one gap: ranking the values settles them
+    _rank_inside(values, [s for s in searches if s.open_ranks])
+    result: Quantiles = {}
+    for s in searches:
+        result.setdefault(s.column, {})[s.probability] = s.value()
+    return result
 
 
-def _order_statistics(
-    values: DataFrame, column: str, ranks: Iterable[int], bounds, max_values: int
-) -> dict[int, float]:
-    ranks = sorted(ranks)
-    if not ranks:
-        return {}
-    edges = values.agg(
-        F.count_if(F.col(column) <= bounds["lo"]).alias("up_to_lo"),
-        F.count_if(F.col(column) < bounds["hi"]).alias("below_hi"),
-    ).first()
-    open_ = [_Bracket(rank, bounds["lo"], bounds["hi"], edges["up_to_lo"], edges["below_hi"]) for rank in ranks]
-    found: dict[int, float] = {}
-    while True:
-        for bracket in open_:
-            if bracket.settled() is not None:
-                found[bracket.rank] = bracket.settled()
-        open_ = [bracket for bracket in open_ if bracket.rank not in found]
-        large = [bracket for bracket in open_ if bracket.inner > max_values]
-        if not large:
-            return found | _rank_inside(values, column, open_)
-        _narrow(values, column, large)
-
-
-def _narrow(values: DataFrame, column: str, brackets: Sequence[_Bracket]) -> None:
-    """Shrink each bracket around its rank: one pass to propose, one to count."""
-    margin = 2 / ACCURACY
-    proposals = values.agg(*[
+def _narrow(values: DataFrame, searches: Sequence[_Search]) -> None:
+    """One pass to propose values, one to count the values below and up to each of them."""
+    # Searches that still share an interval share its sketch.
+    intervals: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        intervals.setdefault((s.column, s.lo, s.hi), []).append(s)
+    sketches = values.agg(*[
         F.percentile_approx(
-            F.when(b.holds(column), F.col(column)),
-            [min(max((b.rank - b.up_to_lo + 0.5) / b.inner + shift, 0.0), 1.0) for shift in (-margin, 0, margin)],
-            ACCURACY,
-        ).alias(f"b{i}")
-        for i, b in enumerate(brackets)
-    ]).first()
-    counts = values.agg(*[
-        F.array(*[
-            F.struct(F.count_if(F.col(column) < v).alias("below"), F.count_if(F.col(column) <= v).alias("up_to"))
-            for v in proposals[f"b{i}"]
-        ]).alias(f"b{i}")
-        for i in range(len(brackets))
+            F.when(group[0].holds(), F.col(group[0].column)), [p for s in group for p in s.proposals()], ACCURACY
+        ).alias(f"g{i}")
+        for i, group in enumerate(intervals.values())
     ]).first()
-    for i, bracket in enumerate(brackets):
-        # The middle proposal alone cuts the bracket, so a pass always makes progress.
-        for value, count in zip(proposals[f"b{i}"], counts[f"b{i}"]):
-            if count["up_to"] <= bracket.rank:
-                if value > bracket.lo:
-                    bracket.lo, bracket.up_to_lo = value, count["up_to"]
-            elif count["below"] > bracket.rank:
-                if value < bracket.hi:
-                    bracket.hi, bracket.below_hi = value, count["below"]
-            else:
-                bracket.lo = bracket.hi = value
-                break
-
-
-def _rank_inside(values: DataFrame, column: str, brackets: Sequence[_Bracket]) -> dict[int, float]:
-    """Rank the few distinct values that lie strictly inside each bracket."""
-    if not brackets:
-        return {}
+    proposed = {
+        id(s): sketches[f"g{i}"][2 * j:2 * j + 2]
+        for i, group in enumerate(intervals.values()) for j, s in enumerate(group)
+    }
+    edges: dict[str, list[float]] = {}
+    for s in searches:
+        edges[s.column] = sorted({*edges.get(s.column, []), *proposed[id(s)]})
+    counts = _count_around(values, edges)
+    for s in searches:
+        for value in sorted(set(proposed[id(s)])):
+            s.learn(value, *counts[s.column][value])
+
+
+def _count_around(values: DataFrame, edges: dict[str, list[float]]) -> dict[str, dict[float, tuple[int, int]]]:
+    """For each edge of each column, how many values are smaller and how many are not larger.
+
+    A value's place is 2i + 1 when it equals edge i (from 0) and an even number between edges, so one
+    count per place answers both questions for all edges.
+    """
+    names = list(edges)
+    places = []
+    for i, column in enumerate(names):
+        place = F.lit(0)
+        for edge in edges[column]:
+            place = place + (F.col(column) > edge).cast("int") + (F.col(column) >= edge).cast("int")
+        places.append(F.struct(F.lit(i).alias("column"), place.alias("place")))
+    counted = (
+        values.select(F.inline(F.array(*places)))
+        .filter(F.col("place").isNotNull())
+        .groupBy("column", "place").count()
+    )
+    at: dict[int, dict[int, int]] = {i: {} for i in range(len(names))}
+    for row in counted.collect():
+        at[row["column"]][row["place"]] = row["count"]
+    result: dict[str, dict[float, tuple[int, int]]] = {}
+    for i, column in enumerate(names):
+        result[column] = {
+            edge: (
+                sum(n for place, n in at[i].items() if place < 2 * e + 1),
+                sum(n for place, n in at[i].items() if place <= 2 * e + 1),
+            )
+            for e, edge in enumerate(edges[column])
+        }
+    return result
+
+
+def _rank_inside(values: DataFrame, searches: Sequence[_Search]) -> None:
+    """Rank the distinct values inside each open interval; there are few of them."""
+    if not searches:
+        return
+    entries = [
+        F.when(s.holds(), F.struct(F.lit(i).alias("search"), F.col(s.column).alias("value")))
+        for i, s in enumerate(searches)
+    ]
+    held = reduce(lambda a, b: a | b, [s.holds() for s in searches])
+    counted = (
+        values.filter(held).select(F.explode(F.array_compact(F.array(*entries))).alias("entry"))
+        .groupBy(F.col("entry.search").alias("search"), F.col("entry.value").alias("value")).count()
+    )
+    ordered = Window.partitionBy("search").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     wanted = F.array(*[
-        F.struct(F.lit(b.rank).cast("long").alias("rank"), F.lit(b.up_to_lo).cast("long").alias("before"),
-                 F.lit(b.lo).alias("lo"), F.lit(b.hi).alias("hi"))
-        for b in brackets
+        F.array(*[F.lit(rank - s.up_to_lo).cast("long") for rank in s.open_ranks]) for s in searches
     ])
-    inside = F.filter(wanted, lambda b: (F.col(column) > b["lo"]) & (F.col(column) < b["hi"]))
-    counted = (
-        values.select(F.col(column).alias("value"), F.explode(inside).alias("b"))
-        .groupBy(F.col("b.rank").alias("rank"), F.col("b.before").alias("before"), "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    hits = (
+        counted.withColumn("reached", F.sum("count").over(ordered))
+        .withColumn("rank", F.explode(F.get(wanted, F.col("search"))))
+        .filter((F.col("reached") > F.col("rank")) & (F.col("reached") - F.col("count") <= F.col("rank")))
     )
-    running = Window.partitionBy("rank").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    reached = counted.withColumn("reached", F.col("before") + F.sum("n").over(running))
-    hits = reached.filter(F.col("reached") > F.col("rank")).groupBy("rank").agg(F.min("value").alias("value"))
-    return {row["rank"]: row["value"] for row in hits.collect()}
+    for row in hits.collect():
+        s = searches[row["search"]]
+        s.at[row["rank"] + s.up_to_lo] = row["value"]

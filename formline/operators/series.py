@@ -80,6 +80,9 @@ COMBINE: dict[str, Callable[[Column, Column], Column]] = {
     "count": lambda earlier, own: F.coalesce(earlier, F.lit(0)) + own,
 }
 CARRIED = "_carried"
+# Hot groups may be handed over when they are known, e.g. from the table before many-to-one joins.
+FIND = "find"
+Hot = HotGroups | None | str
 
 
 # ------------------------------------------------------------------------------ feature lists
@@ -115,10 +118,10 @@ def change_columns(targets: Sequence[str]) -> dict[str, Column]:
 
 # ------------------------------------------------------------------------------ evaluation
 def add_features(
-    df: DataFrame, features: Sequence[Feature], keys: SeriesKeys = GAME_KEYS, hot: HotGroups | None | str = "find"
+    df: DataFrame, features: Sequence[Feature], keys: SeriesKeys = GAME_KEYS, hot: Hot = FIND
 ) -> DataFrame:
     """Append the window columns. ``hot`` may hand over groups found earlier for the same entity."""
-    if hot == "find":
+    if hot == FIND:
         hot = find_hot_groups(df, [keys.entity], keys.max_group_rows)
     if hot is None:
         return _plain(df, features, keys)
@@ -214,37 +217,48 @@ def rolling_avg_std(
     targets: Sequence[str] = fv.TARGETS,
     windows: Sequence[int] = fv.ROLLING_WINDOWS,
     keys: SeriesKeys = GAME_KEYS,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Average and sample standard deviation of up to ``w`` prior rows."""
-    return add_features(df, rolling_features(targets, windows), keys)
+    return add_features(df, rolling_features(targets, windows), keys, hot)
 
 
-def season_min_max(df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
-    return add_features(df, min_max_features(targets, ["season"]), keys)
+def season_min_max(
+    df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS, hot: Hot = FIND
+) -> DataFrame:
+    return add_features(df, min_max_features(targets, ["season"]), keys, hot)
 
 
-def career_min_max(df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
-    return add_features(df, min_max_features(targets, ["career"]), keys)
+def career_min_max(
+    df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS, hot: Hot = FIND
+) -> DataFrame:
+    return add_features(df, min_max_features(targets, ["career"]), keys, hot)
 
 
-def historical_min_max(df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
-    return add_features(df, min_max_features(targets), keys)
+def historical_min_max(
+    df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS, hot: Hot = FIND
+) -> DataFrame:
+    return add_features(df, min_max_features(targets), keys, hot)
 
 
 def season_cumulative_total(
-    df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS
+    df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS, hot: Hot = FIND
 ) -> DataFrame:
     """Sum of the prior rows of the season; NULL (not 0) on its first row."""
-    return add_features(df, cumulative_features(targets), keys)
+    return add_features(df, cumulative_features(targets), keys, hot)
 
 
-def lag_1(df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
-    return add_features(df, lag_features(targets), keys)
+def lag_1(
+    df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS, hot: Hot = FIND
+) -> DataFrame:
+    return add_features(df, lag_features(targets), keys, hot)
 
 
-def lag_and_change(df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
+def lag_and_change(
+    df: DataFrame, targets: Sequence[str] = fv.TARGETS, keys: SeriesKeys = GAME_KEYS, hot: Hot = FIND
+) -> DataFrame:
     """The previous value and the change from it. The change holds the current value: never a model input."""
-    lagged = lag_1(df, targets, keys)
+    lagged = lag_1(df, targets, keys, hot)
     changes = change_columns(targets)
     columns = [name for target in targets for name in (N.lag_name(target), N.change_name(target))]
     return lagged.withColumns(changes).select(*df.columns, *columns)
@@ -255,6 +269,7 @@ def all_time_series_features(
     targets: Sequence[str] = fv.TARGETS,
     windows: Sequence[int] = fv.ROLLING_WINDOWS,
     keys: SeriesKeys = GAME_KEYS,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """All window features in one pass: two window specifications, one shuffle."""
     features = [
@@ -266,23 +281,23 @@ def all_time_series_features(
     lags = [name for target in targets for name in (N.lag_name(target), N.change_name(target))]
     others = [f.name for f in features if f.statistic != "lag"]
     return (
-        add_features(df, features, keys)
+        add_features(df, features, keys, hot)
         .withColumns(change_columns(targets))
         .select(*df.columns, *others, *lags)
     )
 
 
-def days_rest(df: DataFrame, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
+def days_rest(df: DataFrame, keys: SeriesKeys = GAME_KEYS, hot: Hot = FIND) -> DataFrame:
     """Days since the entity's previous row, and their category."""
-    return rest_and_experience(df, keys).drop("career_games_played")
+    return rest_and_experience(df, keys, hot).drop("career_games_played")
 
 
-def career_games_played(df: DataFrame, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
+def career_games_played(df: DataFrame, keys: SeriesKeys = GAME_KEYS, hot: Hot = FIND) -> DataFrame:
     """How many rows of the entity come before this one."""
-    return rest_and_experience(df, keys).drop("days_rest", "days_rest_category")
+    return rest_and_experience(df, keys, hot).drop("days_rest", "days_rest_category")
 
 
-def rest_and_experience(df: DataFrame, keys: SeriesKeys = GAME_KEYS) -> DataFrame:
+def rest_and_experience(df: DataFrame, keys: SeriesKeys = GAME_KEYS, hot: Hot = FIND) -> DataFrame:
     """Rest days, their category and the number of earlier rows, from one window."""
     features = [
         Feature("_previous_date", "lag", keys.date, 1),
@@ -290,7 +305,7 @@ def rest_and_experience(df: DataFrame, keys: SeriesKeys = GAME_KEYS) -> DataFram
     ]
     rest = F.datediff(F.col(keys.date), F.col("_previous_date"))
     return (
-        add_features(df.withColumn("_one", F.lit(1)), features, keys.with_nulls_last())
+        add_features(df.withColumn("_one", F.lit(1)), features, keys.with_nulls_last(), hot)
         .withColumn("days_rest", rest.cast("double"))
         .withColumn("days_rest_category", C.days_rest_category("days_rest"))
         .select(*df.columns, "days_rest", "days_rest_category", "career_games_played")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from formline import fixed_values as fv
 from formline.functions import columns as C
 from formline.operators import checks, enrich, series
+from formline.operators.layout import find_hot_groups
 from formline.operators.series import GAME_KEYS, SeriesKeys
 
 
@@ -26,10 +27,13 @@ def _parsed(features: DataFrame, codes: DataFrame | Mapping[str, int], keys: Ser
     return enrich.map_codes(enrich.parse_matchup(typed), codes)
 
 
-def _with_opponent(features: DataFrame, opponent_defense: DataFrame, keys: SeriesKeys) -> DataFrame:
+def _with_opponent(
+    features: DataFrame, opponent_defense: DataFrame, keys: SeriesKeys, games: DataFrame
+) -> DataFrame:
     defended = enrich.join_opponent_defense(features, opponent_defense)
     return enrich.join_recent_form(
-        defended, game=keys.tiebreak, date=keys.date, entity=keys.entity, max_group_rows=keys.max_group_rows
+        defended, game=keys.tiebreak, date=keys.date, entity=keys.entity, max_group_rows=keys.max_group_rows,
+        source=games.withColumn(keys.date, C.to_game_date(keys.date)),
     )
 
 
@@ -57,8 +61,9 @@ def contextual_features(
     keys: SeriesKeys = GAME_KEYS,
 ) -> DataFrame:
     """Home and away, opponent, rest days, the opponent's season strength and recent form."""
-    rested = series.days_rest(_parsed(features, codes, keys), keys)
-    return _with_opponent(rested, opponent_defense, keys)
+    hot = find_hot_groups(features, [keys.entity], keys.max_group_rows)
+    rested = series.days_rest(_parsed(features, codes, keys), keys, hot)
+    return _with_opponent(rested, opponent_defense, keys, features)
 
 
 def player_specific_features(
@@ -86,8 +91,9 @@ def build_full_features(
     positions: Sequence[str] | None = None,
 ) -> DataFrame:
     """Contextual, player-specific and ratio columns, with one shuffle by entity for all windows."""
-    windowed = series.rest_and_experience(_parsed(features, codes, keys), keys)
-    joined = _with_opponent(windowed, opponent_defense, keys)
+    hot = find_hot_groups(features, [keys.entity], keys.max_group_rows)
+    windowed = series.rest_and_experience(_parsed(features, codes, keys), keys, hot)
+    joined = _with_opponent(windowed, opponent_defense, keys, features)
     return advanced_metrics(_player_columns(joined, features, keys, positions))
 
 

@@ -114,11 +114,12 @@ MODELS = {"last": "Last value", "recent": "Recent average"}
 def predictor_table(t: Tables):
     """Test rows of customers with history; the target is named by the priority of the order."""
     priority = t.orders.select(F.col("o_orderkey").alias("GAME_ID"), F.col("o_orderpriority").alias("target"))
-    logs = S.add_features(
-        order_logs(t), S.lag_features(["PTS"]) + S.rolling_features(["PTS"], [5])
-    ).join(priority, "GAME_ID")
-    train, test = split.time_split(logs)
+    logs = order_logs(t)
+    cutoff = F.lit(split.cutoff_date(logs))
+    train = logs.filter(F.col("GAME_DATE") < cutoff).join(priority, "GAME_ID")
     means = train.groupBy("target").agg(F.avg("PTS").alias("baseline_prediction"))
+    history = S.add_features(logs, S.lag_features(["PTS"]) + S.rolling_features(["PTS"], [5]))
+    test = history.filter(F.col("GAME_DATE") >= cutoff).join(priority, "GAME_ID")
     return test.filter(F.col("pts_lag_1").isNotNull()).join(means, "target").select(
         "PLAYER_ID", "GAME_ID", "target", F.col("PTS").alias("actual"), "baseline_prediction",
         F.col("pts_lag_1").alias("last_prediction"), F.col("pts_rolling_5g_avg").alias("recent_prediction"))
@@ -144,11 +145,11 @@ DIGITS = {"baseline_r2": 6, "model_r2": 6}
 
 
 def predictor_metrics(t: Tables):
-    """The metrics of each model under common names."""
+    """One row per model and target, under common names."""
     metrics = evaluate.regression_metrics(
         predictor_table(t),
         {"baseline": "baseline_prediction", **{name: f"{name}_prediction" for name in MODELS}})
-    return [evaluate.model_metrics(metrics, name, label) for name, label in MODELS.items()]
+    return evaluate.stack_models(metrics, MODELS)
 
 
 @query("prediction_error", with_ctes(PREDICTOR_CTES, f"""
@@ -165,7 +166,7 @@ PRIORITIES = ["5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"]
 @query("metric_comparison", with_ctes(METRIC_CTES, f"""
 SELECT *, CAST(list_position({PRIORITIES}, target) AS BIGINT) AS target_order FROM metrics"""))
 def metric_comparison(t: Tables):
-    return publish(evaluate.metric_comparison(predictor_metrics(t), PRIORITIES, digits=None), 3, **DIGITS)
+    return publish(evaluate.metric_comparison([predictor_metrics(t)], PRIORITIES, digits=None), 3, **DIGITS)
 
 
 @query("improvement_tiers", with_ctes(METRIC_CTES, f"""
@@ -173,7 +174,7 @@ SELECT model, target, {rounded('baseline_mae - model_mae', 2)} AS mae_improvemen
   {rounded('baseline_rmse - model_rmse', 2)} AS rmse_improvement, {rounded('model_r2 - baseline_r2', 5)} AS r2_improvement,
   CASE WHEN model_r2 >= 0.4 THEN 'well' WHEN model_r2 >= 0.2 THEN 'moderate' ELSE 'poor' END AS tier FROM metrics"""))
 def improvement_tiers(t: Tables):
-    metrics = reshape.union_all(predictor_metrics(t))
+    metrics = predictor_metrics(t)
     names = [c for c in metrics.columns if c.endswith(("_mae", "_rmse"))]
     shown = metrics.withColumns({c: F.round(c, 3) for c in names} | {c: F.round(c, 6) for c in DIGITS})
     judged = evaluate.quality_tiers(evaluate.evaluation_improvement(shown))
@@ -185,7 +186,7 @@ def improvement_tiers(t: Tables):
 SELECT model, target, 'Baseline' AS metric_type, baseline_mae AS mae FROM metrics
 UNION ALL SELECT model, target, 'Model', model_mae FROM metrics"""))
 def metrics_melt(t: Tables):
-    metrics = reshape.union_all(predictor_metrics(t))
+    metrics = predictor_metrics(t)
     long = reshape.melt(metrics, ["model", "target"], ["baseline_mae", "model_mae"], "metric_type", "mae")
     labels = {"baseline_mae": "Baseline", "model_mae": "Model"}
     return publish(long.withColumn("metric_type", C.recode("metric_type", labels)), 3)
@@ -195,7 +196,7 @@ def metrics_melt(t: Tables):
 SELECT DISTINCT 'Baseline' AS series, target, baseline_rmse AS rmse FROM metrics
 UNION ALL SELECT model, target, model_rmse FROM metrics"""))
 def series_long(t: Tables):
-    metrics = reshape.union_all(predictor_metrics(t))
+    metrics = predictor_metrics(t)
     return publish(reshape.series_long(metrics, "rmse").select("series", "target", "rmse"), 3)
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from formline.functions import columns as C
 from formline.operators import enrich
 from formline.operators import series as S
-from formline.functions import columns as C
+from formline.operators.layout import find_hot_groups
 from formline.suite.adapters import (
     CODES_SQL, GAMES_SQL, LOGS_SQL, LOGS_WITH_LINES_SQL, order_logs, order_logs_with_lines, player_games,
 )
 from formline.suite.registry import Tables, publish, query, rounded, whole, with_ctes
-from pyspark.sql import functions as F
 
 WINDOWS = [5, 10, 20]
 ENTITY = 'PARTITION BY "PLAYER_ID" ORDER BY "GAME_DATE", "GAME_ID"'
@@ -104,9 +106,10 @@ def all_features_sql() -> str:
 
 @query("all_time_series_features", all_features_sql())
 def all_time_series_features(t: Tables):
-    result = S.all_time_series_features(order_logs_with_lines(t), ALL_TARGETS, WINDOWS)
+    hot = find_hot_groups(order_logs(t), ["PLAYER_ID"])  # the lines add columns, no rows
+    result = S.all_time_series_features(order_logs_with_lines(t), ALL_TARGETS, WINDOWS, hot=hot)
     result = features_only(result, ALL_TARGETS)
-    result = result.select(*[F.col(c) if c in ("PLAYER_ID", "GAME_ID") else F.col(c).cast("double") for c in result.columns])
+    result = result.select("PLAYER_ID", "GAME_ID", *[F.col(c).cast("double") for c in result.columns[2:]])
     totals = {name: SUM_DIGITS for name in result.columns if name.endswith("_total")}
     return publish(result, **feature_digits(result.columns), **totals)
 
