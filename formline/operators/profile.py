@@ -10,45 +10,45 @@ from pyspark.sql import functions as F
 from formline import fixed_values as fv
 from formline.functions import names as N
 from formline.functions.columns import null_if_nan
-from formline.operators.checks import wide_to_long
-from formline.operators.quantiles import MAX_VALUES, exact_quantiles
+from formline.operators.quantiles import MAX_VALUES, Quantiles, exact_quantiles, long_values
 
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def literal(value: float | None) -> Column:
-    return F.lit(value).cast("double")
+def _with_quartiles(statistics: DataFrame, quartiles: Quantiles) -> DataFrame:
+    """Add q25, q50 and q75 to rows per column (one row per column of the table)."""
+    rows = [(column, *[found[q] for q in QUARTILES]) for column, found in quartiles.items()]
+    table = statistics.sparkSession.createDataFrame(rows, "column string, q25 double, q50 double, q75 double")
+    return statistics.join(F.broadcast(table), "column")
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str], max_values: int = MAX_VALUES) -> DataFrame:
     """count, mean, sample std, min, quartiles and max: one row per column."""
-    quartiles = exact_quantiles(df, columns, QUARTILES, max_values)
-    value = {c: null_if_nan(c) for c in columns}
-    return wide_to_long(df, {
-        c: {
-            "count": F.count(value[c]),
-            "mean": F.avg(value[c]),
-            "std": F.stddev_samp(value[c]),
-            "min": F.min(value[c]),
-            "q25": literal(quartiles[c][0.25]),
-            "q50": literal(quartiles[c][0.5]),
-            "q75": literal(quartiles[c][0.75]),
-            "max": F.max(value[c]),
-        }
-        for c in columns
-    })
+    value = F.col("value")
+    statistics = long_values(df, columns).groupBy("column").agg(
+        F.count(value).alias("count"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+    )
+    described = _with_quartiles(statistics, exact_quantiles(df, columns, QUARTILES, max_values))
+    return described.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def outlier_columns(df: DataFrame, targets: Sequence[str] = fv.TARGETS) -> list[str]:
     return N.numeric_columns(df, [*fv.CORRELATION_ID_COLUMNS, *targets, *fv.BINARY_COLUMNS])
 
 
-def _fences(quartiles: dict[float, float | None]) -> tuple[float | None, float | None]:
-    low, high = quartiles[0.25], quartiles[0.75]
-    if low is None or high is None:
-        return None, None
-    reach = 1.5 * (high - low)
-    return low - reach, high + reach
+def _with_fences(df: DataFrame, columns: Sequence[str], max_values: int) -> DataFrame:
+    """(column, value) rows with quartiles and the bounds 1.5 interquartile ranges beyond them."""
+    reach = (F.col("q75") - F.col("q25")) * 1.5
+    fenced = _with_quartiles(long_values(df, columns), exact_quantiles(df, columns, QUARTILES, max_values))
+    return fenced.withColumns({"low": F.col("q25") - reach, "high": F.col("q75") + reach})
+
+
+def _outside() -> Column:
+    return (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
 
 
 def outlier_summary(
@@ -56,36 +56,28 @@ def outlier_summary(
 ) -> DataFrame:
     """Values beyond 1.5 interquartile ranges, as a count and as a share of all rows (NULLs included)."""
     chosen = outlier_columns(df) if columns is None else list(columns)
-    quartiles = exact_quantiles(df, chosen, QUARTILES, max_values)
-    parts = {}
-    for c in chosen:
-        low, high = _fences(quartiles[c])
-        value = null_if_nan(c)
-        outside = F.count_if((value < literal(low)) | (value > literal(high)))
-        parts[c] = {
-            "outlier_count": outside,
-            "outlier_pct": F.try_divide(outside, F.count(F.lit(1))),
-        }
-    return wide_to_long(df, parts)
+    counted = _with_fences(df, chosen, max_values).groupBy("column").agg(
+        F.count_if(_outside()).alias("outlier_count"), F.count(F.lit(1)).alias("_rows")
+    )
+    share = F.try_divide(F.col("outlier_count"), F.col("_rows"))
+    return counted.select("column", "outlier_count", share.alias("outlier_pct"))
 
 
 def box_stats(df: DataFrame, columns: Sequence[str] = fv.TARGETS, max_values: int = MAX_VALUES) -> DataFrame:
     """Quartiles and whiskers (the outermost values within 1.5 interquartile ranges) per column."""
-    quartiles = exact_quantiles(df, columns, QUARTILES, max_values)
-    parts = {}
-    for c in columns:
-        low, high = _fences(quartiles[c])
-        value = null_if_nan(c)
-        within = F.when((value >= literal(low)) & (value <= literal(high)), value)
-        parts[c] = {
-            "q25": literal(quartiles[c][0.25]),
-            "q50": literal(quartiles[c][0.5]),
-            "q75": literal(quartiles[c][0.75]),
-            "whisker_low": F.min(within),
-            "whisker_high": F.max(within),
-            "outlier_count": F.count(value) - F.count(within),
-        }
-    return wide_to_long(df, parts)
+    within = F.when(~_outside(), F.col("value"))
+    return _with_fences(df, columns, max_values).groupBy("column").agg(
+        F.min("q25").alias("q25"),
+        F.min("q50").alias("q50"),
+        F.min("q75").alias("q75"),
+        F.min(within).alias("whisker_low"),
+        F.max(within).alias("whisker_high"),
+        F.count_if(_outside()).alias("outlier_count"),
+    )
+
+
+def literal(value: float | None) -> Column:
+    return F.lit(value).cast("double")
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) -> DataFrame:

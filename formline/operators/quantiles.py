@@ -6,6 +6,9 @@ the direct way. Beyond, the order statistics on either side of each quantile are
 the ranks lie, and this repeats until an interval holds few enough values to rank them. All columns
 share the passes, and a pass shuffles a few numbers per column and no rows. A poor proposal costs a
 pass, never exactness.
+
+Counts are taken on (column, value) rows, where a handful of aggregates serves any number of columns:
+one expression per column and bound would outgrow what the engine compiles well.
 """
 
 from __future__ import annotations
@@ -13,7 +16,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,12 +23,19 @@ from pyspark.sql import functions as F
 from formline.functions.columns import null_if_nan
 
 MAX_VALUES = 200_000
-ACCURACY = 10_000
+ACCURACY = 1_000
 COLUMNS_PER_PASS = 50
 
 Quantiles = dict[str, dict[float, float | None]]
 
 
+def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value) rows of numeric columns; NaN becomes NULL."""
+    names = [F.col(f"`{column}`") for column in columns]
+    numbers = df.select(*[null_if_nan(name).alias(column) for name, column in zip(names, columns)])
+    return numbers.unpivot([], names, "column", "value")
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_values: int = MAX_VALUES
 ) -> Quantiles:
@@ -145,58 +154,48 @@ def _narrow(values: DataFrame, searches: Sequence[_Search]) -> None:
 
 
 def _count_around(values: DataFrame, edges: dict[str, list[float]]) -> dict[str, dict[float, tuple[int, int]]]:
-    """For each edge of each column, how many values are smaller and how many are not larger.
-
-    A value's place is 2i + 1 when it equals edge i (from 0) and an even number between edges, so one
-    count per place answers both questions for all edges.
-    """
-    names = list(edges)
-    places = []
-    for i, column in enumerate(names):
-        place = F.lit(0)
-        for edge in edges[column]:
-            place = place + (F.col(column) > edge).cast("int") + (F.col(column) >= edge).cast("int")
-        places.append(F.struct(F.lit(i).alias("column"), place.alias("place")))
+    """For each edge of each column, how many values are smaller and how many are not larger."""
+    most = max(len(column_edges) for column_edges in edges.values())
+    places = [f"e{i}" for i in range(most)]
+    rows = [(c, *column_edges, *[None] * (most - len(column_edges))) for c, column_edges in edges.items()]
+    schema = ", ".join(["column string", *[f"{place} double" for place in places]])
+    value = F.col("value")
     counted = (
-        values.select(F.inline(F.array(*places)))
-        .filter(F.col("place").isNotNull())
-        .groupBy("column", "place").count()
+        long_values(values, list(edges))
+        # One row per column of the table.
+        .join(F.broadcast(values.sparkSession.createDataFrame(rows, schema)), "column")
+        .groupBy("column")
+        .agg(*[
+            F.struct(F.count_if(value < F.col(p)).alias("below"), F.count_if(value <= F.col(p)).alias("up_to")).alias(p)
+            for p in places
+        ])
     )
-    at: dict[int, dict[int, int]] = {i: {} for i in range(len(names))}
-    for row in counted.collect():
-        at[row["column"]][row["place"]] = row["count"]
-    result: dict[str, dict[float, tuple[int, int]]] = {}
-    for i, column in enumerate(names):
-        result[column] = {
-            edge: (
-                sum(n for place, n in at[i].items() if place < 2 * e + 1),
-                sum(n for place, n in at[i].items() if place <= 2 * e + 1),
-            )
-            for e, edge in enumerate(edges[column])
-        }
-    return result
+    return {
+        row["column"]: {edge: tuple(row[f"e{i}"]) for i, edge in enumerate(edges[row["column"]])}
+        for row in counted.collect()
+    }
 
 
 def _rank_inside(values: DataFrame, searches: Sequence[_Search]) -> None:
     """Rank the distinct values inside each open interval; there are few of them."""
     if not searches:
         return
-    entries = [
-        F.when(s.holds(), F.struct(F.lit(i).alias("search"), F.col(s.column).alias("value")))
-        for i, s in enumerate(searches)
+    rows = [
+        (i, s.column, s.lo, s.hi, [rank - s.up_to_lo for rank in s.open_ranks]) for i, s in enumerate(searches)
     ]
-    held = reduce(lambda a, b: a | b, [s.holds() for s in searches])
+    intervals = values.sparkSession.createDataFrame(
+        rows, "search int, column string, lo double, hi double, ranks array<bigint>"
+    )
     counted = (
-        values.filter(held).select(F.explode(F.array_compact(F.array(*entries))).alias("entry"))
-        .groupBy(F.col("entry.search").alias("search"), F.col("entry.value").alias("value")).count()
+        long_values(values, sorted({s.column for s in searches}))
+        .join(F.broadcast(intervals.drop("ranks")), "column")
+        .filter((F.col("value") > F.col("lo")) & (F.col("value") < F.col("hi")))
+        .groupBy("search", "value").count()
     )
     ordered = Window.partitionBy("search").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = F.array(*[
-        F.array(*[F.lit(rank - s.up_to_lo).cast("long") for rank in s.open_ranks]) for s in searches
-    ])
     hits = (
         counted.withColumn("reached", F.sum("count").over(ordered))
-        .withColumn("rank", F.explode(F.get(wanted, F.col("search"))))
+        .join(F.broadcast(intervals.select("search", F.explode("ranks").alias("rank"))), "search")
         .filter((F.col("reached") > F.col("rank")) & (F.col("reached") - F.col("count") <= F.col("rank")))
     )
     for row in hits.collect():
