@@ -63,34 +63,38 @@ def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="formline-")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    It is computed once, keeps its rows when executors are lost, and has a known size, by which
+    Catalyst decides whether to broadcast it.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def find_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> HotGroups | None:
     """The groups with more than ``max_rows`` rows, or None when there are none (the usual case)."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_rows)
     found = sizes.agg(F.sum("_rows").alias("rows")).first()
     if found["rows"] is None:
         return None
-    # At most rows / max_rows groups qualify. Written out, so that the joins below see its true size.
-    path = scratch_path(df.sparkSession, "hot-groups")
-    sizes.select(*[F.col(key).alias(f"hot_{key}") for key in keys]).write.parquet(path)
-    return HotGroups(tuple(keys), df.sparkSession.read.parquet(path), found["rows"], max_rows)
+    # At most rows / max_rows groups qualify.
+    table = stored(sizes.select(*[F.col(key).alias(f"hot_{key}") for key in keys]), "hot-groups")
+    return HotGroups(tuple(keys), table, found["rows"], max_rows)
 
 
 def cut_blocks(df: DataFrame, hot: HotGroups, order: Sequence[Column]) -> DataFrame:
     """The rows of the hot groups with a block number that follows the order within each group.
 
     The range bounds come from a sample, which affects only how even the blocks are. The result is
-    written out, so that every later use of it sees the same block numbers, also when executors are
-    lost and work is repeated.
+    stored, so that every later use of it sees the same block numbers.
     """
     blocks = min(math.ceil(hot.rows / hot.block_rows), MAX_BLOCKS)
-    path = scratch_path(df.sparkSession, "blocks")
-    (
-        df.join(hot.table, hot.matches(), "left_semi")
-        .repartitionByRange(blocks, *[F.col(key) for key in hot.keys], *order)
-        .withColumn(BLOCK, F.spark_partition_id())
-        .write.parquet(path)
-    )
-    return df.sparkSession.read.parquet(path)
+    rows = df.join(hot.table, hot.matches(), "left_semi")
+    ranged = rows.repartitionByRange(blocks, *[F.col(key) for key in hot.keys], *order)
+    return stored(ranged.withColumn(BLOCK, F.spark_partition_id()), "blocks")
 
 
 def without_hot(df: DataFrame, hot: HotGroups) -> DataFrame:

@@ -1,11 +1,10 @@
 """Exact quantiles with linear interpolation, for columns of any length.
 
-``percentile`` keeps every distinct value of a column in one task. Up to ``max_values`` rows that is
-the direct way. Beyond, the order statistics on either side of each quantile are found by narrowing:
-``percentile_approx`` proposes values on both sides of the wanted ranks, exact counts confirm where
-the ranks lie, and this repeats until an interval holds few enough values to rank them. All columns
-share the passes, and a pass shuffles a few numbers per column and no rows. A poor proposal costs a
-pass, never exactness.
+``percentile`` would keep every distinct value of a column in one task. Here the order statistics on
+either side of each quantile are found by narrowing: ``percentile_approx`` proposes values on both
+sides of the wanted ranks, exact counts confirm where the ranks lie, and this repeats until an
+interval holds few enough values (``max_values``) to rank them. All columns share the passes, and a
+pass shuffles a few numbers per column and no rows. A poor proposal costs a pass, never exactness.
 
 Counts are taken on (column, value) rows, where a handful of aggregates serves any number of columns:
 one expression per column and bound would outgrow what the engine compiles well.
@@ -45,19 +44,12 @@ def exact_quantiles(
         part = columns[start:start + COLUMNS_PER_PASS]
         values = df.select(*[null_if_nan(F.col(f"`{column}`")).alias(f"c{i}") for i, column in enumerate(part)])
         sizes = values.agg(*[F.count(c).alias(c) for c in values.columns]).first().asDict()
-        found = _direct(values, [c for c in sizes if sizes[c] <= max_values], probabilities)
-        found |= _narrowed(values, {c: n for c, n in sizes.items() if n > max_values}, probabilities, max_values)
+        found = {c: dict.fromkeys(probabilities) for c, size in sizes.items() if not size}
+        found |= _narrowed(values, {c: size for c, size in sizes.items() if size}, probabilities, max_values)
         result |= {column: found[c] for c, column in zip(values.columns, part)}
     return result
 
 
-def _direct(values: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> Quantiles:
-    if not columns:
-        return {}
-    row = values.agg(*[F.percentile(c, list(probabilities)).alias(c) for c in columns]).first()
-    return {c: dict(zip(probabilities, row[c] or [None] * len(probabilities))) for c in columns}
-
-
 @dataclass
 class _Search:
     """The ranks on either side of one quantile, and the open interval (lo, hi) that still holds them."""

@@ -23,7 +23,8 @@ from formline import fixed_values as fv
 from formline.functions import columns as C
 from formline.functions import names as N
 from formline.operators.layout import (
-    BLOCK, MAX_GROUP_ROWS, HotGroups, cut_blocks, find_hot_groups, same_values, without_hot,
+    BLOCK, MAX_GROUP_ROWS, HotGroups, cut_blocks, find_hot_groups, same_values, stored,
+    without_hot,
 )
 
 
@@ -177,12 +178,9 @@ def _preceding_rows(blocks: DataFrame, keys: SeriesKeys, reach: int) -> DataFram
     rows is preceded by the places ``_start - reach + 1`` to ``_start``.
     """
     backwards = Window.partitionBy(keys.entity, BLOCK).orderBy(*keys.reverse_order())
-    tails = (
-        blocks.withColumn("_from_end", F.row_number().over(backwards))
-        .filter(F.col("_from_end") <= reach)
-        .drop("_from_end")
-        .withColumn("_place", F.row_number().over(Window.partitionBy(keys.entity).orderBy(BLOCK, *keys.order())))
-    )
+    last = blocks.withColumn("_from_end", F.row_number().over(backwards)).filter(F.col("_from_end") <= reach)
+    numbered = Window.partitionBy(keys.entity).orderBy(BLOCK, *keys.order())
+    tails = stored(last.drop("_from_end").withColumn("_place", F.row_number().over(numbered)), "block-tails")
     starts = tails.groupBy(F.col(keys.entity).alias("_entity"), F.col(BLOCK).alias("_to_block")).agg(
         (F.min("_place") - 1).alias("_start")
     )
@@ -200,10 +198,10 @@ def _add_earlier_blocks(
     )
     earlier = Window.partitionBy(*scope).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     over_blocks = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
-    carried = totals.select(
+    carried = stored(totals.select(
         *[F.col(column).alias(f"_at_{column}") for column in [*scope, BLOCK]],
         *[over_blocks[f.statistic](F.col(f.name)).over(earlier).alias(f"_earlier_{f.name}") for f in features],
-    )
+    ), "block-totals")
     on = [*scope, BLOCK]
     joined = result.join(carried, same_values(on, [f"_at_{column}" for column in on]), "left")
     return joined.withColumns({
