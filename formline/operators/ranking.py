@@ -57,6 +57,11 @@ def rank_features(
     return df.withColumn("rank", F.row_number().over(window))
 
 
+def sort_mixed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Sorted by several keys, each with its own direction; for display and export."""
+    return df.orderBy(*order)
+
+
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

@@ -15,6 +15,7 @@ from pyspark.storagelevel import StorageLevel
 
 from formline import fixed_values as fv
 from formline.functions import names as N
+from formline.functions.columns import null_if_nan
 from formline.operators import evaluate
 from formline.operators.split import ModellingData
 
@@ -53,9 +54,8 @@ def get_model_config(name: str) -> ModelConfig:
 
 def with_numeric_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Features as doubles, plus a 0/1 column per feature that tells where a value is missing."""
-    doubles = {name: F.col(name).cast("double") for name in features}
-    flags = {f"{name}{MISSING}": F.col(name).isNull().cast("double") for name in features}
-    return df.withColumns(doubles | flags)
+    doubles = df.withColumns({name: null_if_nan(name) for name in features})
+    return doubles.withColumns({f"{name}{MISSING}": F.col(name).isNull().cast("double") for name in features})
 
 
 def feature_stages(train: DataFrame, features: Sequence[str]) -> tuple[list, list[str]]:

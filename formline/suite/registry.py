@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, DoubleType, FloatType, IntegralType
 
@@ -50,23 +50,26 @@ def publish(df: DataFrame, default: int = 4, **digits: int) -> DataFrame:
         if isinstance(field.dataType, (IntegralType, BooleanType)):
             column = column.cast("long")
         elif isinstance(field.dataType, (DoubleType, FloatType)):
-            places = digits.get(field.name, default)
-            # The nudge takes decimal ties off the edge; adding zero turns a negative zero into zero.
-            column = F.round(column + F.lit(float(nudge(places))), places) + F.lit(0.0)
+            column = _rounded_column(column, digits.get(field.name, default))
         elif isinstance(field.dataType, DateType):
             column = F.date_format(column, "yyyy-MM-dd")
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
 
-def nudge(digits: int) -> str:
-    """A thousandth of the last digit: engines differ in how they round a value that ends in a 5."""
-    return f"1e-{digits + 3}"
+# Engines differ in how they round a value that ends in a 5, and a last bit may decide which side of
+# a tie a computed value is on. Both sides therefore use the same arithmetic, with ties off the edge.
+HALF = 0.501
+
+
+def _rounded_column(column: Column, digits: int) -> Column:
+    scale = F.lit(float(10 ** digits))
+    return F.floor(column * scale + F.lit(HALF)) / scale
 
 
 # ------------------------------------------------------------------------- pieces of SQL text
 def rounded(expression: str, digits: int = 4) -> str:
-    return f"(round({expression} + {nudge(digits)}, {digits}) + 0.0)"
+    return f"(floor(({expression}) * 1e{digits} + {HALF}::DOUBLE) / 1e{digits})"
 
 
 def whole(expression: str) -> str:
