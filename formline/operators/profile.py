@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 from formline import fixed_values as fv
 from formline.functions import names as N
 from formline.functions.columns import null_if_nan
-from formline.operators.quantiles import MAX_VALUES, Quantiles, exact_quantiles, long_values
+from formline.operators.quantiles import MAX_VALUES, exact_quantiles, long_values
 
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def _with_quartiles(statistics: DataFrame, quartiles: Quantiles) -> DataFrame:
-    """Add q25, q50 and q75 to rows per column (one row per column of the table)."""
-    rows = [(column, *[found[q] for q in QUARTILES]) for column, found in quartiles.items()]
-    table = statistics.sparkSession.createDataFrame(rows, "column string, q25 double, q50 double, q75 double")
-    return statistics.join(F.broadcast(table), "column")
+def _quartile_table(df: DataFrame, columns: Sequence[str], max_values: int) -> DataFrame:
+    """(column, q25, q50, q75): one row per column of the table."""
+    found = exact_quantiles(df, columns, QUARTILES, max_values)
+    rows = [(column, *[found[column][q] for q in QUARTILES]) for column in columns]
+    return df.sparkSession.createDataFrame(rows, "column string, q25 double, q50 double, q75 double")
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str], max_values: int = MAX_VALUES) -> DataFrame:
@@ -32,7 +32,7 @@ def describe_columns(df: DataFrame, columns: Sequence[str], max_values: int = MA
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    described = _with_quartiles(statistics, exact_quantiles(df, columns, QUARTILES, max_values))
+    described = _quartile_table(df, columns, max_values).join(statistics, "column", "left").fillna(0, ["count"])
     return described.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -43,8 +43,9 @@ def outlier_columns(df: DataFrame, targets: Sequence[str] = fv.TARGETS) -> list[
 def _with_fences(df: DataFrame, columns: Sequence[str], max_values: int) -> DataFrame:
     """(column, value) rows with quartiles and the bounds 1.5 interquartile ranges beyond them."""
     reach = (F.col("q75") - F.col("q25")) * 1.5
-    fenced = _with_quartiles(long_values(df, columns), exact_quantiles(df, columns, QUARTILES, max_values))
-    return fenced.withColumns({"low": F.col("q25") - reach, "high": F.col("q75") + reach})
+    fences = _quartile_table(df, columns, max_values).withColumns({
+        "low": F.col("q25") - reach, "high": F.col("q75") + reach})
+    return long_values(df, columns).join(F.broadcast(fences), "column")
 
 
 def _outside() -> Column:

@@ -52,13 +52,16 @@ def exact_quantiles(
 
 @dataclass
 class _Search:
-    """The ranks on either side of one quantile, and the open interval (lo, hi) that still holds them."""
+    """The ranks on either side of one quantile, and the open interval (lo, hi) that still holds them.
+
+    A bound of None is no bound, so that infinite values take part.
+    """
 
     column: str
     probability: float
     size: int
-    lo: float = -math.inf
-    hi: float = math.inf
+    lo: float | None = None
+    hi: float | None = None
     up_to_lo: int = 0  # number of values <= lo
     below_hi: int = 0  # number of values < hi
     at: dict[int, float] = field(default_factory=dict)
@@ -77,7 +80,9 @@ class _Search:
         return self.below_hi - self.up_to_lo
 
     def holds(self) -> Column:
-        return (F.col(self.column) > F.lit(self.lo)) & (F.col(self.column) < F.lit(self.hi))
+        value = F.col(self.column)
+        above = value.isNotNull() if self.lo is None else value > self.lo
+        return above if self.hi is None else above & (value < self.hi)
 
     def proposals(self) -> list[float]:
         """Local probabilities a little below the first and above the last open rank."""
@@ -93,9 +98,9 @@ class _Search:
                 self.at[rank] = value
         if not self.open_ranks:
             return
-        if up_to <= self.open_ranks[0] and value > self.lo:
+        if up_to <= self.open_ranks[0] and (self.lo is None or value > self.lo):
             self.lo, self.up_to_lo = value, up_to
-        if below > self.open_ranks[-1] and value < self.hi:
+        if below > self.open_ranks[-1] and (self.hi is None or value < self.hi):
             self.hi, self.below_hi = value, below
 
     def value(self) -> float:
@@ -181,7 +186,11 @@ def _rank_inside(values: DataFrame, searches: Sequence[_Search]) -> None:
     counted = (
         long_values(values, sorted({s.column for s in searches}))
         .join(F.broadcast(intervals.drop("ranks")), "column")
-        .filter((F.col("value") > F.col("lo")) & (F.col("value") < F.col("hi")))
+        .filter(
+            F.col("value").isNotNull()
+            & (F.col("lo").isNull() | (F.col("value") > F.col("lo")))
+            & (F.col("hi").isNull() | (F.col("value") < F.col("hi")))
+        )
         .groupBy("search", "value").count()
     )
     ordered = Window.partitionBy("search").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
