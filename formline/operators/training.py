@@ -111,7 +111,11 @@ def load_model(path: str, model: str, target: str) -> PipelineModel:
 
 
 def train_models(modelling: ModellingData, config: ModelConfig, targets: Sequence[str] | None = None) -> TrainedModels:
-    """All targets on the same assembled vectors, which are kept for the fits. The primary target goes first."""
+    """All targets on the same assembled vectors, which are kept for the fits. The primary target goes first.
+
+    The table is read for the missing counts, the medians and the assembly: pass a written one
+    (``write_split``) rather than one whose features would be computed again each time.
+    """
     chosen = list(targets or modelling.targets)
     chosen.sort(key=lambda target: target != fv.PRIMARY_TARGET)
     train = with_numeric_features(modelling.train, modelling.features)
