@@ -10,19 +10,16 @@ order with a bounded number of rows.
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cache, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of one group that a single window task is asked to sort.
 MAX_GROUP_ROWS = 2_000_000
-# Blocks grow beyond that size rather than exceed this number of range partitions.
-MAX_BLOCKS = 20_000
 BLOCK = "_block"
 
 
@@ -47,31 +44,33 @@ def same_values(left: Sequence[str], right: Sequence[str]) -> Column:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent, a temporary folder serves a local session; a cluster has to name a
-    folder that all executors can reach.
+    A session without the setting gets one inside its warehouse, which all executors reach as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
-        root = _local_scratch()
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="formline-")
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read back.
 
     It is computed once, keeps its rows when executors are lost, and has a known size, by which
-    Catalyst decides whether to broadcast it.
+    Catalyst decides whether to broadcast it. Files go when the job that asked for them is over:
+    see ``remove_scratch``.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(df: DataFrame) -> None:
+    """Delete the files of a frame that ``stored`` returned, once nothing lazy reads it any more."""
+    spark = df.sparkSession
+    for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def find_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> HotGroups | None:
@@ -91,7 +90,7 @@ def cut_blocks(df: DataFrame, hot: HotGroups, order: Sequence[Column]) -> DataFr
     The range bounds come from a sample, which affects only how even the blocks are. The result is
     stored, so that every later use of it sees the same block numbers.
     """
-    blocks = min(math.ceil(hot.rows / hot.block_rows), MAX_BLOCKS)
+    blocks = math.ceil(hot.rows / hot.block_rows)
     rows = df.join(hot.table, hot.matches(), "left_semi")
     ranged = rows.repartitionByRange(blocks, *[F.col(key) for key in hot.keys], *order)
     return stored(ranged.withColumn(BLOCK, F.spark_partition_id()), "blocks")
