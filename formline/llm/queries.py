@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import curriculum, sharding
+from formline.llm import curriculum, parity_join, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -46,3 +46,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     dealt = sharding.shard_uniformly(docs, 24, seed=20)
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
                         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op5_jaccard_join")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents linked by a shingle similarity of 0.75 or more."""
+    return parity_join.near_duplicates(table(spark, folder, "documents"))
