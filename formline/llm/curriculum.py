@@ -16,7 +16,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SLOPES = (-0.5, 0.0, 0.5)
 SHARE, CAP = 1.5, 2.0
 # Rows of one source that one task puts into order.
-RUN_ROWS = 100_000
+RUN_ROWS = 10_000
 
 
 def word_count(text: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import curriculum, parity_join, sharding
+from formline.llm import curriculum, language, parity_join, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -52,3 +52,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents linked by a shingle similarity of 0.75 or more."""
     return parity_join.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op7_language")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, folder, "documents")
+    found = language.predict(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
