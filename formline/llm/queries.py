@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import curriculum, language, parity_join, sharding
+from formline.llm import curriculum, language, packing, parity_join, sharding
+
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -60,3 +69,10 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = language.predict(docs.select("doc_id", "text"), language.fit(docs))
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op1_packing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens packed into sequences of at most 4096."""
+    packed = packing.pack_documents(table(spark, folder, "documents"), tokenizer_file(packing.TOKENIZER))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "bins", "bound")
