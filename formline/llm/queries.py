@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import curriculum, language, packing, parity_join, sharding
+from formline.llm import curriculum, language, packing, parity_join, secrets, sharding
 
 
 
@@ -76,3 +76,14 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's tokens packed into sequences of at most 4096."""
     packed = packing.pack_documents(table(spark, folder, "documents"), tokenizer_file(packing.TOKENIZER))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "bins", "bound")
+
+
+@query("op2_secrets")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document: fixed patterns and incompressible strings."""
+    found = secrets.secret_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("secret_spans", lambda s: s["kind"] != "novel")
+    count = lambda kind: F.size(F.filter("secret_spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3]],
+                        F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("secret_spans")).alias("spans"),
+                        count("novel").alias("n_novel"))
