@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import curriculum, language, packing, parity_join, secrets, sharding
+from formline.llm import curriculum, language, packing, parity_join, secrets, sharding, warc
 
 
 
@@ -87,3 +87,10 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *[count(kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3]],
                         F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("secret_spans")).alias("spans"),
                         count("novel").alias("n_novel"))
+
+
+@query("op3_warc")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    found = warc.archived(table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
