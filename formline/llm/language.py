@@ -18,11 +18,13 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 # Bound of the fitting sample: about this many documents of each language, drawn by a hash of the id.
-FIT_DOCS = 5_000
+FIT_DOCS = 2_500
 # Words and n-grams seen less often in the sample of a language are left to shorter n-grams.
 MIN_WORD, MIN_GRAM = 3, 3
-ORDERS = (5, 4, 3, 2, 1)
+ORDERS = (4, 3, 2, 1)
 SMOOTH = 0.5
+# Longer runs of letters are not words: the model does not learn them, n-grams score them.
+LONGEST = 60
 # Languages the model tells apart at most have to fit the driver; so many is far beyond any corpus.
 CACHE_WORDS = 200_000
 
@@ -41,26 +43,29 @@ def grams(word: str, order: int) -> list[str]:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram_order, piece, times); order 0 is the whole word."""
-    found: Counter = Counter()
-
-    def rows() -> pa.RecordBatch:
-        keys, times = list(found), list(found.values())
-        found.clear()
-        columns = [pa.array([k[j] for k in keys], t) for j, t in ((0, pa.string()), (1, pa.int32()), (2, pa.string()))]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(times, pa.int64())], ["lang", "gram_order", "piece", "times"])
+    words: dict[str, Counter] = {}
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for lang, found in words.items():
+            pieces = {0: found, **{order: Counter() for order in ORDERS}}
+            for word, n in found.items():
+                for order in ORDERS:
+                    counts = pieces[order]
+                    for gram in grams(word, order):
+                        counts[gram] += n
+            for order, counts in pieces.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(counts), pa.string()), pa.array([order] * len(counts), pa.int32()),
+                     pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                    ["lang", "gram_order", "piece", "times"])
+        words.clear()
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            for word, n in Counter(LETTERS.findall(text.as_py().lower())).items():
-                found[lang, 0, word] += n
-                if len(word) < 40:
-                    for order in ORDERS:
-                        for gram in grams(word, order):
-                            found[lang, order, gram] += n
-            if len(found) > 500_000:
-                yield rows()
-    if found:
-        yield rows()
+            words.setdefault(lang, Counter()).update(w for w in LETTERS.findall(text.as_py().lower()) if len(w) <= LONGEST)
+        if sum(map(len, words.values())) > 300_000:
+            yield from rows()
+    yield from rows()
 
 
 class Model:
@@ -103,7 +108,7 @@ class Scorer:
             if rows:
                 if self.used == CACHE_WORDS:
                     self.seen, self.used = dict(self.model.words), 0
-                self.extra[self.used] = self.model.table[rows].mean(axis=0)
+                self.extra[self.used] = np.add.reduce(self.model.table[rows]) / len(rows)
                 self.seen[word] = self.known + self.used
                 self.used += 1
                 return self.known + self.used - 1
