@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import curriculum, language, packing, parity_join, secrets, sharding, warc
+from formline.llm import curriculum, language, licenses, packing, parity_join, secrets, sharding, warc
 
 
 
@@ -94,3 +94,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
     found = warc.archived(table(spark, folder, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+@query("op6_licenses")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    found = licenses.license_notices(table(spark, folder, "documents").select("doc_id", "text"))
+    names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return found.select("doc_id", *[F.col(f"license.{name}").alias(name) for name in names])
