@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import curriculum, language, licenses, packing, parity_join, secrets, sharding, warc
+from formline.llm import curriculum, language, licenses, packing, parity_join, pivot_index, secrets, sharding, warc
 
 
 
@@ -102,3 +102,9 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.license_notices(table(spark, folder, "documents").select("doc_id", "text"))
     names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
     return found.select("doc_id", *[F.col(f"license.{name}").alias(name) for name in names])
+
+
+@query("op8_embedding_duplicates")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of embeddings linked by a cosine of 0.9 or more."""
+    return pivot_index.near_duplicate_vectors(table(spark, folder, "embeddings"))
