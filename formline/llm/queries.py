@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import curriculum, language, licenses, packing, parity_join, pivot_index, secrets, sharding, warc
+from formline.llm import curriculum, language, licenses, packing, parity_join, pivot_index, posting_search, secrets, sharding, warc
 
 
 
@@ -108,3 +108,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of embeddings linked by a cosine of 0.9 or more."""
     return pivot_index.near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op9_nearest")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 nearest embeddings of every 50th one."""
+    rows = table(spark, folder, "embeddings")
+    found = posting_search.nearest_neighbours(rows, rows.filter("vec_id % 50 = 0"))
+    return found.withColumnRenamed("id", "vec_id")
