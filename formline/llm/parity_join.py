@@ -274,6 +274,14 @@ def _labelled(keys: DataFrame, edges: DataFrame) -> DataFrame:
         "key", "fp", "n", F.coalesce("component", "fp").alias("part"))
 
 
+def _members(docs: DataFrame, width: int) -> DataFrame:
+    """(id, n, fp, label) of every row; label, the same throughout a group, is null for the empty set."""
+    found = sketch(docs, width)
+    labels = stored(groups(found), "groups")
+    return found.digests.join(labels, found.digests["fp"] == labels["node"], "left").select(
+        "id", "n", "fp", F.when(F.col("n") > 0, F.coalesce("component", "fp")).alias("label"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """One row per document: id, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
 
@@ -287,11 +295,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns are left out; an empty table gives an empty table.
     """
     docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    found = sketch(docs, width)
-    labels = stored(groups(found), "groups")
-    members = found.digests.join(labels, found.digests["fp"] == labels["node"], "left").withColumn(
-        "label", F.when(F.col("n") > 0, F.coalesce("component", "fp")))
+    members = _members(docs, width)
     least = members.filter("label is not null").groupBy("label").agg(F.min("id").alias("least"))
     named = members.join(least, "label", "left")
     own = F.when(F.col("id").isNotNull(), F.coalesce("least", "id"))
     return named.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """All columns of ``docs``, one row of each group: that with the smallest id (see ``near_duplicates``).
+
+    Rows without words, and rows with a null id, all stay. Where an id is repeated, its rows are told apart
+    by their sets; of equal ones a single row stays, any of them.
+    """
+    members = stored(_members(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), width), "members")
+    first = members.filter("label is not null and id is not null").groupBy("label").agg(F.min(F.struct("id", "fp")).alias("first"))
+    gone = members.filter("id is not null").join(first, "label").filter("id <> first.id or fp <> first.fp").select("id", "fp")
+    gone = stored(gone.distinct(), "gone")
+    repeated = stored(members.filter("id is not null").groupBy("id").count().filter("count > 1").select("id"), "repeated")
+    own = F.col(f"`{id_col}`")
+    single = docs.join(gone.select("id").distinct(), own == gone["id"], "left_anti")
+    if repeated.isEmpty():
+        return single
+
+    @F.arrow_udf("array<bigint>")
+    def told(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            with np.errstate(over="ignore"):
+                yield pa.array([[len(x), fingerprint(x)[0] if len(x) else 0] for x in sets_of_batch(column, width)], pa.list_(pa.int64()))
+
+    single = single.join(repeated, own == repeated["id"], "left_anti")
+    several = docs.join(repeated, own == repeated["id"], "left_semi").withColumn("_pj", told(F.col(f"`{text_col}`")))
+    empty = several.filter(F.col("_pj")[0] == 0).drop("_pj")
+    several = several.filter(F.col("_pj")[0] > 0).withColumn("_pj", F.col("_pj")[1])
+    several = several.join(gone, (own == gone["id"]) & (F.col("_pj") == gone["fp"]), "left_anti")
+    return single.unionByName(empty).unionByName(several.dropDuplicates([id_col, "_pj"]).drop("_pj"))
