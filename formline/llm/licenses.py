@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formline.llm.texts import ALNUM_BYTES, LOWER, slices, text_bytes, word_bounds, word_hashes
+from formline.llm.texts import ALNUM_BYTES, LOWER, hashed_words, slices, text_bytes
 
 # Fixed phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -56,8 +56,7 @@ def words_of(text: str) -> list[str]:
 def hashes_of(words: Sequence[str]) -> np.ndarray:
     data = np.frombuffer(" ".join(words).encode(), np.uint8)
     with np.errstate(over="ignore"):
-        starts, ends, _ = word_bounds(data, np.array([0, len(data)]), ALNUM_BYTES)
-        return word_hashes(data, starts, ends)
+        return hashed_words(data, np.array([0, len(data)]), ALNUM_BYTES)[0]
 
 
 @dataclass
@@ -112,13 +111,11 @@ def frequencies(docs: DataFrame, words: list[str], text_col: str) -> np.ndarray:
 def _hits(data: np.ndarray, bounds: np.ndarray, hashes: np.ndarray):
     """Words of the slice that are in the sorted hashes: (word index, place in hashes, firsts per row, words in all)."""
     with np.errstate(over="ignore"):
-        data = LOWER[data]
-        starts, ends, firsts = word_bounds(data, bounds, ALNUM_BYTES)
-        found = word_hashes(data, starts, ends)
+        found, firsts = hashed_words(LOWER[data], bounds, ALNUM_BYTES)
     place = np.searchsorted(hashes, found)
     place[place == len(hashes)] = 0
     at = np.flatnonzero(hashes[place] == found) if len(hashes) else np.zeros(0, np.int64)
-    return at, place[at], firsts, len(starts)
+    return at, place[at], firsts, len(found)
 
 
 def build_index(docs: DataFrame, text_col: str = "text", templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> Index:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from formline.llm.texts import LOWER, NOT_SPACE, SLICE_BYTES, SPACE_BYTES, chunks, slices, text_bytes, word_hashes
 from formline.operators.layout import stored
 
 CAPACITY = 4096
@@ -20,60 +22,141 @@ TOKENIZER = "word_bpe_49k.json"
 # Pieces that one task packs; a piece is a few numbers.
 GROUP_PIECES = 20_000
 ROUNDS = 3
-# Bounds of a task's memory for token ids of words.
-CACHE_WORDS, CACHE_IDS = 400_000, 4_000_000
+# A worker forgets its pieces once they have so many token ids; a piece has three or four.
+CACHE_IDS = 1 << 22
+
+
+# Kinds of bytes: pieces are runs of one kind, single digits, or whole words with anything else in them.
+_SPACE, _LETTER, _MARK, _DIGIT, _ELSE = 0, 1, 2, 3, 4
+_KIND = np.full(256, _ELSE, np.uint8)
+_KIND[0x21:0x7F] = _MARK
+_KIND[0x27] = _ELSE  # the apostrophe joins letters
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _KIND[0x80:0xC0] = _KIND[0xC3] = _LETTER
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[SPACE_BYTES] = _SPACE
+# Byte-level vocabularies write a byte as a printable character: itself, or the next one from 256 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_WRITTEN = {byte: 256 + n for n, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+def cut_pieces(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes in lower case, start and end of each piece, and whether it needs the whole tokenizer.
+
+    The tokenizer drops white space and joins nothing across it. Within a word it takes runs of letters,
+    single digits and runs of other marks by themselves, and all letters in lower case. Here the letters are
+    those of ASCII and of U+00C0 to U+00FF; a word with anything else, or an apostrophe, stays whole.
+    """
+    kind, data = _KIND[data], LOWER[data]
+    before = np.concatenate([np.zeros(1, np.uint8), data[:-1]])
+    following = (data >= 0x80) & (data < 0xC0)
+    led = following & (before == 0xC3)
+    odd = (kind == _ELSE) | (following & ~led) | (led & ((data == 0x97) | (data == 0xB7)))
+    data = data + (led & (data < 0x9F) & (data != 0x97)) * np.uint8(0x20)
+    inside = kind != _SPACE
+    previous = np.concatenate([np.zeros(1, np.uint8), kind[:-1]])
+    previous[bounds[:-1][bounds[:-1] < len(data)]] = _SPACE
+    first = inside & (previous == _SPACE)  # of a word
+    word = np.cumsum(first) - 1
+    whole = np.zeros(int(first.sum()) + 1, bool)
+    whole[word[odd]] = True
+    starts = np.flatnonzero(first | (inside & ((kind != previous) | (kind == _DIGIT)) & ~whole[word]))
+    after = np.concatenate([inside[1:], np.zeros(1, bool)])
+    after[bounds[1:][bounds[1:] > 0] - 1] = False
+    last = np.flatnonzero(inside & ~after) + 1  # ends of words
+    ends = np.minimum(np.append(starts[1:], len(data)), last[word[starts]]) if len(starts) else starts
+    return data, starts, ends, whole[word[starts]]
 
 
 class WordTokens:
-    """Token ids of whole texts, tokenising each distinct word once.
+    """Token ids of whole texts, tokenising each distinct piece of a word once.
 
-    The tokenizer never joins what stands on either side of white space and drops the white space, so the
-    ids of a text are those of its words one after the other.
+    Pieces of letters, digits or marks go straight to the tokenizer's model, many at once; words that hold
+    anything else go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # whether a token ends a piece
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.begin = np.zeros(CACHE_WORDS + 1, np.int64)
-        self.words = 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode() for w in words]
-        for word, found in zip(words, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            ids = found.ids
-            at = int(self.begin[self.words])
-            while at + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[at : at + len(ids)] = ids
-            self.place[word] = self.words
-            self.words += 1
-            self.begin[self.words] = at + len(ids)
-
-    def encode(self, text: bytes) -> np.ndarray:
-        """The ids of a UTF-8 text."""
-        words = text.split()  # at ASCII white space, which is white space to the tokenizer as well
-        parts = [self._encode_words(words[a : a + 50_000]) for a in range(0, len(words), 50_000)]
-        return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-
-    def _encode_words(self, words: list[bytes]) -> np.ndarray:
-        new = [w for w in dict.fromkeys(words) if w not in self.place]
-        if new:
-            if self.words + len(new) > CACHE_WORDS or self.begin[self.words] > CACHE_IDS:
+        self.place: dict[int, int] = {}  # by the piece's hash
+        self.ids, self.begin, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
+
+    def _learn(self, hashes: list[int], pieces: list[bytes], plain: np.ndarray) -> None:
+        simple = [piece for piece, easy in zip(pieces, plain) if easy]
+        other = [piece.decode() for piece, easy in zip(pieces, plain) if not easy]
+        ids, sizes = [np.zeros(0, np.uint32)], np.zeros(len(pieces), np.int64)
+        if simple:
+            written = [p.decode() if p.isascii() else p.decode("latin-1").translate(_WRITTEN) for p in simple]
+            lines = [" ".join(written[a : a + 1_000]) for a in range(0, len(written), 1_000)]
+            ids.append(np.concatenate([np.array(x.ids, np.uint32) for x in self.model.encode_batch_fast(lines, add_special_tokens=False)]))
+            sizes[: len(simple)] = np.diff(np.flatnonzero(self.last[ids[-1]]), prepend=-1)
+        if other:
+            found = [x.ids for x in self.tokenizer.encode_batch(other, add_special_tokens=False)]
+            ids.append(np.array([i for x in found for i in x], np.uint32))
+            sizes[len(simple) :] = [len(x) for x in found]
+        flat, n = np.concatenate(ids), len(self.place)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while n + 1 + len(pieces) > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.begin[n + 1 : n + 1 + len(pieces)] = self.used + np.cumsum(sizes)
+        self.used += len(flat)
+        in_order = np.argsort(~plain, kind="stable").tolist()
+        self.place.update(zip(map(hashes.__getitem__, in_order), range(n, n + len(pieces))))
+
+    def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts whose UTF-8 bytes stand one after the other, and where each text's ids begin.
+
+        ``bounds``: n + 1 byte offsets from 0 to len(data).
+        """
+        if len(bounds) == 2 and len(data) > 2 * SLICE_BYTES:
+            parts = [self._encode(part, np.array([0, len(part)]))[0] for part in chunks(data, NOT_SPACE)]
+            return np.concatenate(parts), np.array([0, sum(map(len, parts))])
+        return self._encode(data, bounds)
+
+    def _encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        data, starts, ends, whole = cut_pieces(data, bounds)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
+        with np.errstate(over="ignore"):
+            hashes, first, inverse = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        at = np.fromiter(map(self.place.get, hashes.tolist(), repeat(-1)), np.int64, len(hashes))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            if self.used > CACHE_IDS:
                 self._clear()
-                new = list(dict.fromkeys(words))
-            self._learn(new)
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        first, size = self.begin[at], self.begin[at + 1] - self.begin[at]
-        total = int(size.sum())
-        ends = np.cumsum(size)
-        return self.ids[np.arange(total) + np.repeat(first - (ends - size), size)]
+                new = np.arange(len(hashes))
+            text, where = data.tobytes(), first[new]
+            pieces = [text[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())]
+            keys = hashes[new].tolist()
+            self._learn(keys, pieces, ~whole[where])
+            at[new] = list(map(self.place.__getitem__, keys))
+        places = at[inverse]
+        begin = self.begin[places]
+        sizes = self.begin[places + 1] - begin
+        reached = np.cumsum(sizes)
+        ids = self.ids[np.arange(reached[-1]) + np.repeat(begin - reached + sizes, sizes)]
+        return ids, np.concatenate([np.zeros(1, np.int64), reached])[np.searchsorted(starts, bounds)]
+
+
+_WORDS: dict[str, WordTokens] = {}
+
+
+def word_tokens(path: str) -> WordTokens:
+    """The one of this Python worker, which keeps what it learned from one task to the next."""
+    if path not in _WORDS:
+        _WORDS[path] = WordTokens(path)
+    return _WORDS[path]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -87,18 +170,20 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     schema = f"id {kind}, row long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(tokenizer)
+        words = word_tokens(tokenizer)
         for batch in batches:
             which, piece, start, length, crc, held = [], [], [], [], [], []
-            for j, text in enumerate(batch.column(2)):
-                ids = words.encode(text.as_buffer().to_pybytes()) if text.is_valid else np.zeros(0, np.uint32)
-                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                for k, at in enumerate(range(0, len(ids), capacity)):
-                    part = ids[at : at + capacity]
-                    which.append(j), piece.append(k), start.append(at), length.append(len(part))
-                    crc.append(zlib.crc32(part.tobytes()))
-                    if with_ids:
-                        held.append(part.astype(np.int32))
+            data, bounds = text_bytes(batch.column(2))
+            for a, b in slices(bounds):
+                found, places = words.encode(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
+                for j, begin, end in zip(range(a, b), places[:-1].tolist(), places[1:].tolist()):
+                    ids = np.append(found[begin:end], np.uint32(END_ID)).astype("<u4", copy=False)
+                    for k, at in enumerate(range(0, len(ids), capacity)):
+                        part = ids[at : at + capacity]
+                        which.append(j), piece.append(k), start.append(at), length.append(len(part))
+                        crc.append(zlib.crc32(part))
+                        if with_ids:
+                            held.append(part.astype(np.int32))
             columns = [batch.column(0).take(pa.array(which, pa.int64())), batch.column(1).take(pa.array(which, pa.int64())),
                        pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             names = ["id", "row", "piece", "start", "length", "ids_crc32"]

@@ -88,14 +88,41 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
+def chunks(data: np.ndarray, member: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[np.ndarray]:
+    """A long text in pieces of about ``limit`` bytes, cut where no word is: bounds the arrays of a single row."""
+    at = 0
+    while len(data) - at > limit:
+        cut = at + limit
+        while cut < len(data):  # on to the next byte outside words
+            gap = np.flatnonzero(~member[data[cut : cut + 4096]])
+            if len(gap):
+                cut += int(gap[0])
+                break
+            cut += 4096
+        cut = min(cut, len(data))
+        yield data[at:cut]
+        at = cut
+    yield data[at:]
+
+
+def hashed_words(data: np.ndarray, bounds: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a slice of rows, and per row the first word's index."""
+    if len(bounds) == 2 and len(data) > 2 * SLICE_BYTES:
+        found = []
+        for part in chunks(data, member):
+            starts, ends, _ = word_bounds(part, np.array([0, len(part)]), member)
+            found.append(word_hashes(part, starts, ends))
+        return np.concatenate(found), np.array([0, sum(map(len, found))])
+    starts, ends, firsts = word_bounds(data, bounds, member)
+    return word_hashes(data, starts, ends), firsts
+
+
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, width: int = 5) -> list[np.ndarray]:
     """For each row the sorted distinct 64-bit hashes of its word shingles, A-Z lower-cased.
 
     A row with fewer words than ``width`` has one shingle, its whole sequence; without words, none.
     """
-    data = LOWER[data]
-    starts, ends, firsts = word_bounds(data, bounds, NOT_SPACE)
-    words = word_hashes(data, starts, ends)
+    words, firsts = hashed_words(LOWER[data], bounds, NOT_SPACE)
     rolled = np.zeros(max(0, len(words) - width + 1), np.uint64)
     for j in range(width):
         rolled = rolled * _STEP + words[j : j + len(rolled)]
