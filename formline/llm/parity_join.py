@@ -21,7 +21,10 @@ NUMERATOR, DENOMINATOR = 3, 4
 BAND, PIECES = 64, 2
 # A bitmap of this many bits tells which documents to look at again; fuller, it only lets more through.
 BITMAP_BITS = 1 << 24
-MERGE_ROUNDS = 4
+MERGE_ROUNDS = 2
+# Bits of the short sketch by which a pair is judged before its sets are fetched.
+SHORT_BITS = 1024
+SHORT = [f"s{i}" for i in range(SHORT_BITS // 64)]
 
 
 def band_of(n: int) -> int:
@@ -59,6 +62,12 @@ def sketch_pieces(tokens: np.ndarray, band: int) -> np.ndarray:
     return mix(np.bitwise_xor.reduceat(hashed, starts) + mix(piece[starts] * np.uint64(2) + np.uint64(1)) + mix(np.array([salt])))
 
 
+def short_sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parity of the tokens that hash to each of SHORT_BITS bits: its Hamming distance is a lower bound as well."""
+    bits = np.bincount((mix(tokens ^ np.uint64(0x3C3C3C3C3C3C3C3C)) % np.uint64(SHORT_BITS)).astype(np.int64), minlength=SHORT_BITS) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def set_keys(tokens: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
     """(side, slack, keys) for the set's own band and, if a smaller partner may lie there, the band below.
 
@@ -141,9 +150,10 @@ def _needed_sets(width: int, bitmap):
                 with np.errstate(over="ignore"):
                     sets = list(sets_of_batch(part.column(1), width))
                     prints = [fingerprint(x)[0] if len(x) else 0 for x in sets]
+                    short = np.array([short_sketch(x) for x in sets], np.int64).reshape(-1, len(SHORT))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(prints, pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
-                    ["id", "fp", "tokens"])
+                    [part.column(0), pa.array(prints, pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()),
+                     *[pa.array(short[:, j]) for j in range(len(SHORT))]], ["id", "fp", "tokens", *SHORT])
     return run
 
 
@@ -169,8 +179,8 @@ class Sketches:
     """What the join has written to the shared folder."""
 
     digests: DataFrame  # id, n, fp: one row per document
-    keys: DataFrame  # key, fp, n: the keys that decide, of sets that share one
-    sets: DataFrame  # fp, tokens: the sets of those
+    keys: DataFrame  # key, fp, n, common: the keys that decide, of sets that share one
+    sets: DataFrame  # fp, tokens and short sketch of those
 
 
 def sketch(docs: DataFrame, width: int = WIDTH) -> Sketches:
@@ -195,8 +205,10 @@ def sketch(docs: DataFrame, width: int = WIDTH) -> Sketches:
     # The most frequent pieces of a set go first, as many as it can spare.
     frequent = Window.partitionBy("fp", "tag").orderBy(F.desc("rows"), "key")
     kept = shared.withColumn("at", F.row_number().over(frequent)).filter("at > shiftright(tag, 1)").select("key", "fp").distinct()
-    kept = kept.join(classes.select("fp", "n", "id"), "fp")
-    deciding = stored(_with_others(kept, "fp").select("key", "fp", "n", "id"), "deciding-pieces")
+    # How much of a set others have too: in a group of copies, the text they were made from comes first.
+    common = shared.groupBy("fp").agg(F.sum(F.log2("rows")).alias("common"))
+    kept = kept.join(classes.select("fp", "n", "id"), "fp").join(common, "fp").withColumn("common", F.col("common") / F.col("n"))
+    deciding = stored(_with_others(kept, "fp").select("key", "fp", "n", "id", "common"), "deciding-pieces")
     remove_scratch(shared)
 
     needed = deciding.select("fp", "id").distinct()
@@ -208,8 +220,8 @@ def sketch(docs: DataFrame, width: int = WIDTH) -> Sketches:
         bitmap[at] = word
     sent = spark.sparkContext.broadcast(bitmap.tobytes())
     again = docs.filter("id is not null").select("id", "text", bit.alias("bit"))
-    sets = again.mapInArrow(_needed_sets(width, sent), f"id {kind}, fp long, tokens binary")
-    sets = sets.join(needed, ["fp", "id"]).dropDuplicates(["fp"]).select("fp", "tokens")
+    sets = again.mapInArrow(_needed_sets(width, sent), f"id {kind}, fp long, tokens binary, " + ", ".join(f"{s} long" for s in SHORT))
+    sets = sets.join(needed, ["fp", "id"]).dropDuplicates(["fp"]).drop("id")
     return Sketches(digests, deciding.drop("id"), stored(sets, "sets"))
 
 
@@ -230,33 +242,36 @@ def _close_in_size(a: str, b: str) -> Column:
     return F.expr(f"{DENOMINATOR} * {a} >= {NUMERATOR} * {b} and {DENOMINATOR} * {b} >= {NUMERATOR} * {a}")
 
 
-def _meetings(keys: DataFrame) -> DataFrame:
-    """Every pair of sets in different groups (column ``part``) that meet under a key."""
-    rows = _with_others(keys, "part").select("key", "fp", "n", "part")
-    left = rows.select("key", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"))
-    right = rows.select("key", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"))
-    met = left.join(right, "key").filter("a < b and pa <> pb").filter(_close_in_size("na", "nb"))
+def _meetings(keys: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every pair of sets in different groups (column ``part``) that meet under a key and may link by their short sketches."""
+    rows = _with_others(keys, "part").join(sets.select("fp", *SHORT), "fp")
+    left, right = (rows.select("key", F.col("fp").alias(x), F.col("n").alias(f"n{x}"), F.col("part").alias(f"p{x}"),
+                               *[F.col(s).alias(f"{s}{x}") for s in SHORT]) for x in "ab")
+    distance = " + ".join(f"bit_count({s}a ^ {s}b)" for s in SHORT)
+    met = left.join(right, "key").filter("a < b and pa <> pb").filter(_close_in_size("na", "nb")).filter(
+        f"{DENOMINATOR + NUMERATOR} * ({distance}) <= {DENOMINATOR - NUMERATOR} * (na + nb)")
     return met.select("a", "b").distinct()
 
 
 def links(found: Sketches) -> DataFrame:
     """Every link between classes: (a, b, common, united), a and b fingerprints. The exhaustive join."""
-    return verified(_meetings(found.keys.withColumn("part", F.col("fp"))), found.sets)
+    return verified(_meetings(found.keys.withColumn("part", F.col("fp")), found.sets), found.sets)
 
 
 def groups(found: Sketches) -> DataFrame:
     """(node, component) of the classes, without listing the pairs inside a group.
 
-    First each set is compared with one set only, the smallest-labelled one it shares most pieces with, round after
-    round while groups merge. Then every pair that still stands in two groups and meets under a key is
-    compared, which is the whole join but for pairs that are connected anyway.
+    First each set is compared with one set of another group only, round after round while groups merge: of
+    the sets that have most in common with all others under one of its keys, the one it meets most often.
+    Then every pair that still stands in two groups and meets under a key is compared, which is the whole
+    join but for pairs that are connected anyway.
     """
     keys, edges = found.keys, None
     parts = keys.withColumn("part", F.col("fp"))
     for _ in range(MERGE_ROUNDS):
         rows = _with_others(parts, "part")
-        heads = rows.groupBy("key").agg(F.min_by(F.struct("fp", "n"), F.struct("part", "fp")).alias("head"), F.min("part").alias("least"))
-        met = rows.join(heads, "key").filter("part <> least").filter(_close_in_size("n", "head.n"))
+        heads = rows.groupBy("key").agg(F.max_by(F.struct("fp", "n", "part"), F.struct("common", "fp")).alias("head"))
+        met = rows.join(heads, "key").filter("part <> head.part").filter(_close_in_size("n", "head.n"))
         met = met.groupBy(F.col("fp").alias("a"), F.col("head.fp").alias("b")).agg(F.count(F.lit(1)).alias("times"))
         best = met.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
         new = stored(verified(best, found.sets).select("a", "b"), "links")
@@ -264,14 +279,14 @@ def groups(found: Sketches) -> DataFrame:
             break
         edges = stored(edges.unionByName(new), "links") if edges is not None else new
         parts = _labelled(keys, edges)
-    rest = stored(verified(_meetings(parts), found.sets).select("a", "b"), "links")
+    rest = stored(verified(_meetings(parts, found.sets), found.sets).select("a", "b"), "links")
     return connected_components(rest if edges is None else edges.unionByName(rest))
 
 
 def _labelled(keys: DataFrame, edges: DataFrame) -> DataFrame:
     labels = stored(connected_components(edges), "labels")
     return keys.join(labels, keys["fp"] == labels["node"], "left").select(
-        "key", "fp", "n", F.coalesce("component", "fp").alias("part"))
+        "key", "fp", "n", "common", F.coalesce("component", "fp").alias("part"))
 
 
 def _members(docs: DataFrame, width: int) -> DataFrame:

@@ -101,6 +101,8 @@ def test_sketch_distance_is_a_lower_bound():
                 for band in {P.band_of(n), max(0, P.band_of(n) - 1)}:
                     x, y = P.sketch_pieces(a, band), P.sketch_pieces(b, band)
                     assert len(np.setdiff1d(x, y)) <= difference and len(np.setdiff1d(y, x)) <= difference
+                apart = np.bitwise_xor(P.short_sketch(a), P.short_sketch(b)).view(np.uint64)
+                assert np.bitwise_count(apart).sum() <= difference
     assert all(P.most_differences(n, False) >= P.most_differences(n, True) for n in range(1, 2000))
 
 
