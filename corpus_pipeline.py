@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formline.llm import curriculum, language, packing, parity_join, secrets
-from formline.llm.queries import tokenizer_file
+from formline.llm.queries import ship_package, tokenizer_file
 from formline.operators.layout import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -60,6 +60,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents`` one after the other."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +26,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Gives the executors' Python this package, as ``--py-files`` would; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[2]
+    archive = Path(tempfile.mkdtemp(prefix="formline-")) / "formline.zip"  # the driver's copy, which it sends out
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted((root / "formline").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = build
+        @functools.wraps(build)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return build(spark, folder)
+
+        QUERIES[name] = run
         if sql:
             ORACLE_SQL[name] = sql
         return build
