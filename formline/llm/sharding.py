@@ -82,15 +82,15 @@ def shard_uniformly(df: DataFrame, shards: int, seed: int = 0, run_rows: int = R
     blocks, total = sorted(counts), sum(counts.values())
     sizes = [total // shards + (k < total % shards) for k in range(shards)]
     matrix = communication_matrix([counts[b] for b in blocks], sizes, seed)
-    cuts = json.dumps([{"b": b, "c": c} for b, c in zip(blocks, np.cumsum(matrix, axis=1).tolist())])
+    cuts = json.dumps([{"_sh_block": b, "_sh_cuts": c} for b, c in zip(blocks, np.cumsum(matrix, axis=1).tolist())])
 
     # Where a partition begins in its block, and its block's cuts; one small row per input partition.
     before = Window.partitionBy("_sh_block").orderBy("_sh_part").rowsBetween(Window.unboundedPreceding, -1)
-    table = df.sparkSession.range(1).select(F.inline(F.from_json(F.lit(cuts), "array<struct<b:bigint,c:array<bigint>>>")))
+    table = df.sparkSession.range(1).select(F.inline(F.from_json(F.lit(cuts), "array<struct<_sh_block:bigint,_sh_cuts:array<bigint>>>")))
     lookup = parts.withColumn("_sh_from", F.coalesce(F.sum("_sh_rows").over(before), F.lit(0))).join(
-        table.withColumnRenamed("b", "_sh_block"), "_sh_block").select("_sh_part", "_sh_from", "c")
+        table, "_sh_block").select("_sh_part", "_sh_from", "_sh_cuts")
     dealt = numbered.join(lookup, "_sh_part").withColumn("_sh_n", F.col("_sh_row") + F.col("_sh_from"))
-    dealt = dealt.withColumn("shard", F.size(F.filter("c", lambda x: x <= F.col("_sh_n"))).cast("int")).drop("c", "_sh_n", "_sh_from")
+    dealt = dealt.withColumn("shard", F.size(F.filter("_sh_cuts", lambda x: x <= F.col("_sh_n"))).cast("int")).drop("_sh_cuts", "_sh_n", "_sh_from")
 
     runs = max(1, math.ceil(total / shards / run_rows))
     again = F.xxhash64(F.lit(seed + 1), F.col("_sh_key"), F.col("_sh_part"), F.col("_sh_row"))

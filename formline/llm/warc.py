@@ -128,7 +128,7 @@ class _Stream:
                 self.unpacker = zlib.decompressobj(31)
             piece = self.data[self.at : self.at + READ_BYTES]
             out = self.unpacker.decompress(piece, 1 << 20)
-            self.at += len(piece) - len(self.unpacker.unused_data) - len(self.unpacker.unconsumed_tail)
+            self.at += len(piece) - len(self.unpacker.unused_data if self.unpacker.eof else self.unpacker.unconsumed_tail)
             if out:
                 self.buffer += out
                 return True

@@ -59,7 +59,7 @@ def test_equals_brute_force(spark):
         assert tuple(got[n] for n in names) == want[:7], row["text"]
         assert sorted(tuple(b) for b in got["blocks"]) == want[7]
         matched += bool(want[7])
-    assert matched > 40
+    assert matched > 30
 
 
 def test_prefix_is_rarest_by_all_texts(spark):
