@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -24,6 +25,7 @@ HEADLINE = [
     "full_features", "lookup_join", "select_players", "top_k_per_group", "null_counts", "duplicate_keys",
     "merge_report", "multi_hot", "describe_columns", "outlier_summary", "histogram", "correlation_pairs",
     "time_split", "regression_metrics", "metric_comparison", "importance_table", "train_metrics",
+    "full_feature_report", "opponent_table", "career_logs", "gain_importance", "sample_per_group", "hot_running",
 ]
 
 
@@ -44,6 +46,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))  # one machine: any folder is shared
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -16,7 +16,6 @@ GAME_LOG_INT_COLUMNS = [
     "OREB", "DREB", "REB", "AST", "STL", "BLK", "TOV", "PF", "PTS", "PLUS_MINUS", "VIDEO_AVAILABLE",
 ]
 GAME_LOG_DOUBLE_COLUMNS = ["FG_PCT", "FG3_PCT", "FT_PCT", "FANTASY_PTS"]
-PERCENTAGE_COLUMNS = ["FG_PCT", "FG3_PCT", "FT_PCT"]
 # Keys need 64 bits when the tables come from elsewhere; the rest are small counts.
 LONG_COLUMNS = ["SEASON_ID", "PLAYER_ID", "TEAM_ID", "GAME_ID"]
 

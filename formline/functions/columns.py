@@ -39,8 +39,14 @@ def null_if_nan(value: ColumnLike) -> Column:
 
 
 def season_start_year(season: ColumnLike) -> Column:
-    """``2023-24`` gives 2023."""
-    return F.split_part(as_column(season).cast("string"), F.lit("-"), F.lit(1)).cast("int")
+    """``2023-24`` gives 2023. NULL stays NULL; anything that does not begin with a number raises."""
+    text = as_column(season).cast("string")
+    return F.when(text.isNotNull(), _or_error(F.split_part(text, F.lit("-"), F.lit(1)).try_cast("int"), "season", text))
+
+
+def _or_error(parsed: Column, what: str, text: Column) -> Column:
+    """The parsed value, or an error that shows the text; independent of the session's ANSI mode."""
+    return F.coalesce(parsed, F.raise_error(F.concat(F.lit(f"malformed {what}: "), text)).cast("int"))
 
 
 def season_label(start_year: ColumnLike) -> Column:
@@ -115,9 +121,10 @@ def age_at(day: ColumnLike, birth_day: ColumnLike) -> Column:
 def height_inches(height: ColumnLike = "HEIGHT") -> Column:
     """``6-9`` gives 81. NULL stays NULL; malformed text raises, as a silent NULL would hide bad data."""
     text = as_column(height)
-    feet = F.split_part(text, F.lit("-"), F.lit(1)).cast("int")
-    inches = F.split_part(text, F.lit("-"), F.lit(2)).cast("int")
-    return feet * 12 + inches
+    feet = F.split_part(text, F.lit("-"), F.lit(1)).try_cast("int")
+    inches = F.split_part(text, F.lit("-"), F.lit(2)).try_cast("int")
+    parsed = F.when(F.size(F.split(text, "-")) == 2, feet * 12 + inches)
+    return F.when(text.isNotNull(), _or_error(parsed, "height", text))
 
 
 def draft_pick_number(draft_pick: ColumnLike = "DRAFT_PICK") -> Column:

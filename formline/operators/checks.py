@@ -86,28 +86,6 @@ def selected_ranges(df: DataFrame, columns: Sequence[str] = fv.RANGE_COLUMNS) ->
     })
 
 
-def partition_diagnostics(df: DataFrame, entity: str = "PLAYER_ID") -> DataFrame:
-    """Rows and distinct entities of each physical partition."""
-    return (
-        df.select(F.spark_partition_id().alias("partition_id"), entity)
-        .groupBy("partition_id")
-        .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(entity).alias("players"))
-    )
-
-
-def planned_partitions(df: DataFrame, entity: str = "PLAYER_ID", partitions: int = 8) -> DataFrame:
-    """The same report for a repartitioning by entity that need not be carried out.
-
-    A row's partition is its key's hash modulo the number of partitions, so a partial aggregate over
-    the key column tells how even ``repartition(partitions, entity)`` would be.
-    """
-    place = F.pmod(F.hash(entity), F.lit(partitions))
-    return (
-        df.groupBy(place.alias("partition_id"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(entity).alias("players"))
-    )
-
-
 def merge_report(
     before: DataFrame,
     lookup: DataFrame,
@@ -178,6 +156,21 @@ def require_columns(df: DataFrame, columns: Sequence[str], what: str = "columns"
         raise ValueError(f"Missing {what}: {absent}")
 
 
+def unique_by(df: DataFrame, keys: Sequence[str], name: str = "lookup") -> DataFrame:
+    """The frame with one row per key; a key that occurs twice raises when its row is computed.
+
+    One aggregate per key, combined before the shuffle, in place of a check that runs by itself.
+    """
+    others = [column for column in df.columns if column not in keys]
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("NULL")) for key in keys])
+    message = F.concat(F.lit(f"{name} contains duplicate {', '.join(keys)} values: "), shown)
+    one = df.groupBy(*[F.col(f"`{key}`") for key in keys]).agg(
+        F.count(F.lit(1)).alias("_rows"), F.any_value(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others])).alias("_row"))
+    checked = F.when(F.col("_rows") == 1, F.col("_row")).otherwise(F.raise_error(message).cast(one.schema["_row"].dataType))
+    return one.withColumn("_row", checked).select(*[
+        F.col(f"`{column}`") if column in keys else F.col(f"_row.`{column}`").alias(column) for column in df.columns])
+
+
 def require_unique(df: DataFrame, keys: Sequence[str], name: str = "lookup") -> None:
     """The many-to-one contract of a lookup join."""
     offending = duplicate_groups(df, keys).limit(5).collect()
@@ -203,11 +196,19 @@ def require_entities(facts: DataFrame, lookup: DataFrame, entity: str = "PLAYER_
         raise ValueError(f"Missing metadata for {entity} values: {[row[0] for row in absent]}")
 
 
+class UnmappedCodes(ValueError):
+    """Codes without an id; ``codes`` is the frame of all of them."""
+
+    def __init__(self, codes: DataFrame, count: int, examples: Sequence[str]):
+        super().__init__(f"{count} codes have no id, e.g. {list(examples)}; see the exception's 'codes' for all.")
+        self.codes, self.count = codes, count
+
+
 def require_mapped_codes(
     df: DataFrame, code: str = "opponent_abbreviation", mapped: str = "opponent_team_id"
 ) -> None:
     """Every row needs a mapped id; a row without a code counts as unmapped as well."""
-    unmapped = df.filter(F.col(mapped).isNull())
-    if not unmapped.isEmpty():
-        codes = unmapped_codes(df, code, mapped).orderBy(code).limit(100).collect()
-        raise ValueError(f"Missing id mappings for: {[row[0] for row in codes]}")
+    codes = df.filter(F.col(mapped).isNull()).select(code).distinct()
+    found = codes.agg(F.count(F.lit(1)).alias("count"), F.min(code).alias("first"), F.max(code).alias("last")).first()
+    if found["count"]:
+        raise UnmappedCodes(codes, found["count"], sorted({c for c in (found["first"], found["last"]) if c is not None}))

@@ -1,9 +1,9 @@
 """Pearson correlations over pairs of rows where both columns have values.
 
-Few pairs are written as one aggregate expression each. A wide matrix has thousands of pairs, which
-no single aggregate compiles well; there every partition reduces its rows to the six moments of each
-pair by matrix products, and the moments are summed by pair. Both ways read the data once for the
-column means and once for the moments, and shuffle only numbers per pair.
+Every partition reduces its rows to the moments of each pair by matrix products, and the moments are
+summed by pair: one read for the column means, one for the moments, and a shuffle of numbers per pair.
+NaN counts as missing. A pair has no correlation (NULL) if one column is constant on the common rows, or
+if a common row holds an infinite value; the pairs of other columns are not affected.
 """
 
 from __future__ import annotations
@@ -12,16 +12,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formline import fixed_values as fv
 from formline.functions import names as N
 from formline.functions.columns import null_if_nan
-from formline.operators.checks import wide_to_long
 
-MAX_PAIR_EXPRESSIONS = 6
-MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy", "infinite"]
 MOMENT_SCHEMA = "i int, j int, " + ", ".join(f"{m} double" for m in MOMENTS)
 
 
@@ -29,13 +27,6 @@ def correlation_columns(df: DataFrame) -> list[str]:
     return N.numeric_columns(df, fv.CORRELATION_ID_COLUMNS)
 
 
-def correlation_of(x: Column, y: Column) -> Column:
-    """Correlation of two columns; NULL (rather than an error) when either is constant."""
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
-    return F.try_divide(F.covar_pop(x, y), spread)
-
-
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature_1, feature_2, correlation) for each pair, the first column before the second."""
     pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
@@ -43,9 +34,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _correlations(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    values = df.select(*[F.col(c) for c in columns])
-    long = by_expression(values, pairs) if len(pairs) <= MAX_PAIR_EXPRESSIONS else by_moments(values, pairs)
-    return named_pairs(long, columns)
+    return named_pairs(by_moments(df.select(*[F.col(c) for c in columns]), pairs), columns)
 
 
 def named_pairs(long: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -59,41 +48,31 @@ def _numbered(df: DataFrame) -> DataFrame:
     return df.select(*[null_if_nan(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
 
 
-def by_expression(df: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    """(i, j, correlation) for pairs of column positions, one aggregate expression per pair."""
-    values = _numbered(df)
-    parts = {
-        f"{i},{j}": {"i": F.max(F.lit(i)), "j": F.max(F.lit(j)),
-                     "correlation": correlation_of(F.col(f"c{i}"), F.col(f"c{j}"))}
-        for i, j in pairs
-    }
-    return wide_to_long(values, parts, key="pair").drop("pair")
-
-
 def by_moments(df: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    """The same from the six moments of each pair, summed per partition and then per pair."""
+    """(i, j, correlation) for pairs of column positions."""
     values = _numbered(df)
     # Without its mean, a column far from zero keeps its digits in the sums of squares.
-    means = values.agg(*[F.avg(c).alias(c) for c in values.columns]).first()
+    means = values.agg(*[F.avg(F.when(F.abs(c) < float("inf"), F.col(c))).alias(c) for c in values.columns]).first()
     centres = np.array([means[c] or 0.0 for c in values.columns])
     left, right = (np.array(side) for side in zip(*pairs))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         size = len(centres)
         count = np.zeros((size, size))
-        total, square, product = count.copy(), count.copy(), count.copy()
+        total, square, product, infinite = count.copy(), count.copy(), count.copy(), count.copy()
         for batch in batches:
             x = batch.to_numpy(dtype=float) - centres
-            present = ~np.isnan(x)
-            x[~present] = 0.0
-            mask = present.astype(float)
+            mask, endless = (~np.isnan(x)).astype(float), np.isinf(x).astype(float)
+            x[~np.isfinite(x)] = 0.0
             count += mask.T @ mask
             total += x.T @ mask  # [a, b]: sum of a where b is present
             square += (x * x).T @ mask
             product += x.T @ x
+            infinite += endless.T @ mask + mask.T @ endless
         yield pd.DataFrame({
             "i": left, "j": right, "n": count[left, right], "sx": total[left, right], "sy": total[right, left],
             "sxx": square[left, right], "syy": square[right, left], "sxy": product[left, right],
+            "infinite": infinite[left, right],
         }).astype({"i": "int32", "j": "int32"})
 
     sums = values.mapInPandas(partial, MOMENT_SCHEMA).groupBy("i", "j").agg(*[F.sum(m).alias(m) for m in MOMENTS])
@@ -101,7 +80,8 @@ def by_moments(df: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
     covariance = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
     spread_x = F.greatest(F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n), F.lit(0.0))
     spread_y = F.greatest(F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n), F.lit(0.0))
-    return sums.select("i", "j", F.try_divide(covariance, F.sqrt(spread_x * spread_y)).alias("correlation"))
+    correlation = F.when(F.col("infinite") == 0, F.try_divide(covariance, F.sqrt(spread_x * spread_y)))
+    return sums.select("i", "j", correlation.alias("correlation"))
 
 
 def target_correlations(

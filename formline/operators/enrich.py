@@ -17,17 +17,16 @@ from formline.functions import columns as C
 from formline.operators import checks, series
 from formline.operators.layout import MAX_GROUP_ROWS
 
-# Encodings become columns, so their number has to stay that of a schema.
-MAX_ENCODED_TOKENS = 1_000
-
 
 def lookup_join(
     df: DataFrame, lookup: DataFrame, keys: Sequence[str], renames: Mapping[str, str] | None = None,
     name: str = "lookup",
 ) -> DataFrame:
-    """Left join to a lookup with one row per key. Row count is preserved; duplicate keys raise."""
-    right = lookup.withColumnsRenamed(dict(renames or {}))
-    checks.require_unique(right, keys, name)
+    """Left join to a lookup with one row per key. Row count is preserved; duplicate keys raise.
+
+    The check is part of the plan: nothing runs while it is built, and the lookup is computed once.
+    """
+    right = checks.unique_by(lookup.withColumnsRenamed(dict(renames or {})), keys, name)
     return df.join(right, list(keys), "left").select(*df.columns, *[c for c in right.columns if c not in keys])
 
 
@@ -91,9 +90,8 @@ def join_player_years(selected: DataFrame, years: DataFrame) -> DataFrame:
 def apply_overrides(df: DataFrame, overrides: DataFrame, key: str) -> DataFrame:
     """Replace values of the columns that ``overrides`` holds, for the keys it lists."""
     columns = [column for column in overrides.columns if column != key]
-    checks.require_unique(overrides, [key], "overrides")
     patched = df.join(
-        overrides.select(key, *[F.col(column).alias(f"_new_{column}") for column in columns]), key, "left"
+        checks.unique_by(overrides, [key], "overrides").select(key, *[F.col(column).alias(f"_new_{column}") for column in columns]), key, "left"
     )
     return patched.select(*[
         F.coalesce(F.col(f"_new_{c}").cast(df.schema[c].dataType), F.col(c)).alias(c) if c in columns else F.col(c)
@@ -127,19 +125,17 @@ def parse_matchup(df: DataFrame, matchup: str = "MATCHUP") -> DataFrame:
     })
 
 
-def token_vocabulary(df: DataFrame, column: str, separator: str = "-") -> list[str]:
-    """Distinct non-empty tokens of a multi-valued text column, sorted."""
+def token_rows(df: DataFrame, keys: Sequence[str], column: str, separator: str = "-") -> DataFrame:
+    """(keys, token): one row per non-empty token of a multi-valued text column, for vocabularies of any size."""
     pattern = "\\Q" + separator + "\\E"
-    tokens = (
-        df.select(column).distinct()
-        .select(F.explode(F.split(F.col(column), pattern)).alias("token"))
-        .filter(F.col("token") != "")
-        .distinct()
-    )
-    found = sorted(row["token"] for row in tokens.limit(MAX_ENCODED_TOKENS + 1).collect())
-    if len(found) > MAX_ENCODED_TOKENS:
-        raise ValueError(f"{column} has more than {MAX_ENCODED_TOKENS} distinct tokens: too many for columns.")
-    return found
+    tokens = F.explode(F.array_distinct(F.split(F.col(column), pattern))).alias("token")
+    return df.select(*keys, tokens).filter(F.col("token") != "")
+
+
+def token_vocabulary(df: DataFrame, column: str, separator: str = "-") -> list[str]:
+    """Distinct non-empty tokens, sorted. They become column names: pass the smallest table that has them all."""
+    tokens = token_rows(df.select(column).distinct(), [], column, separator).distinct()
+    return sorted(row["token"] for row in tokens.collect())
 
 
 def multi_hot(
@@ -150,6 +146,11 @@ def multi_hot(
     return df.withColumns({f"{prefix}{token}": C.token_flag(column, separator, token) for token in tokens})
 
 
+def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
+    """NULL replaced per column by a default of the column's kind."""
+    return df.fillna(dict(defaults))
+
+
 def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first in the given order, column by column from the same row.
 

@@ -17,23 +17,26 @@ QUARTILES = [0.25, 0.5, 0.75]
 
 def _quartile_table(df: DataFrame, columns: Sequence[str], max_values: int) -> DataFrame:
     """(column, q25, q50, q75): one row per column of the table."""
-    found = exact_quantiles(df, columns, QUARTILES, max_values)
+    found, _ = exact_quantiles(df, columns, QUARTILES, max_values)
     rows = [(column, *[found[column][q] for q in QUARTILES]) for column in columns]
     return df.sparkSession.createDataFrame(rows, "column string, q25 double, q50 double, q75 double")
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str], max_values: int = MAX_VALUES) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max: one row per column."""
-    value = F.col("value")
-    statistics = long_values(df, columns).groupBy("column").agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
-    described = _quartile_table(df, columns, max_values).join(statistics, "column", "left").fillna(0, ["count"])
-    return described.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    """count, mean, sample std, min, quartiles and max: one row per column.
+
+    All but the quartiles come from the pass that sketches them, whatever the number of columns.
+    """
+    found, others = exact_quantiles(
+        df, columns, QUARTILES, max_values,
+        {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
+    rows = [
+        (column, others[column]["count"], others[column]["mean"], others[column]["std"], others[column]["min"],
+         *[found[column][q] for q in QUARTILES], others[column]["max"])
+        for column in columns
+    ]
+    numbers = ", ".join(f"{name} double" for name in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    return df.sparkSession.createDataFrame(rows, f"column string, count long, {numbers}")
 
 
 def outlier_columns(df: DataFrame, targets: Sequence[str] = fv.TARGETS) -> list[str]:
@@ -82,15 +85,16 @@ def literal(value: float | None) -> Column:
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
-    """Equal-width bins over the range of the column; NULLs are left out and empty bins are not listed.
+    """Equal-width bins over the range of the column, all of them listed; NULLs are left out.
 
-    ``by`` counts each group on the common bins; ``density`` integrates to 1 over each group.
+    ``by`` counts each group on the common bins; ``density`` integrates to 1 over each group. Without
+    values there is no bin; if all values are equal there is one, of width 0.
     """
     value = null_if_nan(column)
     bounds = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
     low, high = bounds["lo"], bounds["hi"]
     if low is None or low == high:
-        width, bin_of = 0.0, F.lit(0)
+        width, bins, bin_of = 0.0, 1, F.lit(0)
     else:
         width = (high - low) / bins
         bin_of = F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
@@ -99,7 +103,10 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) ->
         .groupBy(*by, bin_of.cast("long").alias("bin"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    # One row per group and bin from here on.
+    # One row per group and bin from here on. Bins without rows come from the groups, and so from the table.
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("bin")
+    listed = counted.select(*by).distinct().select(*by, every) if by else counted.agg(F.count(F.lit(1)).alias("n")).filter("n > 0").select(every)
+    counted = listed.join(counted, [*by, "bin"], "left").fillna(0, ["rows"])
     totals = counted.groupBy(*by).agg(F.sum("rows").alias("_total")) if by else None
     counted = counted.withColumns({
         "bin_start": literal(low) + F.col("bin") * F.lit(width),
@@ -109,3 +116,17 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) ->
         return counted
     density = F.try_divide(F.col("rows").cast("double"), F.col("_total") * F.lit(width))
     return counted.join(totals, list(by)).withColumn("density", density).drop("_total")
+
+
+def density_curve(histogram_rows: DataFrame, bandwidth: float) -> DataFrame:
+    """(bin, center, density): a Gaussian kernel estimate from the binned counts of ``histogram``.
+
+    One row holds all bins and becomes one row per bin; the work is the square of the number of bins.
+    """
+    center = ((F.col("bin_start") + F.col("bin_end")) / 2).alias("center")
+    listed = histogram_rows.agg(F.collect_list(F.struct("bin", center, "rows")).alias("bins"), F.sum("rows").alias("total"))
+    kernel = lambda x, c: F.exp(-F.pow((c - x["center"]) / bandwidth, F.lit(2.0)) / 2) * x["rows"]
+    at = lambda c: F.aggregate(F.transform("bins", lambda x: kernel(x, c)), F.lit(0.0), lambda a, b: a + b)
+    scale = F.col("total") * bandwidth * F.sqrt(2 * F.pi())
+    return listed.select(F.inline(F.transform("bins", lambda y: F.struct(
+        y["bin"].alias("bin"), y["center"].alias("center"), F.try_divide(at(y["center"]), scale).alias("density")))))

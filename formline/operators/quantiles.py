@@ -3,8 +3,9 @@
 ``percentile`` would keep every distinct value of a column in one task. Here the order statistics on
 either side of each quantile are found by narrowing: ``percentile_approx`` proposes values on both
 sides of the wanted ranks, exact counts confirm where the ranks lie, and this repeats until an
-interval holds few enough values (``max_values``) to rank them. All columns share the passes, and a
-pass shuffles a few numbers per column and no rows. A poor proposal costs a pass, never exactness.
+interval holds few enough values (``max_values``) to rank them. All columns share the passes: sketches, counts, and
+in the end one ranking of what lies inside. A pass shuffles a few numbers per column and no rows. A poor
+proposal costs a pass, never exactness: sketches grow finer until every interval is small enough.
 
 Counts are taken on (column, value) rows, where a handful of aggregates serves any number of columns:
 one expression per column and bound would outgrow what the engine compiles well.
@@ -13,7 +14,7 @@ one expression per column and bound would outgrow what the engine compiles well.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,7 +24,6 @@ from formline.functions.columns import null_if_nan
 
 MAX_VALUES = 200_000
 ACCURACY = 1_000
-COLUMNS_PER_PASS = 50
 
 Quantiles = dict[str, dict[float, float | None]]
 
@@ -36,18 +36,30 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_values: int = MAX_VALUES
-) -> Quantiles:
-    """``{column: {probability: value}}``; the value is None for a column without values."""
-    result: Quantiles = {}
-    for start in range(0, len(columns), COLUMNS_PER_PASS):
-        part = columns[start:start + COLUMNS_PER_PASS]
-        values = df.select(*[null_if_nan(F.col(f"`{column}`")).alias(f"c{i}") for i, column in enumerate(part)])
-        sizes = values.agg(*[F.count(c).alias(c) for c in values.columns]).first().asDict()
-        found = {c: dict.fromkeys(probabilities) for c, size in sizes.items() if not size}
-        found |= _narrowed(values, {c: size for c, size in sizes.items() if size}, probabilities, max_values)
-        result |= {column: found[c] for c, column in zip(values.columns, part)}
-    return result
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_values: int = MAX_VALUES,
+    also: Mapping[str, Callable[[Column], Column]] | None = None,
+) -> tuple[Quantiles, dict[str, dict]]:
+    """``{column: {probability: value}}``, None for a column without values; and per column the aggregates of ``also``.
+
+    The first pass counts all columns, proposes values around every quantile, and computes the aggregates.
+    """
+    if not columns:
+        return {}, {}
+    also = dict(also or {})
+    values = df.select(*[null_if_nan(F.col(f"`{column}`")).alias(f"c{i}") for i, column in enumerate(columns)])
+    places = sorted({min(max(p + side * 2 / ACCURACY, 0.0), 1.0) for p in probabilities for side in (-1, 1)})
+    first = values.agg(*[
+        F.struct(F.count(c).alias("_size"), F.percentile_approx(c, places, ACCURACY).alias("_near"),
+                 *[aggregate(F.col(c)).alias(name) for name, aggregate in also.items()]).alias(c)
+        for c in values.columns
+    ]).first()
+    sizes = {c: first[c]["_size"] for c in values.columns if first[c]["_size"]}
+    proposed = {c: sorted(set(first[c]["_near"])) for c in sizes if sizes[c] > max_values}
+    found = {c: dict.fromkeys(probabilities) for c in values.columns if c not in sizes}
+    found |= _narrowed(values, sizes, probabilities, max_values, proposed)
+    named = dict(zip(values.columns, columns))
+    return ({name: found[c] for c, name in named.items()},
+            {name: {key: first[c][key] for key in also} for c, name in named.items()})
 
 
 @dataclass
@@ -84,9 +96,9 @@ class _Search:
         above = value.isNotNull() if self.lo is None else value > self.lo
         return above if self.hi is None else above & (value < self.hi)
 
-    def proposals(self) -> list[float]:
+    def proposals(self, accuracy: int) -> list[float]:
         """Local probabilities a little below the first and above the last open rank."""
-        margin = 2 / ACCURACY
+        margin = 2 / accuracy
         first, last = self.open_ranks[0], self.open_ranks[-1]
         places = [(first - self.up_to_lo) / self.inside - margin, (last + 1 - self.up_to_lo) / self.inside + margin]
         return [min(max(place, 0.0), 1.0) for place in places]
@@ -110,14 +122,21 @@ class _Search:
 
 
 def _narrowed(
-    values: DataFrame, sizes: dict[str, int], probabilities: Sequence[float], max_values: int
+    values: DataFrame, sizes: dict[str, int], probabilities: Sequence[float], max_values: int,
+    proposed: dict[str, list[float]],
 ) -> Quantiles:
     searches = [_Search(column, p, size) for column, size in sizes.items() for p in probabilities]
+    if proposed:
+        counts = _count_around(values, proposed)
+        for s in searches:
+            for value in proposed.get(s.column, ()):
+                s.learn(value, *counts[s.column][value])
+    accuracy = ACCURACY
     while wide := [s for s in searches if s.open_ranks and s.inside > max_values]:
-        before = [s.inside for s in wide]
-        _narrow(values, wide)
-        if all(s.open_ranks and s.inside == b for s, b in zip(wide, before)):
-            break  # the two ranks lie on either side of one gap: ranking the values settles them
+        before = [(s.inside, len(s.open_ranks)) for s in wide]
+        _narrow(values, wide, accuracy)
+        if any((s.inside, len(s.open_ranks)) == b for s, b in zip(wide, before)):
+            accuracy *= 10  # a sketch as fine as its interval is exact, so this ends
     _rank_inside(values, [s for s in searches if s.open_ranks])
     result: Quantiles = {}
     for s in searches:
@@ -125,7 +144,7 @@ def _narrowed(
     return result
 
 
-def _narrow(values: DataFrame, searches: Sequence[_Search]) -> None:
+def _narrow(values: DataFrame, searches: Sequence[_Search], accuracy: int) -> None:
     """One pass to propose values, one to count the values below and up to each of them."""
     # Searches that still share an interval share its sketch.
     intervals: dict[tuple, list[_Search]] = {}
@@ -133,7 +152,7 @@ def _narrow(values: DataFrame, searches: Sequence[_Search]) -> None:
         intervals.setdefault((s.column, s.lo, s.hi), []).append(s)
     sketches = values.agg(*[
         F.percentile_approx(
-            F.when(group[0].holds(), F.col(group[0].column)), [p for s in group for p in s.proposals()], ACCURACY
+            F.when(group[0].holds(), F.col(group[0].column)), [p for s in group for p in s.proposals(accuracy)], accuracy
         ).alias(f"g{i}")
         for i, group in enumerate(intervals.values())
     ]).first()

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this k, Spark drops rows beyond the first k of a group before it shuffles them.
-ENGINE_GROUP_LIMIT = 1_000
-SALTS = 64
+# Rows of one input partition that the first round of a top-k takes together: 2 ** RUN_BITS.
+RUN_BITS = 20
+# Standard deviations by which a sample's draw threshold lies above the wanted number of rows.
+MARGIN = 6
 
 
 def _columns(names: Sequence[str]) -> list[Column]:
@@ -21,29 +23,43 @@ def top_k_per_group(
 ) -> DataFrame:
     """The first ``k`` rows of each group. ``order`` has to be total for a deterministic result.
 
-    ``row_number() <= k`` lets Spark keep k rows per group and task before the shuffle, so a group's
-    size does not matter. For a larger k a salted round does the same.
+    A first round keeps k rows of each group and run of about a million input rows, so no task sorts a
+    large group, whatever k and however many rows are alike. The second takes the best of those.
     """
     place = rank or "_place"
-    if k > ENGINE_GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
-        salted = Window.partitionBy(*group, "_salt").orderBy(*order)
-        df = (
-            df.withColumn("_salt", salt)
-            .withColumn("_salted_place", F.row_number().over(salted))
-            .filter(F.col("_salted_place") <= k)
-            .drop("_salt", "_salted_place")
-        )
-    ranked = df.withColumn(place, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    run = Window.partitionBy(*group, "_run").orderBy(*order)
+    first = (
+        df.withColumn("_run", F.shiftright(F.monotonically_increasing_id(), RUN_BITS))
+        .withColumn("_run_place", F.row_number().over(run))
+        .filter(F.col("_run_place") <= k)
+        .drop("_run", "_run_place")
+    )
+    ranked = first.withColumn(place, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     kept = ranked.filter(F.col(place) <= k)
     return kept if rank else kept.drop(place)
 
 
 def sample_per_group(df: DataFrame, group: Sequence[str], n: int, seed: int, key: Sequence[str]) -> DataFrame:
-    """Up to ``n`` rows of each group without replacement. The same seed and keys give the same rows."""
-    draw = F.xxhash64(F.lit(seed), *_columns(key))
-    drawn = df.withColumn("_draw", draw)
-    return top_k_per_group(drawn, group, [F.col("_draw"), *_columns(key)], n).drop("_draw")
+    """Up to ``n`` rows of each group without replacement. The same seed and keys give the same rows.
+
+    Rows are drawn in the order of md5(seed|keys). The group's size (a partial aggregate) tells below which
+    draw its first n rows lie, up to a margin; only rows below it are ranked. A group that fell short in
+    spite of the margin is ranked whole.
+    """
+    drawn = df.withColumn("_draw", F.md5(F.concat_ws("|", F.lit(str(seed)), *_columns(key)).cast("binary")))
+    wanted = n + MARGIN * n ** 0.5 + MARGIN * MARGIN
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).select(
+        *[F.col(name).alias(f"_g_{name}") for name in group], "_rows",
+        F.least(F.lit(1.0), F.lit(float(wanted)) / F.col("_rows")).alias("_share"))
+    same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_g_{name}")) for name in group])
+    place = F.conv(F.substring("_draw", 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+    sized = drawn.join(sizes, same)
+    low = sized.filter(place < F.col("_share"))
+    short = low.groupBy(*[f"_g_{name}" for name in group]).agg(
+        F.count(F.lit(1)).alias("_low"), F.any_value("_rows").alias("_all")).filter(F.col("_low") < F.least(F.lit(n), F.col("_all")))
+    rest = drawn.join(short, same, "left_semi").select(*drawn.columns)
+    kept = low.select(*drawn.columns).join(short, same, "left_anti").unionByName(rest)
+    return top_k_per_group(kept, group, [F.col("_draw"), *_columns(key)], n).drop("_draw")
 
 
 def rank_features(

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -102,12 +102,11 @@ class TrainedModels:
 def load_model(path: str, model: str, target: str) -> PipelineModel:
     """A saved model of one target; a missing one raises ``FileNotFoundError``."""
     full = f"{path}/{N.target_file_name(model, target)}"
-    try:
-        return PipelineModel.load(full)
-    except Exception as error:
-        if "does not exist" in str(error) or "not exist" in str(error) or "empty collection" in str(error):
-            raise FileNotFoundError(f"Missing model for {target}: {full}") from error
-        raise
+    spark = SparkSession.active()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(full)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        raise FileNotFoundError(f"There is no saved {model} model of {target} at {full}.")
+    return PipelineModel.load(full)
 
 
 def train_models(modelling: ModellingData, config: ModelConfig, targets: Sequence[str] | None = None) -> TrainedModels:

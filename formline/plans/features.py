@@ -61,7 +61,7 @@ def contextual_features(
     keys: SeriesKeys = GAME_KEYS,
 ) -> DataFrame:
     """Home and away, opponent, rest days, the opponent's season strength and recent form."""
-    hot = find_hot_groups(features, [keys.entity], keys.max_group_rows)
+    hot = find_hot_groups(features.select(keys.entity), [keys.entity], keys.max_group_rows)
     rested = series.days_rest(_parsed(features, codes, keys), keys, hot)
     return _with_opponent(rested, opponent_defense, keys, features)
 
@@ -91,7 +91,7 @@ def build_full_features(
     positions: Sequence[str] | None = None,
 ) -> DataFrame:
     """Contextual, player-specific and ratio columns, with one shuffle by entity for all windows."""
-    hot = find_hot_groups(features, [keys.entity], keys.max_group_rows)
+    hot = find_hot_groups(features.select(keys.entity), [keys.entity], keys.max_group_rows)
     windowed = series.rest_and_experience(_parsed(features, codes, keys), keys, hot)
     joined = _with_opponent(windowed, opponent_defense, keys, features)
     return advanced_metrics(_player_columns(joined, features, keys, positions))

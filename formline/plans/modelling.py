@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from formline import fixed_values as fv
 from formline.operators import importance as I
 from formline.operators import reshape, split, training
+from formline.operators.layout import stored
 from formline.operators.split import ModellingData
 from formline.operators.training import ModelConfig
 
@@ -30,8 +31,8 @@ def train_and_evaluate(
 
 
 def importance_analysis(scores: DataFrame, features: Sequence[str], model: str) -> dict[str, DataFrame]:
-    """The importance table and the reports made from it. It is small: keep it (``cache``) for the reports."""
-    table = I.importance_table(scores, features, model).cache()
+    """The importance table and the reports made from it. The table is stored, so the scores are read once."""
+    table = stored(I.importance_table(scores, features, model), "importance")
     summary = I.family_summary(table)
     pivoted = reshape.pivot_family(summary)
     return {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ def join_usage(
 ) -> DataFrame:
     """Rosters with the usage of two seasons; players without logs get zeros."""
     zeros = {f"{season}_{what}": 0 for season in ("current", "previous") for what in ("games", "minutes")}
-    return rosters.join(current, entity, "left").join(previous, entity, "left").fillna(zeros)
+    return enrich.fill_defaults(rosters.join(current, entity, "left").join(previous, entity, "left"), zeros)
 
 
 def select_players(
@@ -86,23 +86,20 @@ def normalise_logs(logs: DataFrame, season: str) -> DataFrame:
 
 
 def career_logs(
-    load_season: Callable[[str], DataFrame], selected: DataFrame, current_season: str, entity: str = "PLAYER_ID"
+    logs: DataFrame, selected: DataFrame, current_season: str, entity: str = "PLAYER_ID", season: str = "SEASON"
 ) -> DataFrame:
     """All rows of the selected players from the earliest selected debut to the current season.
 
-    ``load_season`` gives the logs of one season. Only the selection is joined before the seasons are
-    stacked, so rows of other players never leave their scan.
+    ``logs`` holds all seasons, told apart by the season column: one scan, which skips the folders of other
+    seasons where that column partitions the files. The earliest debut is the only value collected.
     """
-    bounds = earliest_season(selected).withColumn(
-        "last_year", C.season_start_year(F.lit(current_season))
-    )
-    # As many labels as there are seasons.
-    labels = [row["SEASON"] for row in generate_seasons(bounds, "earliest_year", "last_year").collect()]
-    if not labels:
-        raise ValueError(f"No seasons up to {current_season}.")
-    return reshape.union_all([
-        enrich.keep_selected(normalise_logs(load_season(season), season), selected, entity) for season in labels
-    ])
+    first = earliest_season(selected).first()["earliest_year"]
+    last = int(current_season.split("-")[0])
+    if first is None or first > last:
+        raise ValueError(f"No selected player starts by {current_season}.")
+    labels = [f"{year}-{(year + 1) % 100:02d}" for year in range(first, last + 1)]
+    chosen = logs.withColumnsRenamed({"FG3M": "3PM"}).filter(F.col(season).isin(labels))
+    return enrich.keep_selected(chosen, selected, entity)
 
 
 def normalise_player_info(parts: Sequence[DataFrame]) -> DataFrame:
@@ -117,10 +114,10 @@ def normalise_player_info(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def team_stats_table(seasons: dict[str, DataFrame]) -> DataFrame:
-    """Season totals of the teams, stacked and tagged."""
+    """Season totals of the teams from one frame per season (as files per season are read), stacked and tagged."""
     return reshape.union_all([normalise_logs(frame, season) for season, frame in seasons.items()])
 
 
-def opponent_defense_table(seasons: dict[str, DataFrame]) -> DataFrame:
-    """The defensive columns of the teams' advanced season statistics."""
-    return team_stats_table(seasons).select(*fv.OPPONENT_DEFENSE_COLUMNS)
+def opponent_defense_table(stats: DataFrame) -> DataFrame:
+    """The defensive columns of the teams' advanced season statistics; ``stats`` holds all seasons."""
+    return stats.select(*fv.OPPONENT_DEFENSE_COLUMNS)

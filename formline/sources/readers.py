@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -23,8 +25,24 @@ SELECTED_TYPES = {
 
 
 def read_text_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A CSV file with a header, all columns as text, ``NA`` as NULL."""
-    return spark.read.option("header", True).option("nullValue", fv.NULL_SENTINEL).csv(path)
+    """CSV files with headers, all columns as text, ``NA`` as NULL.
+
+    The paths of a list may order their columns differently: each is read under its own header, and those
+    with the same header together; a column that a path lacks is NULL in its rows. The files of one path
+    have to agree; one that does not raises when it is read.
+    """
+    if isinstance(path, str):
+        return _one_header(spark, path)
+    groups: dict[tuple, list[str]] = {}
+    for one in path:
+        groups.setdefault(tuple(_one_header(spark, one).columns), []).append(one)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_one_header(spark, p) for p in groups.values()])
+
+
+def _one_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    # With enforceSchema off, a file whose header differs from the first raises instead of shifting columns.
+    options = {"header": True, "enforceSchema": False, "nullValue": fv.NULL_SENTINEL}
+    return spark.read.options(**options).csv(path)
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:

@@ -12,7 +12,13 @@ from formline.operators.split import ModellingData, split_metadata
 
 
 def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Parquet, snappy, replacing what is there. Partitioned by season, later reads skip whole seasons."""
+    """Parquet, snappy, replacing what is there. Partitioned by season, later reads skip whole seasons.
+
+    Rows are first brought together by partition value, in pieces of even size (a large season is split
+    again), so that a season has a few full files and not one per task.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by).parquet(path)
 
 
@@ -27,7 +33,10 @@ def write_document(row: DataFrame, path: str) -> None:
 
 
 def write_records(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    """A report table (a few rows) as one JSON array of records."""
+    """A report table as one JSON array of records.
+
+    The whole table becomes one value of one row: only for tables of a row per model, target or feature.
+    """
     ordered = F.sort_array(F.collect_list(F.struct(*order, F.struct(*df.columns).alias("_record"))))
     records = df.agg(F.transform(ordered, lambda item: item["_record"]).alias("records"))
     text = F.to_json("records", {"ignoreNullFields": "false"})

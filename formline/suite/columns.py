@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from formline.functions import columns as C
 from formline.operators import enrich
+from formline.operators.layout import scratch_path
 from formline.plans import features as plans
 from formline.plans.selection import tag_season as tag
 from formline.sources.readers import cast_columns, empty_to_null
+from formline.sources.writers import write_csv
 from formline.suite.adapters import (
     CODES_SQL, GAMES_SQL, LOGS_SQL, PROFILES_SQL, customer_profiles, in_year, order_day, order_logs, player_games,
     region_codes,
@@ -163,8 +165,8 @@ SELECT o_orderkey, CASE coalesce(nullif(o_orderstatus, 'P'), 'O') WHEN 'O' THEN
 def fill_recode(t: Tables):
     status = F.nullif(F.col("o_orderstatus"), F.lit("P"))
     price = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice"))
-    filled = t.orders.select("o_orderkey", status.alias("status"), price.alias("price")).fillna(
-        {"status": "O", "price": 0.0})
+    filled = enrich.fill_defaults(
+        t.orders.select("o_orderkey", status.alias("status"), price.alias("price")), {"status": "O", "price": 0.0})
     return publish(filled.withColumn("status", C.recode("status", {"O": "Open", "F": "Finished"})))
 
 
@@ -192,9 +194,9 @@ def cast_columns_query(t: Tables):
 
 
 @query("tag_season", f"""
-SELECT o_orderkey, '1998-99' AS "SEASON" FROM orders WHERE year(o_orderdate) = 1998 AND o_totalprice >= 1000""")
+SELECT o_orderkey, '1998-99' AS "SEASON" FROM orders WHERE year(o_orderdate) = 1998""")
 def tag_season(t: Tables):
-    rows = t.orders.filter(in_year(1998) & (F.col("o_totalprice") >= 1000))
+    rows = t.orders.filter(in_year(1998))
     return publish(tag(rows.select("o_orderkey"), "1998-99"))
 
 
@@ -204,7 +206,11 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
 def fill_sentinel(t: Tables):
     cents = F.round(F.col("l_tax") * 100).cast("long").cast("string")
     tax = F.when(F.col("l_tax") != 0, cents)
-    return publish(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", F.coalesce(tax, F.lit("NA")).alias("tax")))
+    path = scratch_path(t.spark, "csv")
+    write_csv(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", tax.alias("tax")), path)
+    text = t.spark.read.option("header", True).csv(path)  # as any other program reads the file
+    types = {"l_orderkey": "long", "l_linenumber": "long", "l_quantity": "double"}
+    return publish(text.select(*[F.col(c).cast(kind).alias(c) for c, kind in types.items()], "tax"))
 
 
 @query("player_specific_features", with_ctes([LOGS_SQL, PROFILES_SQL], f"""

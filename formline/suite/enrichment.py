@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from formline.operators import checks, enrich
 from formline.operators import series as S
+from formline.operators.layout import stored
 from formline.plans import features as plans
 from formline.suite.adapters import (
     CODES_SQL, DEFENSE_SQL, GAMES_SQL, LOGS_SQL, PROFILES_SQL, customer_profiles, in_year, order_logs,
@@ -132,19 +133,14 @@ def feature_ranges(t: Tables):
     return publish(checks.selected_ranges(rolled(t)), 3)
 
 
-@query("partition_diagnostics", """
-SELECT count(*) AS rows, count(DISTINCT o_custkey) AS players, count(DISTINCT o_custkey) AS summed_players FROM orders""")
-def partition_diagnostics(t: Tables):
-    """Repartitioned by player, every row is somewhere and every player in one partition only."""
-    logs = t.orders.select(F.col("o_custkey").alias("PLAYER_ID"))
-    parts = checks.planned_partitions(logs, "PLAYER_ID", 8)
-    return publish(parts.agg(F.sum("rows").alias("rows"), F.sum("players").alias("summed_players")).withColumn(
-        "players", F.col("summed_players")))
-
-
-@query("physical_partitions")
-def physical_partitions(t: Tables):
-    return publish(checks.partition_diagnostics(t.orders, "o_custkey"))
+@query("skip_if_enriched", with_ctes([LOGS_SQL, PROFILES_SQL], """
+SELECT "PLAYER_ID", "GAME_ID", position AS "POSITION", CAST(1 AS BIGINT) AS position_columns
+FROM logs JOIN profiles ON id = "PLAYER_ID" """))
+def skip_if_enriched(t: Tables):
+    """Enriched twice: the second time finds the columns and leaves the table as it is."""
+    profiles = customer_profiles(t)
+    twice = plans.enrich_with_player_info(plans.enrich_with_player_info(order_logs(t), profiles), profiles)
+    return publish(twice.select("PLAYER_ID", "GAME_ID", "POSITION", F.lit(twice.columns.count("POSITION")).alias("position_columns")))
 
 
 @query("merge_report", """
@@ -164,7 +160,7 @@ UNION ALL SELECT 'duplicate_keys', count(*) - count(DISTINCT (o_custkey, o_order
 def merge_report(t: Tables):
     logs = order_logs(t).select("PLAYER_ID", "GAME_ID")
     known = known_customers(t)
-    return publish(checks.merge_report(logs, known, enrich.join_player_info(logs, known)))
+    return publish(checks.merge_report(logs, known, stored(enrich.join_player_info(logs, known), "merged")))
 
 
 CONTEXT_SQL = f"""context AS (
@@ -190,7 +186,8 @@ CONTEXT_NAMES = ["home_game", "away_game", "opponent_abbreviation", "opponent_te
 
 @query("contextual_features", with_ctes(CONTEXT_CTES, f"SELECT {KEYS}, {CONTEXT_COLUMNS} FROM context"))
 def contextual_features(t: Tables):
-    result = plans.contextual_features(player_games(t), region_defense(t), region_codes(t))
+    games = stored(player_games(t), "games")
+    result = plans.contextual_features(games, region_defense(t), region_codes(t))
     return publish(result.select("PLAYER_ID", "GAME_ID", *CONTEXT_NAMES), opponent_win_pct=8)
 
 
@@ -202,7 +199,7 @@ FULL_CTES = [*CONTEXT_CTES, PROFILES_SQL, f"ratios AS ({RATIOS_SQL})"]
 
 def full_features(t: Tables):
     profiles = customer_profiles(t)
-    games = plans.enrich_with_player_info(player_games(t), profiles)
+    games = stored(plans.enrich_with_player_info(player_games(t), profiles), "games")
     positions = enrich.token_vocabulary(profiles, "POSITION")
     return games, plans.build_full_features(games, region_defense(t), region_codes(t), positions=positions)
 
@@ -240,4 +237,5 @@ UNION ALL SELECT 'missing_draft_pick_numeric', 0
 UNION ALL SELECT 'missing_true_shooting_pct', count(*) FILTER (true_shooting_pct IS NULL) FROM ratios
 UNION ALL SELECT 'missing_effective_fg_pct', count(*) FILTER (effective_fg_pct IS NULL) FROM ratios"""))
 def full_feature_report(t: Tables):
-    return publish(checks.full_feature_report(*full_features(t)))
+    games, full = full_features(t)
+    return publish(checks.full_feature_report(games, stored(full, "full")))

@@ -74,7 +74,8 @@ def split_metadata(t: Tables):
 SELECT 'PTS' AS target, {rounded('avg("PTS")', 3)} AS mean FROM labelled WHERE split = 'train'"""))
 def target_means(t: Tables):
     train, _ = split.time_split(order_logs(t))
-    return publish(train.agg(F.max(F.lit("PTS")).alias("target"), F.avg("PTS").alias("mean")), 3)
+    means = evaluate.target_means(train, ["PTS"])  # one number per target
+    return publish(t.spark.createDataFrame(list(means.items()), "target string, mean double"), 3)
 
 
 BASELINE_SQL = """baseline AS (
@@ -112,7 +113,7 @@ MODELS = {"last": "Last value", "recent": "Recent average"}
 
 
 def predictor_table(t: Tables):
-    """Test rows of customers with history; the target is named by the priority of the order."""
+    """All test rows; the target is named by the priority of the order. Without history, the baseline predicts."""
     priority = t.orders.select(F.col("o_orderkey").alias("GAME_ID"), F.col("o_orderpriority").alias("target"))
     logs = order_logs(t)
     cutoff = F.lit(split.cutoff_date(logs))
@@ -120,9 +121,10 @@ def predictor_table(t: Tables):
     means = train.groupBy("target").agg(F.avg("PTS").alias("baseline_prediction"))
     history = S.add_features(logs, S.lag_features(["PTS"]) + S.rolling_features(["PTS"], [5]))
     test = history.filter(F.col("GAME_DATE") >= cutoff).join(priority, "GAME_ID")
-    return test.filter(F.col("pts_lag_1").isNotNull()).join(means, "target").select(
+    known = lambda name: F.coalesce(name, "baseline_prediction")
+    return test.join(means, "target").select(
         "PLAYER_ID", "GAME_ID", "target", F.col("PTS").alias("actual"), "baseline_prediction",
-        F.col("pts_lag_1").alias("last_prediction"), F.col("pts_rolling_5g_avg").alias("recent_prediction"))
+        known("pts_lag_1").alias("last_prediction"), known("pts_rolling_5g_avg").alias("recent_prediction"))
 
 
 PREDICTORS_SQL = f"""history AS (
@@ -132,13 +134,19 @@ PREDICTORS_SQL = f"""history AS (
 means AS (
   SELECT target, avg("PTS") AS baseline_prediction FROM history, cut WHERE "GAME_DATE" < cutoff GROUP BY target),
 predictions AS (
-  SELECT {KEYS}, h.target, "PTS" AS actual, baseline_prediction, last_prediction, recent_prediction
-  FROM history h JOIN means ON means.target = h.target, cut
-  WHERE "GAME_DATE" >= cutoff AND last_prediction IS NOT NULL)"""
-METRICS_SQL = "metrics AS (" + " UNION ALL ".join(
-    f"""SELECT '{label}' AS model, target, {metric_sql('actual', 'baseline_prediction', 'baseline')},
-  {metric_sql('actual', f'{name}_prediction', 'model')} FROM predictions GROUP BY target"""
-    for name, label in MODELS.items()) + ")"
+  SELECT {KEYS}, h.target, "PTS" AS actual, baseline_prediction, coalesce(last_prediction, baseline_prediction) AS last_prediction,
+    coalesce(recent_prediction, baseline_prediction) AS recent_prediction
+  FROM history h JOIN means ON means.target = h.target, cut WHERE "GAME_DATE" >= cutoff)"""
+
+
+def metrics_sql(digits: int) -> str:
+    return "metrics AS (" + " UNION ALL ".join(
+        f"""SELECT '{label}' AS model, target, {metric_sql('actual', 'baseline_prediction', 'baseline', digits)},
+  {metric_sql('actual', f'{name}_prediction', 'model', digits)} FROM predictions GROUP BY target"""
+        for name, label in MODELS.items()) + ")"
+
+
+METRICS_SQL = metrics_sql(3)
 PREDICTOR_CTES = [LOGS_SQL, CUTOFF_SQL, PREDICTORS_SQL]
 METRIC_CTES = [*PREDICTOR_CTES, METRICS_SQL]
 DIGITS = {"baseline_r2": 6, "model_r2": 6}
@@ -169,6 +177,15 @@ def metric_comparison(t: Tables):
     return publish(evaluate.metric_comparison([predictor_metrics(t)], PRIORITIES, digits=None), 3, **DIGITS)
 
 
+@query("round_metrics", with_ctes([*PREDICTOR_CTES, metrics_sql(2)], f"""
+SELECT model, target, baseline_mae, baseline_rmse, model_mae, model_rmse,
+  {', '.join(f'{rounded(name, 2)} AS {name}' for name in ('baseline_r2', 'model_r2'))} FROM metrics"""))
+def round_metrics(t: Tables):
+    table = evaluate.metric_comparison([predictor_metrics(t)], PRIORITIES, digits=2)
+    names = [f"{prefix}_{name}" for prefix in ("baseline", "model") for name in evaluate.METRICS]
+    return publish(table.select("model", "target", *names), 2)
+
+
 @query("improvement_tiers", with_ctes(METRIC_CTES, f"""
 SELECT model, target, {rounded('baseline_mae - model_mae', 2)} AS mae_improvement,
   {rounded('baseline_rmse - model_rmse', 2)} AS rmse_improvement, {rounded('model_r2 - baseline_r2', 5)} AS r2_improvement,

@@ -7,6 +7,8 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from formline.operators import correlation, profile, ranking, reshape
+from formline.operators.layout import stored
+from formline.plans import eda
 from formline.suite.registry import Tables, publish, query, rounded, whole, with_ctes
 
 COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -51,10 +53,12 @@ def box_stats(t: Tables):
 
 
 def histogram_sql(column: str, source: str, bins: int) -> str:
-    return f"""WITH bounds AS (SELECT min({column}) AS lo, (max({column}) - min({column})) / {bins} AS w FROM {source})
-SELECT {whole(f'least(floor(({column} - lo) / w), {bins - 1})')} AS bin, count(*) AS rows,
-  {rounded('min(lo) + bin * min(w)', 3)} AS bin_start, {rounded('min(lo) + (bin + 1) * min(w)', 3)} AS bin_end
-FROM {source}, bounds GROUP BY bin"""
+    return f"""WITH bounds AS (SELECT min({column}) AS lo, (max({column}) - min({column})) / {bins} AS w FROM {source}),
+counted AS (SELECT {whole(f'least(floor(({column} - lo) / w), {bins - 1})')} AS bin, count(*) AS rows
+  FROM {source}, bounds GROUP BY 1),
+bins AS (SELECT CAST(unnest(range({bins})) AS BIGINT) AS bin)
+SELECT bin, coalesce(rows, 0) AS rows, {rounded('lo + bin * w', 3)} AS bin_start, {rounded('lo + (bin + 1) * w', 3)} AS bin_end
+FROM bins LEFT JOIN counted USING (bin), bounds"""
 
 
 @query("histogram", histogram_sql("o_totalprice", "orders", 50))
@@ -70,14 +74,29 @@ def feature_histogram(t: Tables):
 @query("grouped_histogram", f"""
 WITH bounds AS (SELECT min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 60 AS w FROM lineitem),
 counted AS (SELECT l_returnflag, CAST(least(floor((l_extendedprice - lo) / w), 59) AS BIGINT) AS bin, min(w) AS w,
-  count(*) AS rows FROM lineitem, bounds GROUP BY 1, 2)
-SELECT l_returnflag, bin, rows, {rounded('rows / (sum(rows) OVER (PARTITION BY l_returnflag) * w)', 10)} AS density
-FROM counted""")
+  count(*) AS rows FROM lineitem, bounds GROUP BY 1, 2),
+listed AS (SELECT DISTINCT l_returnflag, CAST(unnest(range(60)) AS BIGINT) AS bin FROM lineitem)
+SELECT l_returnflag, bin, coalesce(rows, 0) AS rows,
+  {rounded('coalesce(rows, 0) / (sum(rows) OVER (PARTITION BY l_returnflag) * bounds.w)', 10)} AS density
+FROM listed LEFT JOIN counted USING (l_returnflag, bin), bounds""")
 def grouped_histogram(t: Tables):
     result = profile.histogram(t.lineitem, "l_extendedprice", 60, by=["l_returnflag"])
     return publish(result.select("l_returnflag", "bin", "rows", "density"), 10)
 
 
+@query("density_curve", f"""
+WITH bounds AS (SELECT min(o_totalprice) AS lo, (max(o_totalprice) - min(o_totalprice)) / 50 AS w FROM orders),
+counted AS (SELECT least(floor((o_totalprice - lo) / w), 49) AS bin, count(*) AS rows FROM orders, bounds GROUP BY 1),
+bins AS (SELECT bin, coalesce(rows, 0) AS rows, (lo + bin * w + lo + (bin + 1) * w) / 2 AS center
+  FROM (SELECT unnest(range(50)) AS bin) LEFT JOIN counted USING (bin), bounds)
+SELECT {whole('a.bin')} AS bin, {rounded('min(a.center)', 3)} AS center,
+  {rounded('sum(b.rows * exp(-pow((a.center - b.center) / 5000, 2) / 2)) / (sum(b.rows) * 5000 * sqrt(2 * pi()))', 12)} AS density
+FROM bins a, bins b GROUP BY a.bin""")
+def density_curve(t: Tables):
+    bins = profile.histogram(t.orders, "o_totalprice", 50)
+    return publish(profile.density_curve(bins, 5000.0), center=3, density=12)
+
+
 WIDE = [*COLUMNS, "net", "gross", "flat", "sparse"]
 
 
@@ -119,13 +138,6 @@ def correlation_pairs(t: Tables):
     return publish(correlation.correlation_pairs(correlated(t), WIDE), 8)
 
 
-@query("correlation_moments", with_ctes([WIDE_SQL], pairs_sql(combinations(WIDE, 2))))
-def correlation_moments(t: Tables):
-    """The same pairs by the way that wide matrices take."""
-    pairs = list(combinations(range(len(WIDE)), 2))
-    return publish(correlation.named_pairs(correlation.by_moments(correlated(t), pairs), WIDE), 8)
-
-
 TARGETS = ["l_extendedprice", "l_quantity"]
 FEATURES = [c for c in WIDE if c not in TARGETS]
 TARGET_PAIRS = [(f, t) for f in FEATURES for t in TARGETS]
@@ -149,6 +161,37 @@ def collinear_pairs(t: Tables):
     return publish(correlation.collinear_pairs(correlated(t), WIDE), 8)
 
 
+EDA = ["l_discount", "l_tax", "sparse"]
+
+
+def value_rows(name: str, label: str, value: str, source: str) -> str:
+    return f"SELECT '{name}' AS report, {label} AS name, {value} AS value FROM ({source})"
+
+
+@query("eda_profile", with_ctes([WIDE_SQL], " UNION ALL ".join([
+    value_rows("target_summary", '"column"', "mean", per_column(f"{rounded('avg(@)', 6)} AS mean", TARGETS, "wide")),
+    value_rows("feature_summary", '"column"', "mean", per_column(f"{rounded('avg(@)', 6)} AS mean", EDA, "wide")),
+    "SELECT 'top_missing', 'sparse', " + rounded("count(*) FILTER (sparse IS NULL) / count(*)", 6) + " FROM wide",
+    value_rows("top_target_correlations", "feature || '/' || target", rounded("abs_correlation", 6),
+               "SELECT * FROM (" + pairs_sql([(f, t) for f in FEATURES for t in TARGETS], "feature", "target", also_abs=True)
+               + ") WHERE correlation IS NOT NULL ORDER BY abs_correlation DESC, feature, target LIMIT 30"),
+    "SELECT 'histogram', 'rows', CAST(count(*) AS DOUBLE) FROM wide",
+])))
+def eda_profile(t: Tables):
+    """Entries of the exploratory profile, and how many rows its first histogram holds."""
+    wide = stored(correlated(t).select(*WIDE, F.lit(0).alias("PLAYER_ID"), F.lit("s").alias("SEASON"),
+                                       F.lit("2000-01-01").cast("date").alias("GAME_DATE")), "wide")
+    tables = eda.eda_profile(wide, TARGETS, EDA)
+    named = lambda key, name, value: tables[key].select(
+        F.lit(key).alias("report"), name.alias("name"), value.cast("double").alias("value"))
+    parts = [named("target_summary", F.col("column"), F.col("mean")), named("feature_summary", F.col("column"), F.col("mean")),
+             named("top_missing", F.col("column"), F.col("missing_pct")),
+             named("top_target_correlations", F.concat_ws("/", "feature", "target"), F.col("abs_correlation")),
+             tables["histogram_l_extendedprice"].agg(F.sum("rows").cast("double").alias("value")).select(
+                 F.lit("histogram").alias("report"), F.lit("rows").alias("name"), "value")]
+    return publish(reshape.union_all(parts), 6)
+
+
 MATRIX = ["l_quantity", "l_extendedprice", "net"]
 
 

@@ -63,8 +63,10 @@ HALF = 0.501
 
 
 def _rounded_column(column: Column, digits: int) -> Column:
+    # Whole part apart from fraction, in doubles: no value saturates, and NaN and infinity stay what they are.
     scale = F.lit(float(10 ** digits))
-    return F.floor(column * scale + F.lit(HALF)) / scale
+    usual = F.abs(column) < F.lit(float(2 ** 53 / 10 ** digits))
+    return F.when(usual, F.floor(column * scale + F.lit(HALF)) / scale).otherwise(column.cast("double"))
 
 
 # ------------------------------------------------------------------------- pieces of SQL text

@@ -9,7 +9,7 @@ from formline import fixed_values as fv
 from formline.operators import enrich, ranking, reshape
 from formline.plans import selection as plans
 from formline.sources.readers import distinct_seasons as seasons_of
-from formline.suite.adapters import YEAR_LABEL_SQL, in_year, order_day, order_logs
+from formline.suite.adapters import YEAR_LABEL_SQL, in_year, order_day, order_logs, year_label
 from formline.suite.registry import Tables, day_text, publish, query, rounded, whole, with_ctes
 
 CURRENT, PREVIOUS = 2000, 1999
@@ -103,16 +103,18 @@ def sort_chronological(t: Tables):
     return publish(ranking.sort_chronological(order_logs(t).select("PLAYER_ID", "GAME_ID", "GAME_DATE")))
 
 
-@query("sample_per_group")
+@query("sample_per_group", f"""
+SELECT event_type, event_id, {rounded('value')} AS value FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY md5('42|' || event_id), event_id) <= 5000""")
 def sample_per_group(t: Tables):
     rows = t.events.select("event_type", "event_id", "value")
     return publish(ranking.sample_per_group(rows, ["event_type"], 5000, 42, ["event_id"]))
 
 
 @query("sample_sizes", """
-SELECT event_type, CAST(least(count(*), 500) AS BIGINT) AS rows, count(*) AS distinct_rows
+SELECT event_type, CAST(count(*) AS BIGINT) AS rows, count(DISTINCT event_id) AS distinct_rows
 FROM (SELECT event_type, event_id FROM events
-      QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id) <= 500) GROUP BY event_type""")
+      QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY md5('42|' || event_id), event_id) <= 500) GROUP BY event_type""")
 def sample_sizes(t: Tables):
     sample = ranking.sample_per_group(t.events.select("event_type", "event_id"), ["event_type"], 500, 42, ["event_id"])
     return publish(sample.groupBy("event_type").agg(
@@ -171,16 +173,16 @@ def distinct_seasons(t: Tables):
 
 
 def season_branches(t: Tables):
-    """The logs of each season as a frame of its own; one of them lacks a column."""
-    frames = [order_logs(t, in_year(year)) for year in range(1995, 2002)]
-    return [frames[0].drop("PTS"), *frames[1:]]
+    """The logs of the first season and those of all others as frames of their own; the first lacks a column."""
+    first = t.orders.agg(F.min(F.year(order_day()))).first()[0]
+    return [order_logs(t, in_year(first)).drop("PTS"), order_logs(t, ~in_year(first))]
 
 
 @query("union_seasons", f"""
 SELECT o_custkey AS "PLAYER_ID", o_orderkey AS "GAME_ID", {day_text('o_orderdate')} AS "GAME_DATE",
   {YEAR_LABEL_SQL.format('o_orderdate')} AS "SEASON",
-  {rounded('CASE WHEN year(o_orderdate) <> 1995 THEN o_totalprice END', 2)} AS "PTS"
-FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001""")
+  {rounded('CASE WHEN year(o_orderdate) <> (SELECT min(year(o_orderdate)) FROM orders) THEN o_totalprice END', 2)} AS "PTS"
+FROM orders""")
 def union_seasons(t: Tables):
     stacked = reshape.union_all(season_branches(t))
     return publish(stacked.select("PLAYER_ID", "GAME_ID", "GAME_DATE", "SEASON", "PTS"), 2)
@@ -190,18 +192,15 @@ def union_seasons(t: Tables):
   SELECT c_custkey, from_year FROM customer JOIN years ON id = c_custkey WHERE c_mktsegment = 'BUILDING')"""], f"""
 SELECT o_custkey AS "PLAYER_ID", o_orderkey AS "GAME_ID", {rounded('o_totalprice', 2)} AS "3PM",
   {YEAR_LABEL_SQL.format('o_orderdate')} AS "SEASON"
-FROM orders WHERE o_custkey IN (SELECT c_custkey FROM chosen) AND year(o_orderdate) <= 2000
-  AND year(o_orderdate) >= (SELECT min(from_year) FROM chosen)"""))
+FROM orders WHERE o_custkey IN (SELECT c_custkey FROM chosen) AND year(o_orderdate) >= (SELECT min(from_year) FROM chosen)"""))
 def career_logs(t: Tables):
     years = player_years_text(t).withColumn("FROM_YEAR", F.when(F.col("FROM_YEAR") != "unknown", F.col("FROM_YEAR")))
     building = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("PLAYER_ID"))
     selected = enrich.join_player_years(building, years)
 
-    def load_season(season: str):
-        year = int(season[:4])
-        return year_logs(t, year).withColumnRenamed("MIN", "FG3M")
-
-    logs = plans.career_logs(load_season, selected, "2000-01")
+    rows = order_logs(t).select("PLAYER_ID", "GAME_ID", F.col("PTS").alias("FG3M"), "SEASON")
+    current = seasons_of(rows).agg(F.max("SEASON")).first()[0]
+    logs = plans.career_logs(rows, selected, current)
     return publish(logs.select("PLAYER_ID", "GAME_ID", "3PM", "SEASON"), 2)
 
 
@@ -219,21 +218,18 @@ SELECT "SEASON", "TEAM_ID", "TEAM_NAME", "GP", "W", "GP" - "W" AS "L", {rounded(
   {whole('row_number() OVER (PARTITION BY "SEASON" ORDER BY "DEF_RATING", "TEAM_ID")')} AS "DEF_RATING_RANK",
   {rounded('"PACE"')} AS "PACE", "POSS" FROM rows"""))
 def opponent_table(t: Tables):
-    """A season's statistics per nation, one frame per season, stacked into the lookup table."""
-
-    def season_stats(year: int):
-        rows = t.orders.filter(in_year(year)).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
-            t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        stats = rows.groupBy(F.col("n_nationkey").cast("long").alias("TEAM_ID"), F.col("n_name").alias("TEAM_NAME")).agg(
-            F.count(F.lit(1)).alias("GP"), F.count_if(F.col("o_orderstatus") == "F").alias("W"),
-            F.avg("o_totalprice").alias("E_DEF_RATING"), F.max("o_totalprice").alias("DEF_RATING"),
-            F.min("o_totalprice").alias("PACE"), F.count_distinct("o_custkey").alias("POSS"))
-        place = F.row_number().over(Window.partitionBy(F.lit(year)).orderBy("DEF_RATING", "TEAM_ID"))
-        return stats.withColumns({
-            "L": F.col("GP") - F.col("W"), "W_PCT": F.col("W") / F.col("GP"), "DEF_RATING_RANK": place})
-
-    seasons = {f"{year}-{(year + 1) % 100:02d}": season_stats(year) for year in range(1995, 2002)}
-    return publish(plans.opponent_defense_table(seasons), W_PCT=8)
+    """The statistics per season and nation, all seasons in one scan."""
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    stats = rows.groupBy(
+        year_label(order_day()).alias("SEASON"), F.col("n_nationkey").cast("long").alias("TEAM_ID"), F.col("n_name").alias("TEAM_NAME")
+    ).agg(
+        F.count(F.lit(1)).alias("GP"), F.count_if(F.col("o_orderstatus") == "F").alias("W"),
+        F.avg("o_totalprice").alias("E_DEF_RATING"), F.max("o_totalprice").alias("DEF_RATING"),
+        F.min("o_totalprice").alias("PACE"), F.count_distinct("o_custkey").alias("POSS"))
+    place = F.row_number().over(Window.partitionBy("SEASON").orderBy("DEF_RATING", "TEAM_ID"))
+    table = stats.withColumns({"L": F.col("GP") - F.col("W"), "W_PCT": F.col("W") / F.col("GP"), "DEF_RATING_RANK": place})
+    return publish(plans.opponent_defense_table(table), W_PCT=8)
 
 
 @query("player_profiles", """

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from formline.functions import columns as C
+from formline.functions import names as N
 from formline.operators import enrich
 from formline.operators import series as S
-from formline.operators.layout import find_hot_groups
+from formline.operators.checks import wide_to_long
+from formline.operators.layout import find_hot_groups, stored
 from formline.suite.adapters import (
-    CODES_SQL, GAMES_SQL, LOGS_SQL, LOGS_WITH_LINES_SQL, order_logs, order_logs_with_lines, player_games,
+    CODES_SQL, GAMES_SQL, LOGS_SQL, LOGS_WITH_LINES_SQL, YEAR_LABEL_SQL, order_logs, order_logs_with_lines, player_games,
 )
 from formline.suite.registry import Tables, publish, query, rounded, whole, with_ctes
 
@@ -114,6 +116,63 @@ def all_time_series_features(t: Tables):
     return publish(result, **feature_digits(result.columns), **totals)
 
 
+# Nations as entities: they have many rows each, and with this limit all of them are cut into blocks.
+HOT_ROWS = 250
+NATION_SQL = f"""logs AS (
+  SELECT c_nationkey AS "PLAYER_ID", o_orderkey AS "GAME_ID", CAST(o_orderdate AS DATE) AS "GAME_DATE",
+         {YEAR_LABEL_SQL.format('o_orderdate')} AS "SEASON", o_totalprice AS "PTS"
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+def nation_logs(t: Tables):
+    nations = t.customer.select(F.col("c_custkey").alias("PLAYER_ID"), F.col("c_nationkey").alias("nation"))
+    return order_logs(t).join(nations, "PLAYER_ID").drop("PLAYER_ID").withColumnRenamed("nation", "PLAYER_ID")
+
+
+def hot_sql(columns: list[str]) -> str:
+    return with_ctes([NATION_SQL], f'SELECT CAST("PLAYER_ID" AS BIGINT) AS "PLAYER_ID", "GAME_ID", ' + ",\n  ".join(columns) + " FROM logs")
+
+
+HOT_KEYS = S.SeriesKeys(max_group_rows=HOT_ROWS)
+
+
+@query("hot_rolling", hot_sql(rolling_sql("PTS")))
+def hot_rolling(t: Tables):
+    result = features_only(S.rolling_avg_std(nation_logs(t), ["PTS"], WINDOWS, HOT_KEYS))
+    return publish(result, **feature_digits(result.columns))
+
+
+@query("hot_running", hot_sql(history_sql("PTS", "season") + history_sql("PTS", "career") + total_sql("PTS")
+                              + [f"{whole(f'row_number() OVER ({ENTITY}) - 1')} AS career_games_played"]))
+def hot_running(t: Tables):
+    """Running statistics over blocks: season and career bounds, season totals, number of earlier rows."""
+    features = S.min_max_features(["PTS"]) + S.cumulative_features(["PTS"]) + [S.Feature("career_games_played", "count", "PTS")]
+    result = features_only(S.add_features(nation_logs(t), features, HOT_KEYS))
+    return publish(result, pts_season_cumulative_total=SUM_DIGITS)
+
+
+@query("hot_lag_change", hot_sql(lag_sql("PTS")))
+def hot_lag_change(t: Tables):
+    return publish(features_only(S.lag_and_change(nation_logs(t), ["PTS"], HOT_KEYS)))
+
+
+@query("feature_group_counts", with_ctes([LOGS_SQL], f"""
+SELECT 'rolling' AS feature_group, CAST(2 AS BIGINT) AS features, count(a) + count(s) AS filled FROM (
+  SELECT avg("PTS") OVER w AS a, stddev_samp("PTS") OVER w AS s FROM logs
+  WINDOW w AS ({ENTITY} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING))
+UNION ALL SELECT 'lag', 1, count(l) FROM (SELECT lag("PTS") OVER ({ENTITY}) AS l FROM logs)
+UNION ALL SELECT 'cumulative', 1, count(c) FROM (SELECT sum("PTS") OVER ({SEASON} {PRIOR}) AS c FROM logs)"""))
+def feature_group_counts(t: Tables):
+    """Features per group, and how many of their values are there."""
+    features = S.rolling_features(["PTS"], [5]) + S.lag_features(["PTS"]) + S.cumulative_features(["PTS"])
+    table = S.add_features(order_logs(t), features)
+    counts, groups = N.feature_group_counts(table), N.feature_groups(table.columns)
+    present = {name: columns for name, columns in groups.items() if columns}
+    return publish(wide_to_long(table, {
+        name: {"features": F.max(F.lit(counts[name])), "filled": sum(F.count(c) for c in columns)} for name, columns in present.items()
+    }, key="feature_group"))
+
+
 REST_SQL = f"""rested AS (
   SELECT *, date_diff('day', lag("GAME_DATE") OVER ({ENTITY}), "GAME_DATE") AS rest FROM logs)"""
 
@@ -145,14 +204,21 @@ form AS (
 @query("team_recent_form", with_ctes([GAMES_SQL, TEAM_GAMES_SQL], f"""
 SELECT g AS "GAME_ID", team AS "TEAM_ID", {whole('win')} AS team_win, {rounded('form')} AS recent_form FROM form"""))
 def team_recent_form(t: Tables):
-    return publish(S.recent_form(player_games(t)).drop("GAME_DATE"))
+    return publish(S.recent_form(stored(player_games(t), "games")).drop("GAME_DATE"))
+
+
+@query("hot_recent_form", with_ctes([GAMES_SQL, TEAM_GAMES_SQL], f"""
+SELECT g AS "GAME_ID", team AS "TEAM_ID", {whole('win')} AS team_win, {rounded('form')} AS recent_form FROM form"""))
+def hot_recent_form(t: Tables):
+    return publish(S.recent_form(stored(player_games(t), "games"), max_group_rows=HOT_ROWS).drop("GAME_DATE"))
 
 
 @query("recent_form", with_ctes([GAMES_SQL, CODES_SQL, TEAM_GAMES_SQL], f"""
 SELECT {KEYS}, "TEAM_ID", {rounded('form')} AS opponent_recent_form
 FROM games LEFT JOIN form ON g = "GAME_ID" AND team = ("TEAM_ID" + 1) % 5"""))
 def recent_form(t: Tables):
-    games = player_games(t).withColumn("opponent_team_id", F.pmod(F.col("TEAM_ID") + 1, F.lit(5)))
+    played = stored(player_games(t), "games")
+    games = played.withColumn("opponent_team_id", F.pmod(F.col("TEAM_ID") + 1, F.lit(5)))
     joined = enrich.join_recent_form(games)
     return publish(joined.select("PLAYER_ID", "GAME_ID", "TEAM_ID", "opponent_recent_form"))
 

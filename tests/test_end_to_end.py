@@ -29,7 +29,7 @@ def write_league(folder):
             for code, other, mark in ((home, away, "vs."), (away, home, "@")):
                 for player in (1, 2, 3):
                     row = {c: rng.randrange(12) for c in fv.GAME_LOG_INT_COLUMNS}
-                    row |= {c: "NA" if rng.random() < 0.1 else round(rng.random(), 3) for c in fv.PERCENTAGE_COLUMNS}
+                    row |= {c: "NA" if rng.random() < 0.1 else round(rng.random(), 3) for c in ["FG_PCT", "FG3_PCT", "FT_PCT"]}
                     row["PTS"] = player * 6 + rng.randrange(4)
                     row |= {
                         "FANTASY_PTS": row["PTS"] * 1.5, "PLAYER_ID": TEAMS[code] % 1000 * 10 + player,

@@ -1,3 +1,4 @@
+import hashlib
 from datetime import date
 
 import pytest
@@ -44,25 +45,31 @@ def test_scalars(spark):
 
 
 def test_malformed_height_raises(spark):
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        one(spark, x=C.height_inches(F.lit("tall")))
+    for text in ("tall", "6-9-2", "6", "six-two"):
+        with pytest.raises(Exception, match="malformed height"):
+            one(spark, x=C.height_inches(F.lit(text)))
+    with pytest.raises(Exception, match="malformed season"):
+        one(spark, x=C.season_start_year(F.lit("spring")))
 
 
 def test_feature_families(spark):
-    names = ["pts_rolling_5g_avg", "reb_lag_1", "opponent_win_pct", "position_Guard", "some_other_numeric_feature"]
-    rows = spark.createDataFrame([(n,) for n in names], "feature string").select(C.feature_family()).collect()
-    assert [r[0] for r in rows] == ["time_series", "time_series", "contextual", "player_specific", "other"]
+    names = {"ast_rolling_10g_std": "time_series", "blk_season_max": "time_series", "opponent_recent_form": "contextual",
+             "is_undrafted": "player_specific", "wingspan": "other"}
+    rows = spark.createDataFrame([(n,) for n in names], "feature string").select("feature", C.feature_family().alias("family")).collect()
+    assert {r["feature"]: r["family"] for r in rows} == names
 
 
 def test_player_info_join(spark):
-    logs = spark.createDataFrame([(1, 101, 10), (1, 102, 20), (2, 201, 30)], "PLAYER_ID int, GAME_ID int, PTS int")
+    logs = spark.createDataFrame([(31, 1, 5), (32, 1, 6), (31, 2, 7)], "PLAYER_ID int, GAME_ID int, PTS int")
     info = spark.createDataFrame(
-        [(1, "6-8", "Forward"), (2, "6-2", "Guard")], "PLAYER_ID int, HEIGHT string, POSITION string")
-    merged = {r["GAME_ID"]: r for r in enrich.join_player_info(logs, info).collect()}
-    assert len(merged) == 3 and merged[101]["HEIGHT"] == "6-8" and merged[201]["POSITION"] == "Guard"
-    with pytest.raises(ValueError, match="duplicate PLAYER_ID"):
-        enrich.join_player_info(logs, info.unionByName(info.filter("PLAYER_ID = 1")))
+        [(32, "5-11", None), (31, "7-0", "Center"), (40, "6-6", "Guard")], "PLAYER_ID int, HEIGHT string, POSITION string")
+    merged = {(r["PLAYER_ID"], r["GAME_ID"]): (r["PTS"], r["HEIGHT"], r["POSITION"]) for r in enrich.join_player_info(logs, info).collect()}
+    assert merged == {(31, 1): (5, "7-0", "Center"), (32, 1): (6, "5-11", None), (31, 2): (7, "7-0", "Center")}
+    twice = enrich.join_player_info(logs, info.unionByName(info.filter("PLAYER_ID = 31")))  # builds without a job
+    with pytest.raises(Exception, match="player_info contains duplicate PLAYER_ID values: 31"):
+        twice.collect()
     assert enrich.already_enriched(logs, ["PTS"]) and not enrich.already_enriched(logs)
+    info = info.filter("PLAYER_ID < 40").fillna("none")
     report = {r["metric"]: r["value"] for r in checks.merge_report(logs, info, enrich.join_player_info(logs, info)).collect()}
     assert report == {
         "input_rows": 3, "input_columns": 3, "players_in_features": 2, "lookup_rows": 2, "players_in_lookup": 2,
@@ -71,50 +78,47 @@ def test_player_info_join(spark):
 
 
 def context_frame(spark):
-    days = [1, 2, 4, 4, 8]
-    rows = [
-        (1, 101 + i, date(2024, 1, day), "LAL vs. BOS" if i % 2 == 0 else "LAL @ BOS", "2023-24", LAL, "W" if i % 2 == 0 else "L")
-        for i, day in enumerate(days)
-    ]
+    plan = [("2011-12-03", "@"), ("2011-12-03", "vs."), ("2011-12-05", "@"), ("2011-12-06", "vs."), ("2011-12-20", "@")]
+    rows = [(77, 900 + i, date.fromisoformat(day), f"LAL {where} BOS", "2011-12", LAL, "WL"[i % 2]) for i, (day, where) in enumerate(plan)]
     return spark.createDataFrame(
         rows, "PLAYER_ID int, GAME_ID int, GAME_DATE date, MATCHUP string, SEASON string, TEAM_ID long, WL string")
 
 
 def defense_frame(spark):
     return spark.createDataFrame(
-        [("2023-24", BOS, 0.75, 110.0)], "SEASON string, TEAM_ID long, W_PCT double, DEF_RATING double")
+        [(season, BOS, 0.6, 104.5) for season in ("2011-12", "2023-24")], "SEASON string, TEAM_ID long, W_PCT double, DEF_RATING double")
 
 
 def test_contextual_features(spark):
     result = {r["GAME_ID"]: r for r in plans.contextual_features(context_frame(spark), defense_frame(spark)).collect()}
-    assert result[101]["home_game"] == 1 and result[102]["away_game"] == 1
-    assert result[101]["opponent_abbreviation"] == "BOS" and result[101]["opponent_team_id"] == BOS
-    assert result[101]["opponent_def_rating"] == 110.0 and result[101]["opponent_win_pct"] == 0.75
-    assert [result[101 + i]["days_rest_category"] for i in range(5)] == ["first_game", "1", "2", "0", "3+"]
-    assert result[105]["opponent_recent_form"] is None  # nobody of the opponent is in the table
+    games = [result[900 + i] for i in range(5)]
+    assert [(g["home_game"], g["away_game"]) for g in games] == [(0, 1), (1, 0), (0, 1), (1, 0), (0, 1)]
+    assert {(g["opponent_abbreviation"], g["opponent_team_id"], g["opponent_def_rating"], g["opponent_win_pct"]) for g in games} == {
+        ("BOS", BOS, 104.5, 0.6)}
+    assert [g["days_rest_category"] for g in games] == ["first_game", "0", "2", "1", "3+"]
+    assert {g["opponent_recent_form"] for g in games} == {None}  # nobody of the opponent is in the table
 
 
 def test_player_specific_features(spark):
-    rows = [(1, 101 + i, date(2024, 1, 1 + 2 * i), "2023-24", "2000-01-01T00:00:00", "6-8", 220, "Forward-Center", 2020,
-             "Undrafted") for i in range(2)]
+    rows = [(5, 10 - i, date(2015, 3, 4 + 10 * i), "2014-15", "1990-06-30T00:00:00", "6-1", 180, "Guard-Forward", 2013, pick)
+            for i, pick in enumerate(("undrafted", "17", None))]
     frame = spark.createDataFrame(
         rows, "PLAYER_ID int, GAME_ID int, GAME_DATE date, SEASON string, BIRTHDATE string, HEIGHT string, WEIGHT int,"
               "POSITION string, FROM_YEAR int, DRAFT_PICK string")
-    first, second = sorted(plans.player_specific_features(frame).collect(), key=lambda r: r["GAME_ID"])
-    assert (first["career_games_played"], second["career_games_played"]) == (0, 1)
-    assert first["season_number"] == 4 and first["height_inches"] == 80
-    assert first["draft_pick_numeric"] == 61 and first["is_undrafted"] == 1
-    assert first["position_Forward"] == 1 and first["position_Center"] == 1
-    assert first["age_at_game"] == pytest.approx(8766 / 365.25)
+    found = sorted(plans.player_specific_features(frame).collect(), key=lambda r: r["GAME_DATE"])
+    assert [r["career_games_played"] for r in found] == [0, 1, 2]
+    assert [(r["draft_pick_numeric"], r["is_undrafted"]) for r in found] == [(61, 1), (17, 0), (61, 0)]
+    assert {(r["season_number"], r["height_inches"], r["position_Forward"], r["position_Guard"]) for r in found} == {(2, 73, 1, 1)}
+    assert found[0]["age_at_game"] == pytest.approx((date(2015, 3, 4) - date(1990, 6, 30)).days / 365.25)
 
 
 def test_ratios(spark):
     frame = spark.createDataFrame(
-        [(20, 10, 5, 2, 4, 5), (0, 0, 0, 0, 0, 0)], "PTS int, FGA int, FGM int, 3PM int, FG3A int, FTA int")
-    shot, none = plans.advanced_metrics(frame).collect()
-    assert shot["true_shooting_pct"] == pytest.approx(20 / (2 * (10 + 0.44 * 5)))
-    assert shot["effective_fg_pct"] == pytest.approx(0.6) and shot["three_point_attempt_rate"] == pytest.approx(0.4)
-    assert none["true_shooting_pct"] is None and none["effective_fg_pct"] is None
+        [(31, 16, 9, 4, 8, 12), (3, 0, 0, 0, 0, 4)], "PTS int, FGA int, FGM int, 3PM int, FG3A int, FTA int")
+    names = ["true_shooting_pct", "effective_fg_pct", "three_point_attempt_rate", "free_throw_attempt_rate"]
+    shot, thrown = [[row[name] for name in names] for row in plans.advanced_metrics(frame).orderBy(F.desc("FGA")).collect()]
+    assert shot == pytest.approx([31 / (32 + 0.88 * 12), (9 + 0.5 * 4) / 16, 8 / 16, 12 / 16])
+    assert thrown[0] == pytest.approx(3 / (0.88 * 4)) and thrown[1:] == [None] * 3
 
 
 def test_multi_hot_ignores_missing_and_empty(spark):
@@ -189,8 +193,9 @@ def test_checks_raise(spark):
                                   "opponent_abbreviation string, opponent_team_id long")
     with pytest.raises(ValueError, match="Duplicate PLAYER_ID"):
         checks.require_no_duplicates(frame)
-    with pytest.raises(ValueError, match="AAA"):
+    with pytest.raises(checks.UnmappedCodes, match="1 codes have no id, e.g. .'AAA'") as raised:
         checks.require_mapped_codes(frame)
+    assert [r[0] for r in raised.value.codes.collect()] == ["AAA"]
     with pytest.raises(ValueError, match="Row count"):
         checks.require_same_rowcount(frame, frame.limit(1))
     with pytest.raises(ValueError, match=r"\[1\]"):
@@ -231,16 +236,13 @@ def test_top_k_is_limited_before_the_shuffle(spark):
 
 
 def test_career_logs_and_player_profiles(spark):
-    selected = spark.createDataFrame([(1, 2022.0), (2, 2023.0)], "PLAYER_ID long, FROM_YEAR double")
-    seen = []
-
-    def load(season):
-        seen.append(season)
-        return spark.createDataFrame([(1, 5), (9, 7)], "PLAYER_ID long, FG3M int")
-
-    rows = selection.career_logs(load, selected, "2024-25").collect()
-    assert seen == ["2022-23", "2023-24", "2024-25"]
-    assert sorted((r["PLAYER_ID"], r["3PM"], r["SEASON"]) for r in rows) == [(1, 5, s) for s in seen]
+    selected = spark.createDataFrame([(1, 1998.0), (2, 1999.0)], "PLAYER_ID long, FROM_YEAR double")
+    seasons = ["1997-98", "1998-99", "1999-00", "2000-01", "2001-02"]
+    logs = spark.createDataFrame([(p, 5, s) for s in seasons for p in (1, 9)], "PLAYER_ID long, FG3M int, SEASON string")
+    rows = selection.career_logs(logs, selected, "2000-01").collect()
+    assert sorted((r["PLAYER_ID"], r["3PM"], r["SEASON"]) for r in rows) == [(1, 5, s) for s in seasons[1:4]]
+    with pytest.raises(ValueError, match="1990-91"):
+        selection.career_logs(logs, selected, "1990-91")
 
     profile = {name: None for name in fv.PLAYER_PROFILE_SOURCE_COLUMNS}
     types = ", ".join(f"{n} {'long' if n == 'PERSON_ID' else 'string'}" for n in profile)
@@ -251,3 +253,22 @@ def test_career_logs_and_player_profiles(spark):
     ])
     rows = {r["PLAYER_ID"]: (r["DRAFT_PICK"], r["WEIGHT"]) for r in info.collect()}
     assert rows == {1642377: ("Undrafted", "206"), 5: ("33", "190")}
+
+
+def test_samples_have_the_asked_size_and_sorts_their_order(spark):
+    frame = spark.range(20_000).select((F.col("id") % 7 == 0).alias("g"), "id")
+    sample = ranking.sample_per_group(frame, ["g"], 100, 1, ["id"])
+    assert {r["g"]: r["count"] for r in sample.groupBy("g").count().collect()} == {True: 100, False: 100}
+    draws = {r["id"]: hashlib.md5(f"1|{r['id']}".encode()).hexdigest() for r in frame.filter("g").collect()}
+    assert {r["id"] for r in sample.filter("g").collect()} == set(sorted(draws, key=draws.get)[:100])
+    rows = spark.createDataFrame([("b", 1), ("a", 2), ("a", 9), (None, 3)], "k string, v int")
+    assert [tuple(r) for r in ranking.sort_mixed(rows, [F.col("k").asc_nulls_last(), F.col("v").desc()]).collect()] == [
+        ("a", 9), ("a", 2), ("b", 1), (None, 3)]
+    games = spark.createDataFrame([(2, 1, date(2020, 1, 2)), (1, 9, date(2020, 1, 2)), (1, 1, None), (3, 1, date(2019, 5, 5))],
+                                  "GAME_ID int, PLAYER_ID int, GAME_DATE date")
+    assert [tuple(r)[:2] for r in ranking.sort_chronological(games).collect()] == [(3, 1), (1, 9), (2, 1), (1, 1)]
+
+
+def test_tokens_as_rows(spark):
+    frame = spark.createDataFrame([(1, "b-a-b"), (2, None), (3, "")], "id int, POSITION string")
+    assert sorted(map(tuple, enrich.token_rows(frame, ["id"], "POSITION").collect())) == [(1, "a"), (1, "b")]

@@ -1,18 +1,25 @@
+from pathlib import Path
 from types import SimpleNamespace
 
-import pytest
 from pyspark.sql import functions as F
 
-from formline.operators import checks, layout
+from formline.operators import layout
 from formline.operators import series as S
 
 
-def test_cluster_needs_a_shared_folder(spark):
-    session = lambda **conf: SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: conf.get(key, default)))
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        layout.scratch_path(session(**{"spark.master": "yarn"}), "blocks")
-    path = layout.scratch_path(session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"}), "blocks")
-    assert path.startswith("hdfs:///shared/blocks-")
+def test_scratch_lies_in_the_shared_folder(spark):
+    session = lambda **conf: SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: conf.get(key, *default)))
+    named = session(**{"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert layout.scratch_path(named, "blocks").startswith("hdfs:///shared/blocks-")
+    unset = session(**{"spark.sql.warehouse.dir": "hdfs:///warehouse"})
+    assert layout.scratch_path(unset, "blocks").startswith("hdfs:///warehouse/_scratch/blocks-")
+
+
+def test_scratch_can_be_removed(spark):
+    frame = layout.stored(spark.range(10), "gone")
+    assert frame.count() == 10
+    layout.remove_scratch(frame)
+    assert not any("gone-" in str(path) for path in Path(spark.conf.get("spark.checkpoint.dir")).iterdir())
 
 
 def test_hot_groups_and_blocks(spark):
@@ -39,10 +46,3 @@ def test_blocked_plan_has_no_cross_join_and_no_python(spark):
     plan = result._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "SinglePartition"):
         assert operator not in plan
-
-
-def test_planned_partitions_are_those_of_a_repartitioning(spark):
-    frame = spark.range(500).select((F.col("id") % 37).alias("PLAYER_ID"))
-    rows = lambda df: sorted(map(tuple, df.collect()))
-    assert rows(checks.planned_partitions(frame, partitions=8)) == rows(
-        checks.partition_diagnostics(frame.repartition(8, "PLAYER_ID")))

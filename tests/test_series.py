@@ -1,4 +1,5 @@
 import random
+import statistics
 from datetime import date, timedelta
 
 import pytest
@@ -14,63 +15,73 @@ def by_game(df):
     return {row["GAME_ID"]: row for row in df.collect()}
 
 
-def two_players(spark):
-    rows = [(i + 1, 101, date(2024, 1, i + 1), "2023-24", 10 * (i + 1)) for i in range(5)]
-    rows += [(6, 202, date(2024, 1, 1), "2023-24", 100), (7, 202, date(2024, 1, 2), "2023-24", 200)]
-    return spark.createDataFrame(rows, SCHEMA)
+HISTORY = {
+    7: [("2011-12", 4), ("2011-12", 9), ("2011-12", 1), ("2012-13", 16), ("2012-13", 25), ("2012-13", 7)],
+    8: [("2011-12", 50), ("2012-13", 60)],
+}
 
 
-def two_seasons(spark):
-    rows = [
-        (1, 101, date(2024, 1, 1), "2023-24", 10),
-        (2, 101, date(2024, 1, 2), "2023-24", 30),
-        (3, 101, date(2024, 10, 1), "2024-25", 20),
-        (4, 101, date(2024, 10, 2), "2024-25", 40),
-    ]
+def history(spark):
+    """Two entities over two seasons, a row a week, given in no order."""
+    rows, game = [], 0
+    for player, values in HISTORY.items():
+        for week, (season, value) in enumerate(values):
+            game += 1
+            rows.append((game, player, date(2011, 11, 1) + timedelta(weeks=week), season, value))
+    random.Random(1).shuffle(rows)
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def test_rolling_uses_prior_games_of_the_same_player(spark):
-    rows = by_game(S.rolling_avg_std(two_players(spark), ["PTS"], [3]))
-    assert rows[1]["pts_rolling_3g_avg"] is None
-    assert rows[2]["pts_rolling_3g_std"] is None
-    assert rows[4]["pts_rolling_3g_avg"] == 20 and rows[4]["pts_rolling_3g_std"] == 10
-    assert rows[5]["pts_rolling_3g_avg"] == 30
-    assert rows[6]["pts_rolling_3g_avg"] is None and rows[7]["pts_rolling_3g_avg"] == 100
+def expected_rows(compute):
+    """game -> compute(earlier values, earlier values of the season, value), by plain Python."""
+    result, game = {}, 0
+    for values in HISTORY.values():
+        for i, (season, value) in enumerate(values):
+            game += 1
+            result[game] = compute([v for _, v in values[:i]], [v for s, v in values[:i] if s == season], value)
+    return result
+
+
+def check_against(frame, names, compute):
+    found = by_game(frame)
+    for game, want in expected_rows(compute).items():
+        got = tuple(found[game][name] for name in names)
+        assert got == tuple(x if x is None else pytest.approx(x) for x in want), game
 
 
-def test_season_history_resets_and_career_history_does_not(spark):
-    rows = by_game(S.historical_min_max(two_seasons(spark), ["PTS"]))
+def test_trailing_frames_hold_earlier_rows_of_the_entity_only(spark):
+    def compute(earlier, _, value):
+        last = earlier[-2:]
+        return (statistics.mean(last) if last else None, statistics.stdev(last) if len(last) > 1 else None)
+
+    check_against(S.rolling_avg_std(history(spark), ["PTS"], [2]), ["pts_rolling_2g_avg", "pts_rolling_2g_std"], compute)
+
+
+def test_bounds_start_anew_with_a_season_but_not_in_a_career(spark):
+    bounds = lambda values: (min(values, default=None), max(values, default=None))
     names = ["pts_season_min", "pts_season_max", "pts_career_min", "pts_career_max"]
-    assert [rows[1][n] for n in names] == [None] * 4
-    assert [rows[2][n] for n in names] == [10, 10, 10, 10]
-    assert [rows[3][n] for n in names] == [None, None, 10, 30]
-    assert [rows[4][n] for n in names] == [20, 20, 10, 30]
+    check_against(S.historical_min_max(history(spark), ["PTS"]), names, lambda career, season, _: bounds(season) + bounds(career))
 
 
-def test_cumulative_total_resets_per_season(spark):
-    rows = by_game(S.season_cumulative_total(two_seasons(spark), ["PTS"]))
-    assert [rows[i]["pts_season_cumulative_total"] for i in (1, 2, 3, 4)] == [None, 10, None, 20]
+def test_running_total_of_the_season(spark):
+    check_against(S.season_cumulative_total(history(spark), ["PTS"]), ["pts_season_cumulative_total"],
+                  lambda _, season, value: (sum(season) if season else None,))
 
 
-def test_lag_and_change(spark):
-    frame = spark.createDataFrame(
-        [(1, 101, date(2024, 1, 1), "s", 10), (2, 101, date(2024, 1, 2), "s", 30),
-         (3, 101, date(2024, 1, 3), "s", 20), (4, 202, date(2024, 1, 1), "s", 100)], SCHEMA)
-    rows = by_game(S.lag_and_change(frame, ["PTS"]))
-    assert [rows[i]["pts_lag_1"] for i in (1, 2, 3, 4)] == [None, 10, 30, None]
-    assert [rows[i]["pts_change_from_previous"] for i in (1, 2, 3, 4)] == [None, 20, -10, None]
+def test_previous_value_and_difference(spark):
+    check_against(S.lag_and_change(history(spark), ["PTS"]), ["pts_lag_1", "pts_change_from_previous"],
+                  lambda career, _, value: (career[-1], value - career[-1]) if career else (None, None))
 
 
-def test_two_targets_and_two_windows_add_22_columns(spark):
-    frame = two_seasons(spark).withColumn("REB", F.lit(5))
-    result = S.all_time_series_features(frame, ["PTS", "REB"], [1, 2])
-    assert len(result.columns) - len(frame.columns) == 22
-    assert len(N.time_series_columns(result)) == 22
+def test_columns_per_target(spark):
+    frame = history(spark).withColumn("REB", F.lit(5))
+    result = S.all_time_series_features(frame, ["PTS", "REB"], [4])
+    per_target = 2 + 4 + 1 + 2  # one window, bounds of two scopes, total, lag and change
+    assert len(result.columns) - len(frame.columns) == len(N.time_series_columns(result)) == 2 * per_target
 
 
 def test_default_call_adds_104_columns(spark):
-    frame = two_seasons(spark)
+    frame = history(spark)
     for target in ["FANTASY_PTS", "REB", "AST", "STL", "BLK", "TOV", "3PM"]:
         frame = frame.withColumn(target, F.lit(1.0))
     result = S.all_time_series_features(frame)
@@ -82,7 +93,7 @@ def test_default_call_adds_104_columns(spark):
 
 
 def test_one_shuffle_and_no_python(spark):
-    frame = two_seasons(spark).repartition(3)
+    frame = history(spark).repartition(3)
     plan = S._plain(frame, S.rolling_features(["PTS"], [5, 10]) + S.min_max_features(["PTS"]), S.GAME_KEYS)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1

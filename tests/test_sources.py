@@ -104,3 +104,23 @@ def test_cutoff_matches_the_sorted_position(spark, size):
     days = [date(2024, 1, 1 + (i * 7) % 20) for i in range(50)]
     frame = spark.createDataFrame([(d,) for d in days], "GAME_DATE date")
     assert split.cutoff_date(frame, test_size=size) == sorted(days)[int(50 * (1 - size))]
+
+
+def test_columns_are_matched_by_name_across_files(spark, tmp_path):
+    one = write_text(tmp_path / "a.csv", "PLAYER_ID,GAME_ID,PTS\n1,500,7\n")
+    two = write_text(tmp_path / "b.csv", "GAME_ID,PLAYER_ID\n600,2\n")
+    logs = readers.read_game_logs(spark, [one, two])
+    assert sorted((r["PLAYER_ID"], r["GAME_ID"], r["PTS"]) for r in logs.collect()) == [(1, 500, 7), (2, 600, None)]
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    write_text(folder / "a.csv", "PLAYER_ID,GAME_ID\n1,500\n")
+    write_text(folder / "b.csv", "GAME_ID,PLAYER_ID\n600,2\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_game_logs(spark, str(folder)).collect()
+
+
+def test_partitioned_writes_have_few_files(spark, tmp_path):
+    frame = spark.range(4000).repartition(16).withColumn("SEASON", (F.col("id") % 4).cast("string"))
+    writers.write_features(frame, str(tmp_path / "out"), ["SEASON"])
+    assert len(list((tmp_path / "out").glob("SEASON=*/*.parquet"))) <= 8
+    assert readers.read_features(spark, str(tmp_path / "out")).count() == 4000

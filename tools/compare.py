@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -56,7 +57,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.driver.memory", "8g").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection, failed = sql_tables(folder), 0
