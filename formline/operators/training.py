@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -44,6 +46,7 @@ MODEL_CONFIGS = {
     )
 }
 SEED = 42
+PARALLEL_FITS = 8
 
 
 def get_model_config(name: str) -> ModelConfig:
@@ -109,9 +112,14 @@ def load_model(path: str, model: str, target: str) -> PipelineModel:
     return PipelineModel.load(full)
 
 
-def train_models(modelling: ModellingData, config: ModelConfig, targets: Sequence[str] | None = None) -> TrainedModels:
+def train_models(
+    modelling: ModellingData, config: ModelConfig, targets: Sequence[str] | None = None, parallelism: int = PARALLEL_FITS
+) -> TrainedModels:
     """All targets on the same assembled vectors, which are kept for the fits. The primary target goes first.
 
+    Boosting is a chain of small jobs, so several targets are fitted at a time. Rows are dealt over the
+    cluster's cores before: the passes of a fit are as wide as that, however few files the table has.
+
     The table is read for the missing counts, the medians and the assembly: pass a written one
     (``write_split``) rather than one whose features would be computed again each time.
     """
@@ -123,10 +131,13 @@ def train_models(modelling: ModellingData, config: ModelConfig, targets: Sequenc
     assembled = (
         preparation.transform(train)
         .select("features", *[F.col(target).cast("double").alias(target) for target in chosen])
+        .repartition(train.sparkSession.sparkContext.defaultParallelism)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        models = {target: train_target(assembled, target, config) for target in chosen}
+        fits = [inheritable_thread_target(train.sparkSession)(partial(train_target, assembled, target, config)) for target in chosen]
+        with ThreadPool(min(parallelism, len(fits))) as pool:
+            models = dict(zip(chosen, pool.map(lambda fit: fit(), fits, chunksize=1)))
     finally:
         assembled.unpersist()
     return TrainedModels(config, preparation, models, inputs)
