@@ -26,7 +26,7 @@ SMOOTH = 0.5
 # Longer runs of letters are not words: the model does not learn them, n-grams score them.
 LONGEST = 60
 # Languages the model tells apart at most have to fit the driver; so many is far beyond any corpus.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 PREDICTION = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
@@ -177,6 +177,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for batch in texts:
             yield pd.DataFrame([scorer.predict(t) for t in batch], columns=["lang_pred", "score"])
 
+    scores = scores.asNondeterministic()  # else a filter on the prediction would compute it a second time
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "_prediction")]
     return docs.select(*kept, scores(F.col(f"`{text_col}`")).alias("_prediction")).select(
         *kept, "_prediction.lang_pred", "_prediction.score")

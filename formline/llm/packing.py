@@ -23,7 +23,7 @@ TOKENIZER = "word_bpe_49k.json"
 GROUP_PIECES = 20_000
 ROUNDS = 3
 # A worker forgets its pieces once they have so many token ids; a piece has three or four.
-CACHE_IDS = 1 << 22
+CACHE_IDS = 1 << 20
 
 
 # Kinds of bytes: pieces are runs of one kind, single digits, or whole words with anything else in them.
