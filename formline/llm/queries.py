@@ -83,7 +83,25 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
-@query("op5_jaccard_join")
+# Exact as the join is; SQL lists every pair of documents with a common shingle.
+JACCARD_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM worded),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 75 * (min(a.n) + min(b.n) - count(*))),
+reach AS (SELECT a AS start, b AS node FROM links UNION SELECT start, b FROM reach JOIN links ON node = a),
+least AS (SELECT start, min(node) AS node FROM reach GROUP BY 1)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(node, doc_id)) AS component_id
+FROM sets LEFT JOIN least ON start = doc_id"""
+
+
+@query("op5_jaccard_join", JACCARD_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents linked by a shingle similarity of 0.75 or more."""
     return parity_join.near_duplicates(table(spark, folder, "documents"))
@@ -115,7 +133,19 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
                         count("novel").alias("n_novel"))
 
 
-@query("op3_warc")
+# Five hexadecimal digits of the SHA-1 are four letters of base 32.
+WARC_SQL = """
+WITH payloads AS (SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
+digests AS (SELECT *, sha1(payload) AS hex, max(page_id) OVER (PARTITION BY payload) AS first FROM payloads)
+SELECT page_id, url, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
+    (CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) AS INTEGER), 1) FOR i IN range(0, 32)], '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digests"""
+
+
+@query("op3_warc", WARC_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
     found = warc.archived(table(spark, folder, "pages"))
