@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formline.llm import curriculum, language, packing, parity_join, secrets
-from formline.llm.queries import ship_package, tokenizer_file
+from formline.llm.queries import ship_package, small_batches, tokenizer_file
 from formline.operators.layout import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,6 +22,7 @@ LEAST_LANGUAGE_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told; the others go. A null ``lang`` gets the language found."""
+    small_batches(spark)
     found = language.predict(docs, language.fit(docs))
     kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
@@ -29,12 +30,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
+    small_batches(spark)
     return parity_join.without_near_duplicates(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; every secret in a text is replaced by a mark, and ``n_chars`` follows the text."""
-    clean = secrets.redacted(secrets.secret_spans(docs))
+    small_batches(spark)
+    clean = secrets.secret_spans(docs, mark="<secret>")
     changed = F.when(F.size("secret_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", changed).select(*docs.columns)
 
@@ -47,6 +50,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their place in training sequences of at most 4096 tokens."""
+    small_batches(spark)
     packed = packing.pack_documents(docs, tokenizer_file(packing.TOKENIZER))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 

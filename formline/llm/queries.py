@@ -43,11 +43,17 @@ def ship_package(spark: SparkSession) -> None:
 _SHIPPED: set[str] = set()
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Hands long texts to Python in small batches: an executor's workers share what its heap leaves."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
         @functools.wraps(build)
         def run(spark: SparkSession, folder: str) -> DataFrame:
             ship_package(spark)
+            small_batches(spark)
             return build(spark, folder)
 
         QUERIES[name] = run

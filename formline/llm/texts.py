@@ -18,7 +18,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 # Texts are taken in slices of about this many bytes, which bounds the arrays beside the batch.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
