@@ -25,7 +25,7 @@ HEADLINE = [
     "full_features", "lookup_join", "select_players", "top_k_per_group", "null_counts", "duplicate_keys",
     "merge_report", "multi_hot", "describe_columns", "outlier_summary", "histogram", "correlation_pairs",
     "time_split", "regression_metrics", "metric_comparison", "importance_table", "train_metrics",
-    "full_feature_report", "opponent_table", "career_logs", "gain_importance", "sample_per_group", "hot_running",
+    "full_feature_report", "opponent_table", "career_logs", "gain_importance", "sample_per_group",
 ]
 
 
