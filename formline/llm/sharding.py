@@ -59,7 +59,8 @@ def shard_uniformly(df: DataFrame, shards: int, seed: int = 0, run_rows: int = R
     1. Rows are put into random order within their input partition, numbered there, and written to the
        shared folder, so that counts and rows agree whatever happens to executors later.
     2. The driver sees one count per block of partitions (at most 4096) and draws the matrix.
-    3. A row's number and the matrix row of its block give its shard: no other row is looked at.
+    3. A row's number and the matrix row of its block give its shard: no other row is looked at. Where blocks
+       hold several partitions, their rows are first numbered in a random order of the whole block.
     4. Within a shard rows get a second random order: cut by leading hash bits into runs of about
        ``run_rows`` rows, numbered within the run, and shifted by the rows of the runs before it.
 
@@ -78,19 +79,22 @@ def shard_uniformly(df: DataFrame, shards: int, seed: int = 0, run_rows: int = R
 
     parts = numbered.groupBy("_sh_part").agg(F.count(F.lit(1)).alias("_sh_rows"))
     parts = parts.withColumn("_sh_block", F.pmod(F.col("_sh_part"), F.lit(MAX_BLOCKS)))
-    counts = {r[0]: r[1] for r in parts.groupBy("_sh_block").agg(F.sum("_sh_rows")).collect()}
+    held = parts.groupBy("_sh_block").agg(F.sum("_sh_rows"), F.count(F.lit(1))).collect()
+    counts, shared = {r[0]: r[1] for r in held}, any(r[2] > 1 for r in held)
     blocks, total = sorted(counts), sum(counts.values())
     sizes = [total // shards + (k < total % shards) for k in range(shards)]
     matrix = communication_matrix([counts[b] for b in blocks], sizes, seed)
     cuts = json.dumps([{"_sh_block": b, "_sh_cuts": c} for b, c in zip(blocks, np.cumsum(matrix, axis=1).tolist())])
 
-    # Where a partition begins in its block, and its block's cuts; one small row per input partition.
-    before = Window.partitionBy("_sh_block").orderBy("_sh_part").rowsBetween(Window.unboundedPreceding, -1)
     table = df.sparkSession.range(1).select(F.inline(F.from_json(F.lit(cuts), "array<struct<_sh_block:bigint,_sh_cuts:array<bigint>>>")))
-    lookup = parts.withColumn("_sh_from", F.coalesce(F.sum("_sh_rows").over(before), F.lit(0))).join(
-        table, "_sh_block").select("_sh_part", "_sh_from", "_sh_cuts")
-    dealt = numbered.join(lookup, "_sh_part").withColumn("_sh_n", F.col("_sh_row") + F.col("_sh_from"))
-    dealt = dealt.withColumn("shard", F.size(F.filter("_sh_cuts", lambda x: x <= F.col("_sh_n"))).cast("int")).drop("_sh_cuts", "_sh_n", "_sh_from")
+    if shared:  # partitions laid one after the other would reach neighbouring shards only
+        mixed = F.xxhash64(F.lit(seed + 2), F.col("_sh_key"), F.col("_sh_part"), F.col("_sh_row"))
+        whole = Window.partitionBy("_sh_block").orderBy("_sh_mixed", "_sh_part", "_sh_row")
+        dealt = numbered.withColumn("_sh_block", F.pmod(F.col("_sh_part"), F.lit(MAX_BLOCKS))).withColumn("_sh_mixed", mixed)
+        dealt = dealt.withColumn("_sh_n", F.row_number().over(whole) - 1).join(table, "_sh_block").drop("_sh_mixed", "_sh_block")
+    else:
+        dealt = numbered.join(parts.join(table, "_sh_block").select("_sh_part", "_sh_cuts"), "_sh_part").withColumn("_sh_n", F.col("_sh_row"))
+    dealt = dealt.withColumn("shard", F.size(F.filter("_sh_cuts", lambda x: x <= F.col("_sh_n"))).cast("int")).drop("_sh_cuts", "_sh_n")
 
     runs = max(1, math.ceil(total / shards / run_rows))
     again = F.xxhash64(F.lit(seed + 1), F.col("_sh_key"), F.col("_sh_part"), F.col("_sh_row"))

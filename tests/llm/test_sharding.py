@@ -50,6 +50,17 @@ def test_places_are_uniform(spark):
     assert ((hits - expected) ** 2 / expected).sum() < 120  # 69 degrees of freedom: far beyond chance
 
 
+def test_partitions_that_share_a_block_reach_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(H, "MAX_BLOCKS", 2)
+    hits = np.zeros((24, 8))
+    for seed in range(8):
+        found = H.shard_uniformly(spark.range(0, 480, 1, 8), 24, seed=seed).collect()
+        assert sorted(r["id"] for r in found) == list(range(480)) and set(Counter(r["shard"] for r in found).values()) == {20}
+        for r in found:
+            hits[r["shard"], r["id"] // 60] += 1
+    assert ((hits - 20) ** 2 / 20).sum() < 240  # 161 degrees of freedom: far beyond chance
+
+
 def test_main_path_is_native(spark):
     plan = H.shard_uniformly(spark.range(100), 4)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
