@@ -66,6 +66,7 @@ class Template:
     width: int  # words of the notice, repeats counted
     needed: int  # distinct words that a block has to share
     prefix: frozenset[int] = field(default_factory=frozenset)
+    sequence: list[int] = field(default_factory=list)  # all words in the order of the notice
 
 
 @dataclass
@@ -134,7 +135,7 @@ def build_index(docs: DataFrame, text_col: str = "text", templates=TEMPLATES, ph
         needed = words_needed(len(tokens), threshold)
         prefix = frozenset(tokens[: len(tokens) - needed + 1])
         rare[list(prefix)] = True
-        built.append(Template(label, tokens, len(sequence), needed, prefix))
+        built.append(Template(label, tokens, len(sequence), needed, prefix, sequence))
     fixed = [([rank[w] for w in words_of(text)], label) for text, label in phrases]
     for tokens, _ in fixed:
         rare[min(tokens)] = True
@@ -147,8 +148,9 @@ def matching_blocks(at: np.ndarray, token: np.ndarray, count: int, index: Index)
     """Blocks of a text that hold a template: (label, first word, last word + 1, containment).
 
     For a template of w words the blocks are the runs of 2 w words that begin at multiples of w (the last
-    one shorter), so every stretch of w words lies in one. A template whose words are all among those of
-    another that matches as well says nothing more and is left out. ``at``, ``token``: word numbers in the
+    one shorter), so every stretch of w words lies in one. A block says nothing more, and is left out, if a
+    template that has all its template's words matches in an overlapping block, and too few words stand
+    outside that notice. ``at``, ``token``: word numbers in the
     text and vocabulary numbers of its vocabulary words.
     """
     found, matched = [], []
@@ -168,8 +170,41 @@ def matching_blocks(at: np.ndarray, token: np.ndarray, count: int, index: Index)
             if len(inside) < template.needed or len(template.tokens) - template.tokens.index(int(inside[0])) < template.needed:
                 continue
             found.append((template.label, start, end, len(inside) / len(template.tokens)))
-            matched.append(set(template.tokens))
-    return [block for block, words in zip(found, matched) if not any(words < other for other in matched)]
+            matched.append(template)
+    kept = []
+    for block, template in zip(found, matched):
+        _, start, end, _ = block
+        larger = [(other, by) for other, by in zip(found, matched)
+                  if set(template.tokens) < set(by.tokens) and other[1] < end and start < other[2]]
+        if larger:
+            taken = np.concatenate([_notice_places(at, token, other[1], other[2], by) for other, by in larger])
+            own = (at >= start) & (at < end) & np.isin(token, template.tokens) & ~np.isin(at, taken)
+            if len(np.unique(token[own])) < template.needed:
+                continue
+        kept.append(block)
+    return kept
+
+
+def _notice_places(at: np.ndarray, token: np.ndarray, start: int, end: int, template: Template) -> np.ndarray:
+    """Where the notice itself stands in a block: the shortest stretches with all of the block's template words.
+
+    Of the shortest ones those that follow the template's order best: a stretch that begins with the last words
+    of another notice may be as short.
+    """
+    member = (at >= start) & (at < end) & np.isin(token, template.tokens)
+    where, which = at[member].tolist(), token[member].tolist()
+    distinct, ranked = len(set(which)), []
+    for i, first in enumerate(where):
+        seen: set[int] = set()
+        for j in range(i, len(where)):
+            seen.add(which[j])
+            if len(seen) == distinct:
+                places = [w - first for w in where[i : j + 1]]
+                equal = sum(p < template.width and template.sequence[p] == t for p, t in zip(places, which[i : j + 1]))
+                ranked.append((where[j] - first, -equal, first))
+                break
+    best = min(ranked)[:2]
+    return np.unique(np.concatenate([np.arange(first, first + best[0] + 1) for *rank, first in ranked if tuple(rank) == best]))
 
 
 def phrase_places(at: np.ndarray, token: np.ndarray, index: Index) -> list[tuple[int, str]]:

@@ -62,6 +62,26 @@ def test_equals_brute_force(spark):
     assert matched > 30
 
 
+BY, NC, SA = "Licensed under CC BY 4.0", "Licensed under CC BY-NC 4.0", "Licensed under CC BY-SA 4.0"
+SHORT_APACHE, LONG_APACHE, FAR = L.TEMPLATES[3][1], L.TEMPLATES[2][1], " word" * 60 + " "
+
+
+@pytest.mark.parametrize("text, labels", [
+    (NC, ["cc-by-nc"]), (f"{NC}. {NC}", ["cc-by-nc"]), (f"{NC}, {SA}", ["cc-by-nc", "cc-by-sa"]), (BY + FAR + NC, ["cc-by", "cc-by-nc"]),
+    (SA + FAR + BY, ["cc-by", "cc-by-sa"]), (f"{BY} {NC}", ["cc-by", "cc-by-nc"]), (f"{NC} {BY}", ["cc-by", "cc-by-nc"]), (f"a {SA} and {BY}.", ["cc-by", "cc-by-sa"])])
+def test_a_notice_beside_a_larger_one_keeps_its_label(spark, text, labels):
+    found = L.license_notices(spark.createDataFrame([(1, text, None, None)], SCHEMA)).first()["license"]
+    assert sorted({b["label"] for b in found["blocks"]}) == labels and found["labels"] == ",".join(labels)
+
+
+def test_a_short_notice_keeps_its_block_when_the_long_one_stands_elsewhere(spark):
+    texts = [LONG_APACHE, SHORT_APACHE + FAR + LONG_APACHE, LONG_APACHE + FAR + SHORT_APACHE]
+    found = L.license_notices(spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], SCHEMA)).orderBy("doc_id").collect()
+    width = len(words(SHORT_APACHE))
+    short = [[b["start"] for b in r["license"]["blocks"] if b["end"] - b["start"] <= 2 * width] for r in found]
+    assert short[0] == [] and short[1] == [0] and len(short[2]) >= 1
+
+
 def test_prefix_is_rarest_by_all_texts(spark):
     frame = spark.createDataFrame([(1, "free " * 50 + "charge", None, None), (2, "of the of the", None, None)], SCHEMA)
     vocabulary = L.vocabulary(L.TEMPLATES, L.PHRASES)
