@@ -25,6 +25,8 @@ REACH = 0.22
 DEGREE, BEAM, OPENED = 16, 64, 8
 # Rows of one list, and queries of one list, that a task holds; beyond, both are cut and all cuts meet.
 BLOCK_ROWS, BLOCK_QUERIES = 4_000, 2_000
+# More than rounding can part two equal similarities.
+MARGIN = 1e-9
 
 
 def balanced_centroids(x: np.ndarray, lists: int, seed: int = 5) -> np.ndarray:
@@ -153,13 +155,16 @@ def _meet(k: int):
                 part = queries.iloc[at : at + 256]
                 q = np.stack(part["vector"].to_numpy())
                 near = unit(q) @ scaled.T
-                some = min(len(ids), k + 4)
-                pick = np.argpartition(-near, some - 1, axis=1)[:, :some]
-                score = np.einsum("md,mkd->mk", q, v[pick]) / (np.sqrt((q * q).sum(axis=1))[:, None] * norms[pick])
-                order = np.lexsort((ids[pick], -score), axis=1)[:, :k]
-                out["query_id"] += np.repeat(part["id"].to_numpy(), order.shape[1]).tolist()
-                out["id"] += np.take_along_axis(ids[pick], order, 1).ravel().tolist()
-                out["score"] += np.take_along_axis(score, order, 1).ravel().tolist()
+                some = len(ids) - min(len(ids), k)
+                least = np.partition(near, some, axis=1)[:, some] - MARGIN
+                row, place = np.nonzero(near >= least[:, None])  # all that may tie with the k-th best
+                score = np.concatenate([np.einsum("nd,nd->n", q[row[j : j + 10_000]], v[place[j : j + 10_000]]) for j in range(0, len(row), 10_000)])
+                score /= np.sqrt((q * q).sum(axis=1))[row] * norms[place]
+                order = np.lexsort((ids[place], -score, row))
+                order = order[np.arange(len(row)) - np.searchsorted(row, row) < k]  # row is in order
+                out["query_id"] += part["id"].to_numpy()[row[order]].tolist()
+                out["id"] += ids[place[order]].tolist()
+                out["score"] += score[order].tolist()
         return pd.DataFrame(out).astype({"query_id": "int64", "id": "int64", "score": "float64"})
     return run
 

@@ -115,6 +115,14 @@ def test_ties_go_to_smaller_ids_and_copies_are_found(spark):
     assert got == {0: [1, 2, 3, 4, 5], 3: [0, 1, 2, 4, 5], 39: [0, 1, 2, 3, 4]}
 
 
+def test_many_different_vectors_that_tie_go_to_smaller_ids():
+    ids, points = list(range(299, -1, -1)), np.tile(np.eye(24)[5], (300, 1)) * 2.0 ** (np.arange(300) % 60 - 30)[:, None]
+    rows = Q.pd.DataFrame({"id": ids, "vector": list(points)})
+    queries = Q.pd.DataFrame({"id": [1_000, 1_001], "vector": [np.eye(24)[5], np.eye(24)[5] + np.eye(24)[6]]})
+    found = Q._meet(6)(queries, rows)
+    assert found["query_id"].tolist() == [1_000] * 6 + [1_001] * 6 and found["id"].tolist() == list(range(6)) * 2
+
+
 def test_few_and_no_candidates(spark):
     frame = table(spark, np.eye(24)[:3], extra=odd(100))
     assert Q.nearest_neighbours(frame, frame).groupBy("query_id").count().select(F.min("count"), F.max("count")).first() == (2, 2)
