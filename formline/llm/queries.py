@@ -11,8 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import curriculum, language, licenses, packing, parity_join, pivot_index, posting_search, secrets, sharding, warc
-
+from formline.llm import curriculum, language, licenses, packing, parity_join, pivot_index, posting_search, secrets, sharding, token_prefixes, warc
 
 
 def tokenizer_file(name: str) -> str:
@@ -178,3 +177,12 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     found = posting_search.nearest_neighbours(rows, rows.filter("vec_id % 50 = 0"))
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query("op13_token_counts")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, and of its longest prefix within 4096 of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
+    found = token_prefixes.token_prefixes(docs, tokenizer_file(token_prefixes.MODEL), limit=token_prefixes.LIMIT)
+    return found.select("doc_id", "n_bytes", "tokens.n_tokens", (F.col("tokens.n_tokens") > token_prefixes.LIMIT).alias("over_limit"),
+                        "tokens.cut_chars", "tokens.cut_tokens")

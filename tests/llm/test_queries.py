@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_embedding_duplicates": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op9_nearest": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
     "op10_sharding": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"},
+    "op11_collocations": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint"},
+    "op12_prefix_trie": {**dict.fromkeys(["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"], "bigint"), "ends_sha256": "string"},
+    "op13_token_counts": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
 }
 
 
@@ -41,7 +44,7 @@ def test_columns_and_rows(spark, name):
         assert found.count() == 5 * rows.filter("vec_id % 50 = 0").count()
     elif name.startswith("op1_"):
         assert found.filter("piece = 0").count() == rows.count()
-    else:
+    elif not name.startswith(("op11", "op12")):
         assert found.count() == rows.count()
 
 
