@@ -11,6 +11,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
+from operator import add, sub
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
 BLANK = "▁"  # stands for a space in pieces
+LETTERS = "A-Za-z\u00c0-\u024f"
+LETTER = re.compile(f"[{LETTERS}]")
 # Words kept by a worker, in two generations, and the longest that is kept.
-KEPT_WORDS, KEPT_LENGTH = 150_000, 64
+KEPT_WORDS, KEPT_LENGTH = 600_000, 64
 KEPT_PAIRS = 1_000_000
 # Texts are cut into words in stretches of about so many characters.
 STRETCH = 1 << 20
@@ -56,6 +59,7 @@ class PrefixCounter:
     """
 
     def __init__(self, path: str):
+        import ahocorasick
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -66,46 +70,77 @@ class PrefixCounter:
         if (sum(map(model.is_byte, ids)) != 256 or any(map(model.is_unused, ids)) or model.normalize(probe) != BLANK + probe.replace(" ", BLANK)
                 or any(c not in self.score for piece in self.score for c in piece) or any(BLANK in piece.lstrip(BLANK) for piece in self.score)):
             raise ValueError(f"Prefix counts need a byte-pair model with byte fallback and without normalisation: {path}")
-        self.longest = max(map(len, self.score))
-        # Characters that no piece holds are seams, as is the place before a space that follows something else.
-        seams = "".join(c for c in map(chr, range(0x20)) if c not in self.score)
-        self.words = re.compile(f"{BLANK}*[^{BLANK}{re.escape(seams)}]+|{BLANK}+|[{re.escape(seams)}]" if seams else f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        self.alone = Memory(lambda piece: self.merged(piece) == [piece], KEPT_PAIRS)
-        self.follows = Memory(lambda pair: self.merged(pair[0] + pair[1]) == [*pair], KEPT_PAIRS)
+        self.pieces = ["", *self.score]  # by number; 0 stands for no piece
+        self.ends = ahocorasick.Automaton()  # finds the pieces that end at a place, the longest first
+        for number, piece in enumerate(self.pieces[1:], 1):
+            self.ends.add_word(piece, (number, len(piece)))
+        self.ends.make_automaton()
+        # Nothing joins across a control character that no piece holds, from a letter to a mark that no piece has
+        # after a letter, and from anything to a space.
+        controls = re.escape("".join(c for c in map(chr, range(0x20)) if c not in self.score)) or BLANK
+        follow = {mark for piece in self.score for letter, mark in zip(piece, piece[1:]) if LETTER.match(letter)}
+        self.marks = frozenset(".,;:!?") - follow
+        marks = re.escape("".join(sorted(self.marks))) or BLANK
+        self.plain = "\n" not in self.score
+        self.words = re.compile(f"{BLANK}*[{LETTERS}]+(?=[{marks}])|{BLANK}*[^{BLANK}{controls}]+|{BLANK}+|[{controls}]")
         short = lambda word: len(word) <= KEPT_LENGTH
-        self.total = Memory(lambda word: sum(self.steps(word)), KEPT_WORDS, short)
+        self.follows = Memory(lambda pair: self._follows(self.pieces[pair >> 32], self.pieces[pair & 0xFFFFFFFF]), KEPT_PAIRS)
+        self.total = Memory(self._total, KEPT_WORDS, short)
         self.written = Memory(lambda word: np.array(self.steps(word), np.int8).tobytes(), KEPT_WORDS, short)
 
-    def merged(self, string: str) -> list[str]:
-        """The pieces of a short string by the model's rule: the best scored pair first, of equal ones the leftmost."""
-        parts = list(string)
+    def _follows(self, before: str, piece: str) -> bool:
+        """Whether the string of both is encoded as these two pieces; without the first, as the second alone.
+
+        The best scored pair is joined first, of equal ones the leftmost.
+        """
+        parts, border, score = [*before, *piece], len(before), self.score
         while len(parts) > 1:
-            found = [(-self.score[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.score]
+            found = [(-score[joined], i) for i, joined in enumerate(map(add, parts, parts[1:])) if joined in score]
             if not found:
                 break
             at = min(found)[1]
+            if at == border - 1:
+                return False
+            border -= at < border
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        return parts == ([before, piece] if before else [piece])
+
+    def _total(self, word: str) -> int:
+        if word[-1:] in self.marks and LETTER.match(word[-2:-1]):
+            return self.total[word[:-1]] + self.total[word[-1]]
+        return self.prefixes(word)[-1]
+
+    def prefixes(self, word: str) -> list[int]:
+        """The counts of all prefixes of a stretch between two seams."""
+        counts, lasts, follows, at = [0], [0], self.follows, 0
+        for end, (piece, length) in self.ends.iter(word):
+            if end < at:  # its piece is found
+                continue
+            while at < end:
+                counts.append(counts[-1] + len(word[at].encode()))
+                lasts.append(0)
+                at += 1
+            start = end + 1 - length
+            if follows[lasts[start] << 32 | piece]:
+                counts.append(counts[start] + 1)
+                lasts.append(piece)
+                at = end + 1
+        while at < len(word):  # characters without a piece: their bytes, and nothing joins across them
+            counts.append(counts[-1] + len(word[at].encode()))
+            lasts.append(0)
+            at += 1
+        return counts
 
     def steps(self, word: str) -> list[int]:
-        """By how much the count changes with each character of a stretch between two seams."""
-        counts, lasts, score = [0], [""], self.score
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = word[start:end]
-                if piece in score:
-                    before = lasts[start]
-                    if self.follows[before, piece] if before else self.alone[piece]:
-                        counts.append(counts[start] + 1)
-                        lasts.append(piece)
-                        break
-            else:  # a character without a piece: its bytes, and nothing joins across it
-                counts.append(counts[end - 1] + len(word[end - 1].encode()))
-                lasts.append("")
-        return [b - a for a, b in zip(counts, counts[1:])]
-
-    def stretches(self, text: str) -> Iterator[list[str]]:
-        """The words of a text, some at a time; a space stands in front of a text that is not empty."""
+        """By how much the count changes with each character."""
+        counts = self.prefixes(word)
+        return list(map(sub, counts[1:], counts))
+
+    def stretches(self, text: str) -> Iterator[tuple[list[str], int]]:
+        """Stretches between seams and their length in all, some at a time; a space stands in front of a text that is not empty."""
+        if 0 < len(text) <= STRETCH and self.plain and "  " not in text and BLANK not in text and text[0] != " ":
+            yield (BLANK + text).replace(" ", " " + BLANK).replace("\n", " \n ").split(" "), len(text) + 1
+            return
         text = (BLANK + text).replace(" ", BLANK) if text else ""
         at = 0
         while at < len(text):
@@ -113,15 +148,12 @@ class PrefixCounter:
             while 0 < end and text[end - 1] == BLANK:  # not inside a run of spaces
                 end = text.find(BLANK, end + 1)
             end = len(text) if end < 0 else end
-            yield self.words.findall(text, at, end)
+            yield self.words.findall(text, at, end), end - at
             at = end
 
-    def count(self, text: str) -> int:
-        return sum(sum(map(self.total.__getitem__, words)) for words in self.stretches(text))
-
     def prefix_steps(self, text: str) -> bytes:
         """One signed byte per character: the change of the count. Their running sum is the count of every prefix."""
-        found = b"".join(b"".join(map(self.written.__getitem__, words)) for words in self.stretches(text))
+        found = b"".join(b"".join(map(self.written.__getitem__, words)) for words, _ in self.stretches(text))
         if not found:
             return b""
         steps = np.frombuffer(found, np.int8)[1:].copy()
@@ -132,17 +164,19 @@ class PrefixCounter:
         """(tokens, characters, tokens of these): of the whole text, and of its longest prefix with at most ``limit`` tokens."""
         total = place = 0  # tokens and characters so far
         best = (0, 0)
-        for words in self.stretches(text):
-            before = list(accumulate(map(self.total.__getitem__, words), initial=total))
-            if before[-1] <= limit:
-                best = (place + sum(map(len, words)), before[-1])
+        for words, length in self.stretches(text):
+            counts = list(map(self.total.__getitem__, words))
+            reached = total + sum(counts)
+            if reached <= limit:
+                best = (place + length, reached)
             elif total <= limit:  # counts at the ends of words only grow: the last word that begins within the limit decides
+                before = list(accumulate(counts, initial=total))
                 j = bisect_right(before, limit) - 1
-                counts = list(accumulate(self.steps(words[j]), initial=before[j]))
-                i = max(i for i, count in enumerate(counts) if count <= limit)
-                best = (place + sum(map(len, words[:j])) + i, counts[i])
-            place += sum(map(len, words))
-            total = before[-1]
+                inside = list(accumulate(self.steps(words[j]), initial=before[j]))
+                i = max(i for i, count in enumerate(inside) if count <= limit)
+                best = (place + sum(map(len, words[:j])) + i, inside[i])
+            place += length
+            total = reached
         # The space in front is no character of the text, and the empty prefix has no token.
         return (total, best[0] - 1, best[1]) if best[0] > 1 else (total, 0, 0)
 
