@@ -11,7 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import curriculum, language, licenses, packing, parity_join, pivot_index, posting_search, secrets, sharding, token_prefixes, warc
+from formline.llm import curriculum, language, licenses, packing, parity_join, pivot_index, posting_search, prefix_trie, secrets, sharding, token_prefixes, warc
+from formline.operators.layout import stored
 
 
 def tokenizer_file(name: str) -> str:
@@ -186,3 +187,50 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     found = token_prefixes.token_prefixes(docs, tokenizer_file(token_prefixes.MODEL), limit=token_prefixes.LIMIT)
     return found.select("doc_id", "n_bytes", "tokens.n_tokens", (F.col("tokens.n_tokens") > token_prefixes.LIMIT).alias("over_limit"),
                         "tokens.cut_chars", "tokens.cut_tokens")
+
+
+# The checksum bit by bit: a byte is mixed in, then eight steps of -1 shift it out.
+TRIE_SQL = r"""
+WITH checked AS (
+  SELECT DISTINCT conv_id, list_reduce(list_concat([4294967295::BIGINT], flatten([[ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN
+    string_split(CAST(conv_id AS VARCHAR), '')])), lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS rest
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place FROM conversations),
+ids AS (SELECT conv_id, xor(rest, 4294967295) % 4 AS h, conv_id - conv_id % 20 AS base FROM checked),
+rebuilt AS (
+  SELECT i.conv_id, 0 AS part, o.place, role, text FROM ids i JOIN own o ON o.conv_id = base AND o.place <= h
+  UNION ALL SELECT i.conv_id, 1, o.place, role, text FROM ids i JOIN own o ON o.conv_id = i.conv_id AND o.place > h),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS d,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM rebuilt),
+steps AS (
+  SELECT conv_id, d, words, sha256(string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY d)) AS key FROM placed
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+nodes AS (SELECT d, key, min(conv_id) AS conv_id, count(*) AS n, min(words) AS words FROM steps GROUP BY ALL),
+linked AS (
+  SELECT n.*, p.key AS parent_key, q.conv_id AS parent_id FROM nodes n LEFT JOIN steps p ON p.conv_id = n.conv_id AND p.d = n.d - 1
+  LEFT JOIN nodes q ON q.d = p.d AND q.key = p.key),
+children AS (SELECT d - 1 AS d, parent_key AS key, count(*) AS n_children FROM linked WHERE d > 0 GROUP BY ALL),
+below AS (
+  SELECT s.d, s.key, sum((n.n - 1) * n.words) AS saved, count(*) FILTER (c.n_children IS NULL) AS leaves
+  FROM nodes n JOIN steps s ON s.conv_id = n.conv_id AND s.d <= n.d LEFT JOIN children c ON c.d = n.d AND c.key = n.key GROUP BY ALL),
+ends AS (
+  SELECT s.d, s.key, string_agg(CAST(s.conv_id AS VARCHAR), ',' ORDER BY s.conv_id) AS found
+  FROM steps s JOIN (SELECT conv_id, max(d) AS d FROM steps GROUP BY 1) USING (conv_id, d) GROUP BY ALL)
+SELECT l.conv_id, CAST(l.d AS BIGINT) AS depth, l.parent_id AS parent_conv_id, CAST(n AS BIGINT) AS n_convs,
+  CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(found, '')) AS ends_sha256
+FROM linked l JOIN below b ON b.d = l.d AND b.key = l.key LEFT JOIN children c ON c.d = l.d AND c.key = l.key LEFT JOIN ends e ON e.d = l.d AND e.key = l.key"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of all conversations, rebuilt to begin with up to three turns of every twentieth one."""
+    told = stored(prefix_trie.conversation_turns(table(spark, folder, "conversations"), curriculum.word_count(F.col("text"))), "turns")
+    heads = told.filter("conv_id % 20 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 3).alias("head"))
+    own = told.select("conv_id", "turns", (F.crc32(F.col("conv_id").cast("string")) % 4).cast("int").alias("h"), (F.col("conv_id") - F.col("conv_id") % 20).alias("base"))
+    first = F.coalesce(F.slice("head", F.lit(1), F.col("h")), F.slice("turns", 1, 0))
+    rebuilt = F.concat(first, F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns") - F.col("h"), F.lit(0))))
+    return prefix_trie.prefix_trie(own.join(heads, "base", "left").select("conv_id", rebuilt.alias("turns")))
