@@ -97,3 +97,30 @@ def cut_blocks(df: DataFrame, hot: HotGroups, order: Sequence[Column]) -> DataFr
 
 def without_hot(df: DataFrame, hot: HotGroups) -> DataFrame:
     return df.join(hot.table, hot.matches(), "left_anti")
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front where the frame has such a column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def numbered(df: DataFrame, column: str, first: int = 0, label: str = "numbered") -> tuple[DataFrame, int]:
+    """The rows with a gapless number in the order of the partitions and of the rows in them; and how many there are.
+
+    The frame is stored with a number per partition and row. What the driver adds up is one count per partition.
+    """
+    mark = unused_name(df, "_row")
+    marked = stored(df.withColumn(mark, F.monotonically_increasing_id()), label)
+    part = F.shiftright(mark, 33).cast("int")
+    sizes = marked.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows")).orderBy("part").collect()
+    begins, total = [], 0
+    for size in sizes:
+        begins.append((size["part"], total + first))
+        total += size["rows"]
+    offsets = df.sparkSession.createDataFrame(begins, "_part int, _begin long")
+    placed = marked.join(F.broadcast(offsets), part == F.col("_part"))  # one row per partition
+    number = F.col("_begin") + F.col(mark).bitwiseAND((1 << 33) - 1)
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns if c != column], number.alias(column)), total
