@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import curriculum, language, licenses, packing, parity_join, pivot_index, posting_search, prefix_trie, secrets, sharding, token_prefixes, warc
+from formline.llm import collocations, curriculum, language, licenses, packing, parity_join, pivot_index, posting_search, prefix_trie, secrets, sharding, token_prefixes, warc
 from formline.operators.layout import stored
 
 
@@ -234,3 +234,36 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     first = F.coalesce(F.slice("head", F.lit(1), F.col("h")), F.slice("turns", 1, 0))
     rebuilt = F.concat(first, F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns") - F.col("h"), F.lit(0))))
     return prefix_trie.prefix_trie(own.join(heads, "base", "left").select("conv_id", rebuilt.alias("turns")))
+
+
+COLLOCATION_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w)) AS n FROM worded GROUP BY lang),
+counts AS (
+  SELECT lang, g, count(*) AS a FROM (
+    SELECT lang, unnest(flatten([[w[i:i + k - 1] FOR i IN range(1, len(w) - k + 2)] FOR k IN range(1, 5)])) AS g FROM worded)
+  GROUP BY lang, g HAVING count(*) >= 30),
+phrases AS (SELECT * FROM counts WHERE len(g) > 1),
+cuts AS (SELECT *, unnest(range(1, len(g))) AS cut FROM phrases),
+scored AS (
+  SELECT c.lang, c.g, c.a, c.cut, l.a AS l, r.a AS r, CAST(2000000::HUGEINT * c.a // (l.a + r.a) AS BIGINT) AS score FROM cuts c
+  JOIN counts l ON l.lang = c.lang AND l.g = c.g[1:cut] JOIN counts r ON r.lang = c.lang AND r.g = c.g[cut + 1:]),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+around AS (
+  SELECT lang, g, max(a) AS longer FROM (
+    SELECT lang, a, unnest(flatten([[g[i:i + k - 1] FOR i IN range(1, len(g) - k + 2)] FOR k IN range(2, len(g))])) AS g FROM phrases WHERE len(g) > 2)
+  GROUP BY ALL),
+kept AS (
+  SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM best b LEFT JOIN around o ON o.lang = b.lang AND o.g = b.g
+  WHERE o.longer IS NULL OR 100::HUGEINT * o.longer < 80::HUGEINT * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000"""
+
+
+@query("op11_collocations", COLLOCATION_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 best phrases of every language."""
+    return collocations.collocations(table(spark, folder, "documents"))
