@@ -1,161 +1,103 @@
-"""One gradient-boosted tree regressor per target, trained by Spark ML."""
+"""Boosted trees per target: parameter sets, training, saved models, predictions, gains."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
-from functools import partial, reduce
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from formline import fixed_values as fv
 from formline.functions import names as N
-from formline.functions.columns import null_if_nan
-from formline.operators import evaluate
+from formline.operators import boosting, evaluate
+from formline.operators.boosting import Boosting
 from formline.operators.split import ModellingData
 
-MISSING = "__missing"
-FILLED = "__filled"
-
 
 @dataclass(frozen=True)
-class ModelConfig:
-    """A named set of tree parameters; predictions and metrics carry the name."""
+class ParameterSet:
+    """Boosting parameters under the name that predictions, metrics and files carry."""
 
     name: str
     label: str
-    params: dict = field(default_factory=dict)
+    boosting: Boosting
 
     @property
     def prediction_column(self) -> str:
         return f"{self.name}_prediction"
 
 
-MODEL_CONFIGS = {
-    config.name: config
-    for config in (
-        ModelConfig("gbt_deep", "Deep trees", {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3}),
-        ModelConfig("gbt_gradual", "Gradual trees", {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1}),
-    )
-}
-SEED = 42
-PARALLEL_FITS = 8
-
-
-def get_model_config(name: str) -> ModelConfig:
-    if name not in MODEL_CONFIGS:
-        raise ValueError(f"Unknown model '{name}'. Choose one of: {', '.join(sorted(MODEL_CONFIGS))}.")
-    return MODEL_CONFIGS[name]
+DEEP = ParameterSet("gbt_deep", "Deep trees", Boosting(rounds=100, depth=6, rate=0.3))
+GRADUAL = ParameterSet("gbt_gradual", "Gradual trees", Boosting(rounds=100, depth=5, rate=0.1))
+PARAMETER_SETS = {one.name: one for one in (DEEP, GRADUAL)}
 
 
-def with_numeric_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Features as doubles, plus a 0/1 column per feature that tells where a value is missing."""
-    doubles = df.withColumns({name: null_if_nan(name) for name in features})
-    return doubles.withColumns({f"{name}{MISSING}": F.col(name).isNull().cast("double") for name in features})
-
-
-def feature_stages(train: DataFrame, features: Sequence[str]) -> tuple[list, list[str]]:
-    """Median imputation and assembly, and the assembler's inputs.
-
-    Trees of Spark ML take no missing values: the median of the train rows stands in and the 0/1
-    column keeps the information. Columns without any value, and 0/1 columns that never vary, are
-    left out.
-    """
-    present = train.agg(*[F.count(name).alias(name) for name in features], F.count(F.lit(1)).alias("_rows")).first()
-    used = [name for name in features if present[name]]
-    flagged = [name for name in used if present[name] < present["_rows"]]
-    filled = [f"{name}{FILLED}" for name in used]
-    inputs = [*filled, *[f"{name}{MISSING}" for name in flagged]]
-    imputer = Imputer(strategy="median", inputCols=used, outputCols=filled)
-    return [imputer, VectorAssembler(inputCols=inputs, outputCol="features")], inputs
-
-
-def train_target(assembled: DataFrame, target: str, config: ModelConfig):
-    """Fit one target on assembled vectors; rows without the target are left out."""
-    regressor = GBTRegressor(
-        featuresCol="features", labelCol=target, predictionCol=f"_prediction_{target}", seed=SEED, **config.params
-    )
-    return regressor.fit(assembled.filter(F.col(target).isNotNull()))
+def parameter_set(name: str) -> ParameterSet:
+    try:
+        return PARAMETER_SETS[name]
+    except KeyError:
+        raise ValueError(f"There is no parameter set {name!r}; known ones are {sorted(PARAMETER_SETS)}.") from None
 
 
 @dataclass
 class TrainedModels:
-    config: ModelConfig
-    preparation: PipelineModel
-    models: dict  # target -> fitted regressor
-    inputs: list[str]
+    """The trees of all targets. ``trees`` are rows of ``boosting.TREES``; they grow with the parameters, not with the data."""
+
+    parameters: ParameterSet
+    features: list[str]
+    targets: list[str]
+    trees: list[dict]
 
-    def predict(self, df: DataFrame, features: Sequence[str]) -> DataFrame:
-        prepared = self.preparation.transform(with_numeric_features(df, features))
-        return reduce(lambda frame, model: model.transform(frame), self.models.values(), prepared)
+    def table(self, spark: SparkSession) -> DataFrame:
+        columns = [part.split()[0] for part in boosting.TREES.split(", ")]
+        return spark.createDataFrame([tuple(row.get(c) for c in columns) for row in self.trees], boosting.TREES)
 
-    def save(self, path: str) -> None:
-        for target, model in self.models.items():
-            stages = PipelineModel(stages=[*self.preparation.stages, model])
-            stages.write().overwrite().save(f"{path}/{N.target_file_name(self.config.name, target)}")
+    def predict(self, df: DataFrame, prefix: str = "_prediction_") -> DataFrame:
+        """``df`` with a column per target."""
+        return df.withColumns({f"{prefix}{target}": boosting.prediction(self.trees, target, self.features) for target in self.targets})
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One folder per target with its trees as a Parquet table."""
+        table = self.table(spark)
+        for target in self.targets:
+            table.filter(F.col("target") == target).coalesce(1).write.mode("overwrite").parquet(f"{path}/{N.target_file_name(self.parameters.name, target)}")
 
-def load_model(path: str, model: str, target: str) -> PipelineModel:
-    """A saved model of one target; a missing one raises ``FileNotFoundError``."""
+
+def saved_trees(spark: SparkSession, path: str, model: str, target: str) -> DataFrame:
+    """The table of a saved model; a missing one raises ``FileNotFoundError``."""
     full = f"{path}/{N.target_file_name(model, target)}"
-    spark = SparkSession.active()
     folder = spark._jvm.org.apache.hadoop.fs.Path(full)
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         raise FileNotFoundError(f"There is no saved {model} model of {target} at {full}.")
-    return PipelineModel.load(full)
+    return spark.read.schema(boosting.TREES).parquet(full)
 
 
-def train_models(
-    modelling: ModellingData, config: ModelConfig, targets: Sequence[str] | None = None, parallelism: int = PARALLEL_FITS
-) -> TrainedModels:
-    """All targets on the same assembled vectors, which are kept for the fits. The primary target goes first.
+def load_models(spark: SparkSession, path: str, parameters: ParameterSet, features: Sequence[str], targets: Sequence[str]) -> TrainedModels:
+    """Models written by ``save``; as many rows as their trees have nodes."""
+    trees = [row.asDict() for target in targets for row in saved_trees(spark, path, parameters.name, target).orderBy("tree", "node").collect()]
+    return TrainedModels(parameters, list(features), list(targets), trees)
 
-    Boosting is a chain of small jobs, so several targets are fitted at a time. Rows are dealt over the
-    cluster's cores before: the passes of a fit are as wide as that, however few files the table has.
 
-    The table is read for the missing counts, the medians and the assembly: pass a written one
-    (``write_split``) rather than one whose features would be computed again each time.
-    """
-    chosen = list(targets or modelling.targets)
-    chosen.sort(key=lambda target: target != fv.PRIMARY_TARGET)
-    train = with_numeric_features(modelling.train, modelling.features)
-    stages, inputs = feature_stages(train, modelling.features)
-    preparation = Pipeline(stages=stages).fit(train)
-    assembled = (
-        preparation.transform(train)
-        .select("features", *[F.col(target).cast("double").alias(target) for target in chosen])
-        .repartition(train.sparkSession.sparkContext.defaultParallelism)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        fits = [inheritable_thread_target(train.sparkSession)(partial(train_target, assembled, target, config)) for target in chosen]
-        with ThreadPool(min(parallelism, len(fits))) as pool:
-            models = dict(zip(chosen, pool.map(lambda fit: fit(), fits, chunksize=1)))
-    finally:
-        assembled.unpersist()
-    return TrainedModels(config, preparation, models, inputs)
+def train_models(modelling: ModellingData, parameters: ParameterSet, targets: Sequence[str] | None = None) -> TrainedModels:
+    """All targets together, the primary one first. Pass a written table (``write_split``): it is read a few times."""
+    chosen = sorted(targets or modelling.targets, key=lambda target: target != fv.PRIMARY_TARGET)
+    trees = boosting.boost(modelling.train, modelling.features, chosen, parameters.boosting)
+    return TrainedModels(parameters, list(modelling.features), chosen, trees)
 
 
 def test_predictions(modelling: ModellingData, trained: TrainedModels) -> DataFrame:
     """Long (keys, target, actual, baseline and model prediction) for the test rows, from one pass over them."""
-    targets = list(trained.models)
-    means = evaluate.target_means(modelling.train, targets)
-    scored = trained.predict(modelling.test, modelling.features)
+    means = {row["target"]: row["value"] for row in trained.trees if row["tree"] < 0}
+    scored = trained.predict(modelling.test)
     rows = F.array(*[
         F.struct(
             F.lit(target).alias("target"),
             F.col(target).cast("double").alias("actual"),
             F.lit(means[target]).cast("double").alias("baseline_prediction"),
-            F.col(f"_prediction_{target}").alias(trained.config.prediction_column),
+            F.col(f"_prediction_{target}").alias(trained.parameters.prediction_column),
         )
-        for target in targets
+        for target in trained.targets
     ])
     return scored.select(*modelling.keys, F.inline(rows))
 
@@ -164,43 +106,35 @@ test_predictions.__test__ = False
 
 
 def train_all_targets(
-    modelling: ModellingData, config: ModelConfig, models_path: str | None = None,
+    modelling: ModellingData, parameters: ParameterSet, models_path: str | None = None,
     targets: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame, TrainedModels]:
     """(metrics per target, long predictions, models); the models are saved when a path is given."""
-    trained = train_models(modelling, config, targets)
+    trained = train_models(modelling, parameters, targets)
     if models_path:
-        trained.save(models_path)
+        trained.save(modelling.data.sparkSession, models_path)
     predictions = test_predictions(modelling, trained)
     metrics = evaluate.regression_metrics(
-        predictions, {"baseline": "baseline_prediction", config.name: config.prediction_column}
+        predictions, {"baseline": "baseline_prediction", parameters.name: parameters.prediction_column}
     )
     if models_path:
-        file_name = F.concat(F.lit(f"{models_path}/{config.name}_"), F.lower("target"))
+        file_name = F.concat(F.lit(f"{models_path}/{parameters.name}_"), F.lower("target"))
         metrics = metrics.withColumn("model_path", file_name)
     return metrics, predictions, trained
 
 
-def gain_scores(trained: TrainedModels) -> list[tuple[str, str, float]]:
-    """(target, feature, gain). A 0/1 column for missing values counts towards its feature.
+def gain_scores(trees: DataFrame, average: bool = False) -> DataFrame:
+    """(target, feature, gain): the gains of a feature's splits, added up or on average per split.
 
-    Spark's importances are gains normalised per model, so they add up to 1 for every target.
+    Features that no tree splits on do not appear; ``importance_table`` gives them gain 0.
     """
-    return [row for target, model in trained.models.items() for row in model_gains(model, trained.inputs, target)]
-
-
-def model_gains(model, inputs: Sequence[str], target: str) -> list[tuple[str, str, float]]:
-    gains: dict[str, float] = {}
-    for column, gain in zip(inputs, model.featureImportances.toArray()):
-        feature = column.removesuffix(FILLED).removesuffix(MISSING)
-        gains[feature] = gains.get(feature, 0.0) + float(gain)
-    return [(target, feature, gain) for feature, gain in gains.items()]
+    total = (F.avg if average else F.sum)("gain")
+    return trees.filter("feature is not null").groupBy("target", "feature").agg(total.alias("gain"))
 
 
-def saved_gain_scores(path: str, model: str, targets: Sequence[str]) -> list[tuple[str, str, float]]:
+def saved_gain_scores(spark: SparkSession, path: str, model: str, targets: Sequence[str], average: bool = False) -> DataFrame:
     """The same from saved models."""
-    scores = []
-    for target in targets:
-        stages = load_model(path, model, target).stages
-        scores += model_gains(stages[-1], stages[-2].getInputCols(), target)
-    return scores
+    found = gain_scores(saved_trees(spark, path, model, targets[0]), average)
+    for target in targets[1:]:
+        found = found.unionByName(gain_scores(saved_trees(spark, path, model, target), average))
+    return found

@@ -11,7 +11,7 @@ from formline.operators import importance as I
 from formline.operators import reshape, split, training
 from formline.operators.layout import stored
 from formline.operators.split import ModellingData
-from formline.operators.training import ModelConfig
+from formline.operators.training import ParameterSet
 
 
 def prepare_modelling_data(
@@ -25,9 +25,9 @@ def prepare_modelling_data(
 
 
 def train_and_evaluate(
-    modelling: ModellingData, config: ModelConfig, models_path: str | None = None
+    modelling: ModellingData, parameters: ParameterSet, models_path: str | None = None
 ) -> tuple[DataFrame, DataFrame, training.TrainedModels]:
-    return training.train_all_targets(modelling, config, models_path)
+    return training.train_all_targets(modelling, parameters, models_path)
 
 
 def importance_analysis(scores: DataFrame, features: Sequence[str], model: str) -> dict[str, DataFrame]:

@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import lru_cache
 
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from formline import fixed_values as fv
 from formline.functions import columns as C
-from formline.operators import evaluate, importance, reshape, split, training
+from formline.operators import boosting, evaluate, importance, reshape, split, training
 from formline.operators import series as S
-from formline.operators.layout import stored
+from formline.operators.boosting import Boosting
+from formline.operators.layout import scratch_path, stored
 from formline.plans import modelling
 from formline.suite.adapters import CUTOFF_SQL, LOGS_SQL, order_logs
-from formline.suite.registry import Tables, day_text, publish, query, rounded, whole, with_ctes
+from formline.suite.registry import Tables, day_text, publish, query, rounded, rounded_column, whole, with_ctes
 from formline.suite.series import ENTITY
 
 KEYS = '"PLAYER_ID", "GAME_ID"'
@@ -358,13 +357,7 @@ CUT8_SQL = """day_counts AS (SELECT "GAME_DATE" AS d, count(*) AS c FROM games8
 cut AS (
   SELECT min(d) AS cutoff FROM (SELECT d, sum(c) OVER (ORDER BY d) AS reached FROM day_counts)
   WHERE reached > (SELECT CAST(floor(count(*) * (1 - 0.2::DOUBLE)) AS BIGINT) FROM games8))"""
-LONG8_SQL = "long8 AS (" + " UNION ALL ".join(
-    f"""SELECT {KEYS}, "GAME_DATE", '{name}' AS target, CAST("{name}" AS DOUBLE) AS actual FROM games8""" for name in fv.TARGETS
-) + """),
-means8 AS (SELECT target, avg(actual) AS baseline FROM long8, cut WHERE "GAME_DATE" < cutoff GROUP BY 1),
-test8 AS (SELECT long8.*, baseline FROM long8 JOIN means8 USING (target), cut WHERE "GAME_DATE" >= cutoff)"""
-TRAIN_CTES = [LOGS_SQL, GAMES8_SQL, CUT8_SQL, LONG8_SQL]
-SHIPPED = training.MODEL_CONFIGS["gbt_gradual"]
+SHIPPED = training.GRADUAL
 
 
 def eight_targets(t: Tables):
@@ -377,47 +370,135 @@ def eight_targets(t: Tables):
     return replace(data, data=stored(data.data, "split"))
 
 
-@lru_cache(maxsize=4)
-def trained(application: str, folder: str):
-    """One full training run per session and folder: (feature names, metrics, predictions, importance scores), all stored."""
-    t = Tables(SparkSession.active(), folder)
-    data = eight_targets(t)
-    metrics, predictions, models = modelling.train_and_evaluate(data, SHIPPED)
-    scores = t.spark.createDataFrame(training.gain_scores(models), importance.SCORE_SCHEMA)
-    return data.features, stored(metrics, "metrics"), stored(predictions, "predictions"), stored(scores, "scores")
+@query("train_metrics")
+def train_metrics(t: Tables):
+    """All targets trained with the shipped parameters. SQL cannot train a hundred rounds: the tests replay the trees."""
+    metrics, _, _ = modelling.train_and_evaluate(eight_targets(t), SHIPPED)
+    return publish(metrics, 3, baseline_r2=6, **{f"{SHIPPED.name}_r2": 6})
 
 
-def training_run(t: Tables):
-    return trained(t.spark.sparkContext.applicationId, t.folder)
+# A run small enough to be trained by SQL as well: two rounds of two levels on three targets, eight bins.
+SMALL = training.ParameterSet("gbt_small", "Small trees", Boosting(rounds=2, depth=2, rate=0.5, bins=8, least_rows=20))
+SMALL_TARGETS = ["REB", "AST", "3PM"]
+SMALL_FEATURES = [f"{name.lower()}_{kind}" for name in ("PTS", *SMALL_TARGETS) for kind in ("rolling_5g_avg", "lag_1")]
 
 
-@query("train_metrics", with_ctes(TRAIN_CTES, f"""
-SELECT target, {metric_sql('actual', 'baseline', 'baseline')}, CAST(1 AS BIGINT) AS model_is_sound
-FROM test8 GROUP BY target"""))
-def train_metrics(t: Tables):
-    """All targets trained with the shipped parameters: baseline metrics, and whether the model's lie in their bounds."""
-    _, metrics, _, _ = training_run(t)
-    mae, rmse, r2 = (F.col(f"{SHIPPED.name}_{name}") for name in evaluate.METRICS)
-    sound = (mae > 0) & (mae <= rmse) & (r2 <= 1) & (rmse < 2 * F.col("baseline_rmse"))
-    return publish(metrics.select("target", *[f"baseline_{m}" for m in evaluate.METRICS], sound.alias("model_is_sound")), 3, baseline_r2=6)
+def small_data(t: Tables):
+    """Averages and last values of earlier orders, to four digits: missing at a customer's first order."""
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("GAME_ID")).agg(
+        *[getattr(F, TARGET_AGGREGATES[name][0])(TARGET_AGGREGATES[name][1]).alias(name) for name in SMALL_TARGETS])
+    chosen = ["PTS", *SMALL_TARGETS]
+    logs = S.add_features(order_logs(t).join(lines, "GAME_ID"), S.rolling_features(chosen, [5]) + S.lag_features(chosen))
+    logs = logs.withColumns({name: rounded_column(F.col(name).cast("double"), 4) for name in SMALL_FEATURES})
+    data = split.feature_target_table(split.label_split(logs), SMALL_TARGETS, features=SMALL_FEATURES)
+    return replace(data, data=stored(data.data, "split"))
 
 
-@query("train_predictions", with_ctes(TRAIN_CTES, f"""
-SELECT {KEYS}, target, {rounded('actual', 3)} AS actual, {rounded('baseline', 3)} AS baseline_prediction, CAST(1 AS BIGINT) AS predicted
-FROM test8"""))
+def train_sql() -> list[str]:
+    """The same training in SQL: trees_<n> has the nodes of a round, scored_<n> the predictions after it."""
+    p = SMALL.boosting
+    history = {"rolling_5g_avg": 'avg("{0}") OVER ({1} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)', "lag_1": 'lag("{0}") OVER ({1})'}
+    columns = [f"{rounded(how.format(name, ENTITY), 4)} AS f{2 * i + j}"
+               for i, name in enumerate(("PTS", *SMALL_TARGETS)) for j, how in enumerate(history.values())]
+    long_x = " UNION ALL ".join(f"SELECT {KEYS}, {i} AS f, f{i} AS x FROM featured" for i in range(len(SMALL_FEATURES)))
+    long_y = " UNION ALL ".join(f"""SELECT {KEYS}, '{name}' AS target, CAST("{name}" AS DOUBLE) AS actual, "GAME_DATE" < cutoff AS train FROM featured, cut"""
+                                for name in SMALL_TARGETS)
+    ctes = [LOGS_SQL, GAMES8_SQL, CUT8_SQL,
+            f"featured AS MATERIALIZED (SELECT *, {', '.join(columns)} FROM games8)",
+            f"x AS MATERIALIZED ({long_x})", f"y AS MATERIALIZED ({long_y})",
+            """ranked AS (SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) AS k, count(*) OVER (PARTITION BY f) AS n
+  FROM x JOIN (SELECT DISTINCT "PLAYER_ID", "GAME_ID" FROM y WHERE train) USING ("PLAYER_ID", "GAME_ID") WHERE x IS NOT NULL)""",
+            f"""edges AS MATERIALIZED (SELECT f, x AS edge, row_number() OVER (PARTITION BY f ORDER BY x) - 1 AS e
+  FROM (SELECT DISTINCT f, x FROM ranked WHERE k * {p.bins} // n > (k - 1) * {p.bins} // n))""",
+            f"""codes AS MATERIALIZED (SELECT {KEYS}, x.f, CASE WHEN any_value(x) IS NULL THEN -1 ELSE count(edge) END AS code
+  FROM x LEFT JOIN edges ON edges.f = x.f AND edge < x GROUP BY ALL)""",
+            "base AS (SELECT target, avg(actual) AS mean FROM y WHERE train GROUP BY target)",
+            "scored_0 AS MATERIALIZED (SELECT y.*, mean AS predicted, actual - mean AS r, 0 AS node FROM y JOIN base USING (target))"]
+    for tree in range(p.rounds):
+        ctes.append(f"at_{tree}_0 AS (SELECT * FROM scored_{tree})")
+        for level in range(p.depth):
+            at = f"{tree}_{level}"
+            ctes += [
+                f"""total_{at} AS MATERIALIZED (SELECT target, node, count(*) AS n, sum(r) AS s, sum(r * r) AS q FROM at_{at}
+  WHERE train AND node >= {2 ** level - 1} GROUP BY ALL)""",
+                f"""cells_{at} AS MATERIALIZED (SELECT target, node, f, code, count(*) AS n, sum(r) AS s FROM at_{at} JOIN codes USING ("PLAYER_ID", "GAME_ID")
+  WHERE train GROUP BY ALL)""",
+                f"""sides_{at} AS (SELECT t.*, e.f, e.e, e.edge, ways.missing_left,
+    coalesce(sum(c.n) FILTER (c.code >= 0 OR missing_left), 0) AS nl, coalesce(sum(c.s) FILTER (c.code >= 0 OR missing_left), 0) AS sl
+  FROM total_{at} t CROSS JOIN edges e CROSS JOIN (VALUES (true), (false)) ways(missing_left)
+  LEFT JOIN cells_{at} c ON c.target = t.target AND c.node = t.node AND c.f = e.f AND c.code <= e.e GROUP BY ALL)""",
+                f"""gains_{at} AS (SELECT *, sl * sl / (nl + {p.l2}) + (s - sl) * (s - sl) / (n - nl + {p.l2}) - s * s / (n + {p.l2}) AS gain
+  FROM sides_{at} WHERE nl >= {p.least_rows} AND n - nl >= {p.least_rows} AND q > 0)""",
+                f"""best_{at} AS MATERIALIZED (SELECT * FROM gains_{at} WHERE floor(gain / q * {boosting.STEPS} + 0.5) >= 1
+  QUALIFY row_number() OVER (PARTITION BY target, node ORDER BY floor(gain / q * {boosting.STEPS} + 0.5) DESC, f, e, missing_left DESC) = 1)""",
+                f"""at_{tree}_{level + 1} AS MATERIALIZED (SELECT a.* EXCLUDE (node), CASE WHEN b.f IS NULL THEN a.node
+    WHEN CASE WHEN code = -1 THEN missing_left ELSE code <= b.e END THEN 2 * a.node + 1 ELSE 2 * a.node + 2 END AS node
+  FROM at_{at} a LEFT JOIN best_{at} b ON b.target = a.target AND b.node = a.node
+  LEFT JOIN codes c ON c."PLAYER_ID" = a."PLAYER_ID" AND c."GAME_ID" = a."GAME_ID" AND c.f = b.f)"""]
+        ctes += [
+            f"""leaves_{tree} AS MATERIALIZED (SELECT target, node, count(*) AS n, {p.rate} * sum(r) / (count(*) + {p.l2}) AS value
+  FROM at_{tree}_{p.depth} WHERE train GROUP BY ALL)""",
+            f"trees_{tree} AS (" + " UNION ALL ".join(
+                f"SELECT target, {tree} AS tree, node, f, edge, missing_left, n, gain, NULL::DOUBLE AS value FROM best_{tree}_{level}" for level in range(p.depth)
+            ) + f" UNION ALL SELECT target, {tree}, node, NULL, NULL, NULL, n, NULL, value FROM leaves_{tree})",
+            f"""scored_{tree + 1} AS MATERIALIZED (SELECT a.* EXCLUDE (node, predicted, r), predicted + value AS predicted, r - value AS r, 0 AS node
+  FROM at_{tree}_{p.depth} a JOIN leaves_{tree} USING (target, node))"""]
+    listed = ", ".join(f"'{name}'" for name in SMALL_FEATURES)
+    ctes.append("trees AS MATERIALIZED (SELECT target, -1 AS tree, 0 AS node, NULL AS feature, NULL AS edge, NULL AS missing_left, NULL AS n, NULL AS gain, mean AS value FROM base"
+                + "".join(f" UNION ALL SELECT target, tree, node, [{listed}][f + 1], edge, missing_left, n, gain, value FROM trees_{i}" for i in range(p.rounds)) + ")")
+    return ctes
+
+
+SMALL_CTES = train_sql()
+SCORED_SQL = f"""scored AS (SELECT {KEYS}, target, actual, mean AS baseline_prediction, predicted FROM scored_{SMALL.boosting.rounds}
+  JOIN base USING (target) WHERE NOT train)"""
+
+
+def loaded_models(t: Tables):
+    """The small run, written and read back: (split, models)."""
+    data = small_data(t)
+    path = scratch_path(t.spark, "models")
+    training.train_models(data, SMALL).save(t.spark, path)
+    return data, training.load_models(t.spark, path, SMALL, data.features, data.targets)
+
+
+@query("train_trees", with_ctes(SMALL_CTES, f"""
+SELECT target, {whole('tree')} AS tree, {whole('node')} AS node, feature, {rounded('edge', 4)} AS threshold, {whole('missing_left')} AS missing_left,
+  {whole('n')} AS rows, {rounded('gain', 4)} AS gain, {rounded('value', 6)} AS value FROM trees"""))
+def train_trees(t: Tables):
+    """Every node of the small run's trees."""
+    return publish(training.train_models(small_data(t), SMALL).table(t.spark), 4, value=6)
+
+
+@query("train_predictions", with_ctes([*SMALL_CTES, SCORED_SQL], f"""
+SELECT {KEYS}, target, {rounded('actual', 3)} AS actual, {rounded('baseline_prediction', 6)} AS baseline_prediction,
+  {rounded('predicted', 6)} AS gbt_small_prediction FROM scored"""))
 def train_predictions(t: Tables):
-    _, _, predictions, _ = training_run(t)
-    predicted = F.col(SHIPPED.prediction_column)
-    return publish(predictions.select(
-        "PLAYER_ID", "GAME_ID", "target", "actual", "baseline_prediction", (predicted.isNotNull() & ~F.isnan(predicted)).alias("predicted")), 3)
-
-
-@query("gain_importance", with_ctes(TRAIN_CTES, f"""
-SELECT target, CAST({3 * len(fv.TARGETS) + 1} AS BIGINT) AS features, 1.0::DOUBLE AS total_share,
-  CAST({(3 * len(fv.TARGETS) + 1) * (3 * len(fv.TARGETS) + 2) // 2} AS BIGINT) AS rank_sum FROM means8"""))
+    """The test rows as the loaded models of the small run predict them."""
+    data, models = loaded_models(t)
+    predictions = training.test_predictions(data, models)
+    return publish(predictions.select("PLAYER_ID", "GAME_ID", "target", "actual", "baseline_prediction", SMALL.prediction_column), 6, actual=3)
+
+
+@query("trained_metrics", with_ctes([*SMALL_CTES, SCORED_SQL], f"""
+SELECT target, {metric_sql('actual', 'baseline_prediction', 'baseline')}, {metric_sql('actual', 'predicted', 'gbt_small')} FROM scored GROUP BY target"""))
+def trained_metrics(t: Tables):
+    """Metrics of the small run and of the baseline."""
+    metrics, _, _ = modelling.train_and_evaluate(small_data(t), SMALL)
+    return publish(metrics, 3, baseline_r2=6, gbt_small_r2=6)
+
+
+@query("gain_importance", with_ctes(SMALL_CTES, f"""
+SELECT target, feature, {rounded('gain', 4)} AS gain, {rounded('gain / total', 8)} AS gain_share, {rounded('average', 4)} AS average_gain,
+  row_number() OVER (PARTITION BY target ORDER BY gain DESC, ordinal) AS rank
+FROM (SELECT base.target, l.feature, l.ordinal, coalesce(g.gain, 0) AS gain, coalesce(g.average, 0) AS average, sum(coalesce(g.gain, 0)) OVER (PARTITION BY base.target) AS total
+  FROM base CROSS JOIN (SELECT unnest({SMALL_FEATURES}) AS feature, unnest(range({len(SMALL_FEATURES)})) AS ordinal) l
+  LEFT JOIN (SELECT target, feature, sum(gain) AS gain, avg(gain) AS average FROM trees WHERE feature IS NOT NULL GROUP BY ALL) g
+    ON g.target = base.target AND g.feature = l.feature)"""))
 def gain_importance(t: Tables):
-    """What every importance table has to fulfil: shares add up to 1, and ranks are 1 to the number of features."""
-    names, _, _, scores = training_run(t)
-    table = importance.importance_table(scores, names, SHIPPED.name)
-    return publish(table.groupBy("target").agg(
-        F.count_distinct("feature").alias("features"), F.sum("gain_share").alias("total_share"), F.sum("rank").alias("rank_sum")), 8)
+    """Total and average gain of every feature in the trees of the small run."""
+    trees = stored(training.train_models(small_data(t), SMALL).table(t.spark), "trees")
+    table = importance.importance_table(training.gain_scores(trees), SMALL_FEATURES, SMALL.name)
+    average = training.gain_scores(trees, average=True).withColumnRenamed("gain", "average_gain")
+    joined = table.join(average, ["target", "feature"], "left").withColumn("average_gain", F.coalesce("average_gain", F.lit(0.0)))
+    return publish(joined.select("target", "feature", "gain", "gain_share", "average_gain", "rank"), 4, gain_share=8)

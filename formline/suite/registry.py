@@ -50,7 +50,7 @@ def publish(df: DataFrame, default: int = 4, **digits: int) -> DataFrame:
         if isinstance(field.dataType, (IntegralType, BooleanType)):
             column = column.cast("long")
         elif isinstance(field.dataType, (DoubleType, FloatType)):
-            column = _rounded_column(column, digits.get(field.name, default))
+            column = rounded_column(column, digits.get(field.name, default))
         elif isinstance(field.dataType, DateType):
             column = F.date_format(column, "yyyy-MM-dd")
         columns.append(column.alias(field.name))
@@ -62,7 +62,7 @@ def publish(df: DataFrame, default: int = 4, **digits: int) -> DataFrame:
 HALF = 0.501
 
 
-def _rounded_column(column: Column, digits: int) -> Column:
+def rounded_column(column: Column, digits: int) -> Column:
     # Whole part apart from fraction, in doubles: no value saturates, and NaN and infinity stay what they are.
     scale = F.lit(float(10 ** digits))
     usual = F.abs(column) < F.lit(float(2 ** 53 / 10 ** digits))

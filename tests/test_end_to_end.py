@@ -5,7 +5,8 @@ from datetime import date, timedelta
 
 from formline import fixed_values as fv
 from formline.functions import names as N
-from formline.operators import importance, training
+from formline.operators import training
+from formline.operators.boosting import Boosting
 from formline.operators.series import all_time_series_features
 from formline.plans import features, modelling
 from formline.plans.eda import eda_profile
@@ -80,14 +81,13 @@ def test_from_files_to_importance(spark, tmp_path):
     assert names == data.features == N.model_feature_columns(full)
     again = modelling.ModellingData(written, names, ["PTS", "FANTASY_PTS"], data.keys)
 
-    config = training.ModelConfig("gbt_test", "Test", {"maxIter": 2, "maxDepth": 2})
+    config = training.ParameterSet("gbt_test", "Test", Boosting(rounds=2, depth=2, rate=0.5))
     metrics, predictions, _ = modelling.train_and_evaluate(again, config, str(tmp_path / "models"))
     writers.write_training_outputs(metrics, predictions, str(tmp_path / "out"))
     rows = readers.read_metrics(spark, str(tmp_path / "out/model_metrics.json"), "gbt_test", "Test").collect()
     assert all(r["model_mae"] < r["baseline_mae"] for r in rows) and len(rows) == 2
 
-    scores = spark.createDataFrame(
-        training.saved_gain_scores(str(tmp_path / "models"), "gbt_test", again.targets), importance.SCORE_SCHEMA)
+    scores = training.saved_gain_scores(spark, str(tmp_path / "models"), "gbt_test", again.targets)
     reports = modelling.importance_analysis(scores, names, "gbt_test")
     writers.write_importance(reports["importance"], reports["family_summary"], "gbt_test", str(tmp_path / "importance"))
     assert readers.read_importance(spark, str(tmp_path / "importance"), "Test").count() == 2 * 116

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from formline import fixed_values as fv
 from formline.functions import names as N
 from formline.operators import correlation, evaluate, importance, reshape, split, training
+from formline.operators.boosting import Boosting
 from formline.plans import modelling
 from formline.plans.eda import eda_profile
 
@@ -144,6 +145,39 @@ def test_infinite_values_leave_their_own_pairs_without_correlation(spark):
     assert few["a", "d"] is not None and len(many) == 28
 
 
+def test_thousands_of_columns_are_dealt_in_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(120, 2_000))
+    x[:, 1_500] = x[:, 3] * 2 + rng.normal(size=120) * 0.1
+    x[rng.random(x.shape) < 0.02] = np.nan
+    frame = spark.createDataFrame([(row.tolist(),) for row in x], "v array<double>").repartition(2)
+    names = [f"x{i}" for i in range(2_000)]
+    wide = frame.selectExpr(*[f"v[{i}] as {n}" for i, n in enumerate(names)])
+    monkeypatch.setattr(correlation, "TASK_TILES", 10)  # four parts of the 36 tiles
+    found = correlation.correlation_pairs(wide, names)
+    strong = {(r[0], r[1]): r[2] for r in found.filter("abs(correlation) > 0.9").collect()}
+    assert list(strong) == [("x3", "x1500")] and found.count() == 1_999_000
+    data = pd.DataFrame(x, columns=names)
+    some = [("x0", "x1"), ("x255", "x256"), ("x3", "x1500"), ("x700", "x1999"), ("x1998", "x1999")]
+    got = {(r[0], r[1]): r[2] for r in found.filter(F.concat("feature_1", F.lit(" "), "feature_2").isin([" ".join(p) for p in some])).collect()}
+    assert got == {pair: pytest.approx(data[list(pair)].corr().iloc[0, 1], abs=1e-9) for pair in some}
+
+
+def test_tiles_do_not_change_a_correlation(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    data = pd.DataFrame(rng.normal(size=(90, 11)), columns=list("abcdefghijk"))
+    data.loc[rng.random(90) < 0.3, "c"] = np.nan
+    data["k"] = 1.0
+    frame, want = spark.createDataFrame(data).repartition(4), data.corr()
+    monkeypatch.setattr(correlation, "TILE", 4)
+    monkeypatch.setattr(correlation, "TASK_TILES", 2)
+    for found in (correlation.correlation_pairs(frame, list(data.columns)).collect(),
+                  correlation.target_correlations(frame, ["a", "k"], ["b", "c", "j"]).select("feature", "target", "correlation").collect()):
+        assert len(found) in (55, 3)
+        for a, b, value in found:
+            assert value == (None if np.isnan(want[a][b]) else pytest.approx(want[a][b], abs=1e-9)), (a, b)
+
+
 def test_correlations_with_gaps_and_constants(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=400) + 1e6
@@ -175,30 +209,27 @@ def learnable(spark, rows=600):
 
 def test_training_beats_the_baseline_and_survives_saving(spark, tmp_path):
     data = learnable(spark)
-    config = training.ModelConfig("gbt_test", "Test", {"maxIter": 5, "maxDepth": 3})
-    metrics, predictions, trained = modelling.train_and_evaluate(data, config, str(tmp_path))
+    parameters = training.ParameterSet("gbt_test", "Test", Boosting(rounds=5, depth=3, rate=0.5))
+    metrics, predictions, trained = modelling.train_and_evaluate(data, parameters, str(tmp_path))
     rows = {r["target"]: r for r in metrics.collect()}
-    assert list(trained.models) == ["FANTASY_PTS", "PTS"]
+    assert trained.targets == ["FANTASY_PTS", "PTS"]
     for target, row in rows.items():
         assert row["gbt_test_mae"] < row["baseline_mae"] and row["gbt_test_r2"] > 0.5
         assert row["model_path"].endswith(f"gbt_test_{target.lower()}")
     assert predictions.count() == 2 * data.test.count()
-    found = training.gain_scores(trained)
-    assert sum(g for t, _, g in found if t == "PTS") == pytest.approx(1)
-    assert max((g, f) for t, f, g in found if t == "PTS")[1] == "x"
-    saved = training.saved_gain_scores(str(tmp_path), "gbt_test", ["PTS", "FANTASY_PTS"])
-    by_name = lambda rows: {(t, f): g for t, f, g in rows}
-    assert by_name(saved) == pytest.approx(by_name(found))
-    table = importance.importance_table(spark.createDataFrame(found, importance.SCORE_SCHEMA), data.features, "gbt_test")
+    scores = training.saved_gain_scores(spark, str(tmp_path), "gbt_test", ["PTS", "FANTASY_PTS"])
+    found = {(r["target"], r["feature"]): r["gain"] for r in scores.collect()}
+    assert max((g, f) for (t, f), g in found.items() if t == "PTS")[1] == "x"
+    table = importance.importance_table(scores, data.features, "gbt_test")
     assert {r["gain"] for r in table.filter("feature = 'empty'").collect()} == {0.0}
-    loaded = training.load_model(str(tmp_path), "gbt_test", "PTS")
-    again = loaded.transform(training.with_numeric_features(data.test, data.features))
+    loaded = training.load_models(spark, str(tmp_path), parameters, data.features, ["PTS"])
     want = {(r["PLAYER_ID"], r["GAME_ID"]): r["gbt_test_prediction"] for r in predictions.filter("target = 'PTS'").collect()}
-    assert {(r["PLAYER_ID"], r["GAME_ID"]): r["_prediction_PTS"] for r in again.collect()} == want
+    assert {(r["PLAYER_ID"], r["GAME_ID"]): r["_prediction_PTS"] for r in loaded.predict(data.test).collect()} == want
     with pytest.raises(FileNotFoundError, match="no saved gbt_test model of REB"):
-        training.load_model(str(tmp_path), "gbt_test", "REB")
-    with pytest.raises(ValueError, match="Unknown model"):
-        training.get_model_config("nothing")
+        training.load_models(spark, str(tmp_path), parameters, data.features, ["REB"])
+    with pytest.raises(ValueError, match="no parameter set"):
+        training.parameter_set("nothing")
+    assert training.parameter_set("gbt_deep") is training.DEEP
 
 
 def test_names(spark):
