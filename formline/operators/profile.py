@@ -4,24 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formline import fixed_values as fv
 from formline.functions import names as N
 from formline.functions.columns import null_if_nan
-from formline.operators.quantiles import MAX_VALUES, exact_quantiles, long_values
+from formline.operators.quantiles import MAX_VALUES, column_partials, exact_quantiles
 
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def _quartile_table(df: DataFrame, columns: Sequence[str], max_values: int) -> DataFrame:
-    """(column, q25, q50, q75): one row per column of the table."""
-    found, _ = exact_quantiles(df, columns, QUARTILES, max_values)
-    rows = [(column, *[found[column][q] for q in QUARTILES]) for column in columns]
-    return df.sparkSession.createDataFrame(rows, "column string, q25 double, q50 double, q75 double")
-
-
 def describe_columns(df: DataFrame, columns: Sequence[str], max_values: int = MAX_VALUES) -> DataFrame:
     """count, mean, sample std, min, quartiles and max: one row per column.
 
@@ -43,16 +37,28 @@ def outlier_columns(df: DataFrame, targets: Sequence[str] = fv.TARGETS) -> list[
     return N.numeric_columns(df, [*fv.CORRELATION_ID_COLUMNS, *targets, *fv.BINARY_COLUMNS])
 
 
-def _with_fences(df: DataFrame, columns: Sequence[str], max_values: int) -> DataFrame:
-    """(column, value) rows with quartiles and the bounds 1.5 interquartile ranges beyond them."""
-    reach = (F.col("q75") - F.col("q25")) * 1.5
-    fences = _quartile_table(df, columns, max_values).withColumns({
-        "low": F.col("q25") - reach, "high": F.col("q75") + reach})
-    return long_values(df, columns).join(F.broadcast(fences), "column")
+def _beyond_fences(df: DataFrame, columns: Sequence[str], max_values: int) -> DataFrame:
+    """(column, q25, q50, q75, outlier_count, whisker_low, whisker_high): one row per column.
+
+    Outliers lie more than 1.5 interquartile ranges beyond the quartiles; whiskers are the outermost values
+    that do not. One pass after the quartiles, with a few numbers per column and batch.
+    """
+    found, _ = exact_quantiles(df, columns, QUARTILES, max_values)
+    quartiles = {column: [found[column][q] for q in QUARTILES] for column in columns}
 
+    def summary(column: str, x: np.ndarray) -> list[tuple]:
+        low, _, high = quartiles[column]
+        if low is None or not len(x):
+            return []
+        reach = (high - low) * 1.5
+        outside = (x < low - reach) | (x > high + reach)
+        within = x[~outside]
+        return [(column, int(outside.sum()), float(within.min()) if len(within) else None, float(within.max()) if len(within) else None)]
 
-def _outside() -> Column:
-    return (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
+    parts = column_partials(df, columns, summary, "column string, outside long, low double, high double")
+    counted = parts.groupBy("column").agg(F.sum("outside").alias("outlier_count"), F.min("low").alias("whisker_low"), F.max("high").alias("whisker_high"))
+    listed = df.sparkSession.createDataFrame([(c, *quartiles[c]) for c in columns], "column string, q25 double, q50 double, q75 double")
+    return listed.join(counted, "column", "left").withColumn("outlier_count", F.coalesce("outlier_count", F.lit(0)))
 
 
 def outlier_summary(
@@ -60,24 +66,14 @@ def outlier_summary(
 ) -> DataFrame:
     """Values beyond 1.5 interquartile ranges, as a count and as a share of all rows (NULLs included)."""
     chosen = outlier_columns(df) if columns is None else list(columns)
-    counted = _with_fences(df, chosen, max_values).groupBy("column").agg(
-        F.count_if(_outside()).alias("outlier_count"), F.count(F.lit(1)).alias("_rows")
-    )
-    share = F.try_divide(F.col("outlier_count"), F.col("_rows"))
-    return counted.select("column", "outlier_count", share.alias("outlier_pct"))
+    rows = df.agg(F.count(F.lit(1)).alias("_rows"))
+    found = _beyond_fences(df, chosen, max_values).crossJoin(F.broadcast(rows))  # one row
+    return found.select("column", "outlier_count", F.try_divide(F.col("outlier_count"), F.col("_rows")).alias("outlier_pct"))
 
 
 def box_stats(df: DataFrame, columns: Sequence[str] = fv.TARGETS, max_values: int = MAX_VALUES) -> DataFrame:
     """Quartiles and whiskers (the outermost values within 1.5 interquartile ranges) per column."""
-    within = F.when(~_outside(), F.col("value"))
-    return _with_fences(df, columns, max_values).groupBy("column").agg(
-        F.min("q25").alias("q25"),
-        F.min("q50").alias("q50"),
-        F.min("q75").alias("q75"),
-        F.min(within).alias("whisker_low"),
-        F.max(within).alias("whisker_high"),
-        F.count_if(_outside()).alias("outlier_count"),
-    )
+    return _beyond_fences(df, columns, max_values).select("column", "q25", "q50", "q75", "whisker_low", "whisker_high", "outlier_count")
 
 
 def literal(value: float | None) -> Column:

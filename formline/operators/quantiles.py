@@ -7,16 +7,18 @@ interval holds few enough values (``max_values``) to rank them. All columns shar
 in the end one ranking of what lies inside. A pass shuffles a few numbers per column and no rows. A poor
 proposal costs a pass, never exactness: sketches grow finer until every interval is small enough.
 
-Counts are taken on (column, value) rows, where a handful of aggregates serves any number of columns:
-one expression per column and bound would outgrow what the engine compiles well.
+Counts are taken on the columns as arrays, batch by batch: there is never a row per cell, and no expression
+per column and bound, which would outgrow what the engine compiles well.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,13 +30,6 @@ ACCURACY = 1_000
 Quantiles = dict[str, dict[float, float | None]]
 
 
-def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value) rows of numeric columns; NaN becomes NULL."""
-    names = [F.col(f"`{column}`") for column in columns]
-    numbers = df.select(*[null_if_nan(name).alias(column) for name, column in zip(names, columns)])
-    return numbers.unpivot([], names, "column", "value")
-
-
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_values: int = MAX_VALUES,
     also: Mapping[str, Callable[[Column], Column]] | None = None,
@@ -169,53 +164,65 @@ def _narrow(values: DataFrame, searches: Sequence[_Search], accuracy: int) -> No
             s.learn(value, *counts[s.column][value])
 
 
+def column_partials(values: DataFrame, columns: Sequence[str], summarise: Callable[[str, np.ndarray], list[tuple]], schema: str) -> DataFrame:
+    """Rows that ``summarise`` makes of each column's values in a batch: a few numbers, never the values as rows.
+
+    The columns travel side by side, as arrays, however many there are; missing values and NaN are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for column, name in zip(batch.columns, columns):
+                x = column.drop_null().to_numpy(zero_copy_only=False)
+                rows += summarise(name, x[~np.isnan(x)])
+            if rows:
+                yield pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in rows], kinds)
+
+    names = [part.split()[0] for part in schema.split(", ")]
+    kinds = pa.schema([(part.split()[0], ARROW[part.split()[1]]) for part in schema.split(", ")])
+    return values.select(*[null_if_nan(F.col(f"`{column}`")) for column in columns]).mapInArrow(run, schema)
+
+
+ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+
+
 def _count_around(values: DataFrame, edges: dict[str, list[float]]) -> dict[str, dict[float, tuple[int, int]]]:
     """For each edge of each column, how many values are smaller and how many are not larger."""
-    most = max(len(column_edges) for column_edges in edges.values())
-    places = [f"e{i}" for i in range(most)]
-    rows = [(c, *column_edges, *[None] * (most - len(column_edges))) for c, column_edges in edges.items()]
-    schema = ", ".join(["column string", *[f"{place} double" for place in places]])
-    value = F.col("value")
-    counted = (
-        long_values(values, list(edges))
-        # One row per column of the table.
-        .join(F.broadcast(values.sparkSession.createDataFrame(rows, schema)), "column")
-        .groupBy("column")
-        .agg(*[
-            F.struct(F.count_if(value < F.col(p)).alias("below"), F.count_if(value <= F.col(p)).alias("up_to")).alias(p)
-            for p in places
-        ])
-    )
-    return {
-        row["column"]: {edge: tuple(row[f"e{i}"]) for i, edge in enumerate(edges[row["column"]])}
-        for row in counted.collect()
-    }
+
+    def counts(column: str, x: np.ndarray) -> list[tuple]:
+        return [(column, i, int(np.count_nonzero(x < edge)), int(np.count_nonzero(x <= edge))) for i, edge in enumerate(edges[column])]
+
+    parts = column_partials(values, list(edges), counts, "column string, edge int, below long, up_to long")
+    found: dict[str, dict[float, tuple[int, int]]] = {column: dict.fromkeys(column_edges, (0, 0)) for column, column_edges in edges.items()}
+    for row in parts.groupBy("column", "edge").agg(F.sum("below").alias("below"), F.sum("up_to").alias("up_to")).collect():
+        found[row["column"]][edges[row["column"]][row["edge"]]] = (row["below"], row["up_to"])
+    return found
 
 
 def _rank_inside(values: DataFrame, searches: Sequence[_Search]) -> None:
     """Rank the distinct values inside each open interval; there are few of them."""
     if not searches:
         return
-    rows = [
-        (i, s.column, s.lo, s.hi, [rank - s.up_to_lo for rank in s.open_ranks]) for i, s in enumerate(searches)
-    ]
-    intervals = values.sparkSession.createDataFrame(
-        rows, "search int, column string, lo double, hi double, ranks array<bigint>"
-    )
-    counted = (
-        long_values(values, sorted({s.column for s in searches}))
-        .join(F.broadcast(intervals.drop("ranks")), "column")
-        .filter(
-            F.col("value").isNotNull()
-            & (F.col("lo").isNull() | (F.col("value") > F.col("lo")))
-            & (F.col("hi").isNull() | (F.col("value") < F.col("hi")))
-        )
-        .groupBy("search", "value").count()
-    )
+    mine: dict[str, list[tuple[int, float | None, float | None]]] = {}
+    for i, s in enumerate(searches):
+        mine.setdefault(s.column, []).append((i, s.lo, s.hi))
+
+    def inside(column: str, x: np.ndarray) -> list[tuple]:
+        rows = []
+        for search, lo, hi in mine[column]:
+            held = x if lo is None else x[x > lo]
+            held, times = np.unique(held if hi is None else held[held < hi], return_counts=True)
+            rows += zip([search] * len(held), held.tolist(), times.tolist())
+        return rows
+
+    counted = column_partials(values, list(mine), inside, "search int, value double, count long") \
+        .groupBy("search", "value").agg(F.sum("count").alias("count"))
     ordered = Window.partitionBy("search").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = values.sparkSession.createDataFrame([(i, rank - s.up_to_lo) for i, s in enumerate(searches) for rank in s.open_ranks], "search int, rank long")
     hits = (
         counted.withColumn("reached", F.sum("count").over(ordered))
-        .join(F.broadcast(intervals.select("search", F.explode("ranks").alias("rank"))), "search")
+        .join(F.broadcast(wanted), "search")  # two rows per search at most
         .filter((F.col("reached") > F.col("rank")) & (F.col("reached") - F.col("count") <= F.col("rank")))
     )
     for row in hits.collect():

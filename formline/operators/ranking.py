@@ -8,8 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from formline.operators.layout import numbered, stored
+
 # Rows of one input partition that the first round of a top-k takes together: 2 ** RUN_BITS.
 RUN_BITS = 20
+# Accuracy of a sketch, and the shares of a group that it is asked for: 1, 1/2, 1/4 and so on.
+SKETCH, SHARE_STEPS = 10_000, 24
 # Standard deviations by which a sample's draw threshold lies above the wanted number of rows.
 MARGIN = 6
 
@@ -39,6 +43,36 @@ def top_k_per_group(
     return kept if rank else kept.drop(place)
 
 
+def top_k_by_value(
+    df: DataFrame, group: Sequence[str], by: str, k: int, ties: Sequence[Column], descending: bool = True, rank: str | None = None
+) -> DataFrame:
+    """The first ``k`` rows of each group by a number, then by ``ties``, for any k; rows without the number come last.
+
+    A sketch per group gives a value that about 1 to 2 k rows reach; only those are shuffled and ranked. They are
+    counted first: a group that fell short, or has fewer numbers than k, is ranked whole.
+    """
+    value = F.col(by).cast("double") if descending else -F.col(by).cast("double")
+    shares = [2.0 ** -i for i in range(SHARE_STEPS)]
+    names = [f"_g_{name}" for name in group]
+    sketches = df.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_numbers"),
+        F.percentile_approx(value, [1.0 - share for share in shares], F.lit(SKETCH)).alias("_reached"))
+    # The smallest share that holds k rows in spite of the sketch's error.
+    needed = F.try_divide(F.lit(float(k + 1)), F.col("_numbers")) + F.lit(2.0 / SKETCH)
+    step = F.greatest(F.floor(-F.log2(F.least(needed, F.lit(1.0)))), F.lit(0)).cast("int")
+    least = F.when(F.col("_numbers") > k, F.get("_reached", F.least(step, F.lit(SHARE_STEPS - 1))))
+    bounds = stored(sketches.select(*[F.col(g).alias(n) for g, n in zip(group, names)], "_rows", F.when(step > 0, least).alias("_least")), "bounds")
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names)])
+    reach = df.withColumn("_value", value).join(bounds, same)
+    kept = reach.filter(F.col("_least").isNull() | (F.col("_value") >= F.col("_least")))
+    short = kept.filter(F.col("_least").isNotNull()).groupBy(*names).agg(F.count(F.lit(1)).alias("_kept")).filter(F.col("_kept") < k) \
+        .select(*[F.col(n).alias(f"_short{n}") for n in names])
+    among = lambda columns: reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_short{n}")) for c, n in zip(columns, names)])
+    chosen = kept.join(short, among(names), "left_anti").select(*df.columns).unionByName(df.join(short, among(group), "left_semi"))
+    first = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
+    return top_k_per_group(chosen, group, [first, *ties], k, rank)
+
+
 def sample_per_group(df: DataFrame, group: Sequence[str], n: int, seed: int, key: Sequence[str]) -> DataFrame:
     """Up to ``n`` rows of each group without replacement. The same seed and keys give the same rows.
 
@@ -78,6 +112,15 @@ def sort_mixed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order)
 
 
+def positioned(df: DataFrame, order: Sequence[Column], column: str = "position") -> DataFrame:
+    """The rows with their place in the order, from 1, as data: an order that joins, files and other engines can tell.
+
+    A range sort, and the sizes of its partitions added up; no task sees more than its part of the order.
+    Equal rows get places in any order, so let keys break ties.
+    """
+    return numbered(df.orderBy(*order), column, first=1, label="sorted")[0]
+
+
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
@@ -94,4 +137,8 @@ def sort_chronological(
     df: DataFrame, date: str = "GAME_DATE", game: str = "GAME_ID", entity: str = "PLAYER_ID"
 ) -> DataFrame:
     """For display and export only: windows carry their own order."""
-    return df.orderBy(*[F.col(name).asc_nulls_last() for name in (date, game, entity)])
+    return df.orderBy(*chronological(date, game, entity))
+
+
+def chronological(date: str = "GAME_DATE", game: str = "GAME_ID", entity: str = "PLAYER_ID") -> list[Column]:
+    return [F.col(name).asc_nulls_last() for name in (date, game, entity)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import csv
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,25 +24,46 @@ SELECTED_TYPES = {
 }
 
 
+CSV_OPTIONS = {"nullValue": fv.NULL_SENTINEL}
+
+
 def read_text_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """CSV files with headers, all columns as text, ``NA`` as NULL.
 
-    The paths of a list may order their columns differently: each is read under its own header, and those
-    with the same header together; a column that a path lacks is NULL in its rows. The files of one path
-    have to agree; one that does not raises when it is read.
+    ``path`` is a file, a folder or a list of them. Files may order their columns differently and lack some:
+    columns are aligned by name, and what a file lacks is NULL in its rows. Files that share one header
+    go through the CSV source as they are. Fields must not contain line ends where headers differ.
     """
-    if isinstance(path, str):
-        return _one_header(spark, path)
-    groups: dict[tuple, list[str]] = {}
-    for one in path:
-        groups.setdefault(tuple(_one_header(spark, one).columns), []).append(one)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_one_header(spark, p) for p in groups.values()])
-
-
-def _one_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    # With enforceSchema off, a file whose header differs from the first raises instead of shifting columns.
-    options = {"header": True, "enforceSchema": False, "nullValue": fv.NULL_SENTINEL}
-    return spark.read.options(**options).csv(path)
+    headers = file_headers(spark, path)
+    # As many rows as there are different headers, each of the length of a schema.
+    kinds = headers.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").collect()
+    if len(kinds) < 2:
+        # With enforceSchema off, a file whose header differs from the first raises instead of shifting columns.
+        return spark.read.options(header=True, enforceSchema=False, **CSV_OPTIONS).csv(path)
+    return _aligned(spark, path, headers, [kind["header"] for kind in kinds])
+
+
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, header): the first line of every file that has one."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), "value", F.monotonically_increasing_id().alias("at"))
+    return lines.filter("begin = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+
+
+def _aligned(spark: SparkSession, path: str | list[str], headers: DataFrame, kinds: list[str]) -> DataFrame:
+    """All lines as one frame, each read under the header of its file; a line equal to it is no row."""
+    width = max(len(next(csv.reader([kind]))) for kind in kinds)
+    names = {kind: next(csv.reader([kind])) for kind in kinds}
+    columns = list(dict.fromkeys(name for kind in kinds for name in names[kind]))
+    # The place of every column under each header, from 1; no place is NULL.
+    places = spark.createDataFrame(
+        [(kind, *[names[kind].index(name) + 1 if name in names[kind] else None for name in columns]) for kind in kinds],
+        ", ".join(["header string", *[f"p{i} int" for i in range(len(columns))]]))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value").filter(F.trim("value") != "")
+    placed = lines.join(headers.join(F.broadcast(places), "header"), "file").filter(F.col("value") != F.col("header"))
+    fields = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)), CSV_OPTIONS)
+    parsed = placed.withColumn("fields", fields).withColumn("fields", F.array(*[f"fields.c{i}" for i in range(width)]))
+    return parsed.select(*[F.get("fields", F.col(f"p{i}") - 1).alias(name) for i, name in enumerate(columns)])
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:

@@ -197,10 +197,15 @@ RATIO_NAMES = ["true_shooting_pct", "effective_fg_pct", "three_point_attempt_rat
 FULL_CTES = [*CONTEXT_CTES, PROFILES_SQL, f"ratios AS ({RATIOS_SQL})"]
 
 
-def full_features(t: Tables):
+def base_games(t: Tables):
+    """Games with the players' metadata, and the position tokens."""
     profiles = customer_profiles(t)
     games = stored(plans.enrich_with_player_info(player_games(t), profiles), "games")
-    positions = enrich.token_vocabulary(profiles, "POSITION")
+    return games, enrich.token_vocabulary(profiles, "POSITION")
+
+
+def full_features(t: Tables):
+    games, positions = base_games(t)
     return games, plans.build_full_features(games, region_defense(t), region_codes(t), positions=positions)
 
 

@@ -80,6 +80,15 @@ def top_k_per_group(t: Tables):
     return publish(ranking.top_k_per_group(rows, ["c_nationkey"], order, 10, rank="place"), 2)
 
 
+@query("top_k_by_value", f"""
+SELECT event_type, event_id, {rounded('value')} AS value,
+  {whole('row_number() OVER (PARTITION BY event_type ORDER BY value DESC NULLS LAST, event_id)')} AS place FROM events QUALIFY place <= 1500""")
+def top_k_by_value(t: Tables):
+    """More rows per group than Spark limits by itself before a window."""
+    rows = t.events.select("event_type", "event_id", "value")
+    return publish(ranking.top_k_by_value(rows, ["event_type"], "value", 1500, [F.col("event_id")], rank="place"))
+
+
 @query("top_n", f"""
 SELECT o_orderkey, {rounded('o_totalprice', 2)} AS o_totalprice FROM orders
 ORDER BY o_totalprice DESC, o_orderkey LIMIT 30""")
@@ -89,18 +98,19 @@ def top_n(t: Tables):
 
 
 @query("sort_mixed", f"""
-SELECT o_orderpriority, o_orderkey, {rounded('o_totalprice', 2)} AS o_totalprice FROM orders
-ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey""")
+SELECT o_orderpriority, o_orderkey, {rounded('o_totalprice', 2)} AS o_totalprice,
+  row_number() OVER (ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey) AS position FROM orders""")
 def sort_mixed(t: Tables):
     rows = t.orders.select("o_orderpriority", "o_orderkey", "o_totalprice")
     order = [F.col("o_orderpriority").asc(), F.col("o_totalprice").desc(), F.col("o_orderkey").asc()]
-    return publish(ranking.sort_mixed(rows, order), 2)
+    return publish(ranking.positioned(rows, order), 2)
 
 
 @query("sort_chronological", f"""
-SELECT o_custkey AS "PLAYER_ID", o_orderkey AS "GAME_ID", {day_text('o_orderdate')} AS "GAME_DATE" FROM orders""")
+SELECT o_custkey AS "PLAYER_ID", o_orderkey AS "GAME_ID", {day_text('o_orderdate')} AS "GAME_DATE",
+  row_number() OVER (ORDER BY CAST(o_orderdate AS DATE), o_orderkey, o_custkey) AS position FROM orders""")
 def sort_chronological(t: Tables):
-    return publish(ranking.sort_chronological(order_logs(t).select("PLAYER_ID", "GAME_ID", "GAME_DATE")))
+    return publish(ranking.positioned(order_logs(t).select("PLAYER_ID", "GAME_ID", "GAME_DATE"), ranking.chronological()))
 
 
 @query("sample_per_group", f"""

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from formline.functions import columns as C
 from formline.functions import names as N
-from formline.operators import enrich
+from formline.operators import enrich, refresh, split
 from formline.operators import series as S
 from formline.operators.checks import wide_to_long
-from formline.operators.layout import find_hot_groups, stored
+from formline.operators.layout import find_hot_groups, scratch_path, stored
+from formline.sources.writers import write_features
 from formline.suite.adapters import (
-    CODES_SQL, GAMES_SQL, LOGS_SQL, LOGS_WITH_LINES_SQL, YEAR_LABEL_SQL, order_logs, order_logs_with_lines, player_games,
+    CODES_SQL, CUTOFF_SQL, GAMES_SQL, LOGS_SQL, LOGS_WITH_LINES_SQL, YEAR_LABEL_SQL, order_logs, order_logs_with_lines, player_games,
 )
 from formline.suite.registry import Tables, publish, query, rounded, whole, with_ctes
 
@@ -98,15 +99,15 @@ def lag_change(t: Tables):
 ALL_TARGETS = ["PTS", "REB", "AST"]
 
 
-def all_features_sql() -> str:
+def all_feature_columns() -> list[str]:
     columns = []
     for target in ALL_TARGETS:
         columns += rolling_sql(target) + history_sql(target, "season") + history_sql(target, "career")
         columns += total_sql(target) + lag_sql(target)
-    return logs_sql(columns, "wide_logs")
+    return columns
 
 
-@query("all_time_series_features", all_features_sql())
+@query("all_time_series_features", logs_sql(all_feature_columns(), "wide_logs"))
 def all_time_series_features(t: Tables):
     hot = find_hot_groups(order_logs(t), ["PLAYER_ID"])  # the lines add columns, no rows
     result = S.all_time_series_features(order_logs_with_lines(t), ALL_TARGETS, WINDOWS, hot=hot)
@@ -116,6 +117,30 @@ def all_time_series_features(t: Tables):
     return publish(result, **feature_digits(result.columns), **totals)
 
 
+WHOLE_SQL = f'whole AS (SELECT {KEYS}, "GAME_DATE", ' + ",\n  ".join(all_feature_columns()) + " FROM wide_logs)"
+
+
+@query("refresh_features", with_ctes([LOGS_SQL, LOGS_WITH_LINES_SQL, CUTOFF_SQL, WHOLE_SQL],
+                                     'SELECT whole.* EXCLUDE ("GAME_DATE") FROM whole, cut WHERE "GAME_DATE" >= cutoff'))
+def refresh_features(t: Tables):
+    """The last fifth of the orders added to the features of the others in two batches, from the carried state alone."""
+    logs = stored(split.label_split(order_logs_with_lines(t)), "logs")
+    history, late = logs.filter("split = 'train'").drop("split"), logs.filter("split = 'test'").drop("split")
+    listed = refresh.time_series_list(ALL_TARGETS, WINDOWS)
+    path, state_path = scratch_path(t.spark, "features"), scratch_path(t.spark, "state")
+    write_features(S.all_time_series_features(history, ALL_TARGETS, WINDOWS), path, ["SEASON"])
+    refresh.series_state(history, listed).save(state_path)
+    middle = late.agg(F.percentile_approx(F.unix_date("GAME_DATE"), 0.5).alias("day")).first()["day"]
+    day = F.unix_date("GAME_DATE")
+    for batch in (late.filter(day <= middle), late.filter(day > middle)):
+        refresh.refresh_features(batch, path, state_path, ALL_TARGETS, WINDOWS)
+    found = t.spark.read.parquet(path).join(late.select("PLAYER_ID", "GAME_ID"), ["PLAYER_ID", "GAME_ID"], "left_semi")
+    result = features_only(found, ALL_TARGETS)
+    result = result.select("PLAYER_ID", "GAME_ID", *[F.col(c).cast("double") for c in result.columns[2:]])
+    totals = {name: SUM_DIGITS for name in result.columns if name.endswith("_total")}
+    return publish(result, **feature_digits(result.columns), **totals)
+
+
 # Nations as entities: they have many rows each, and with this limit all of them are cut into blocks.
 HOT_ROWS = 250
 NATION_SQL = f"""logs AS (

@@ -255,6 +255,29 @@ def test_career_logs_and_player_profiles(spark):
     assert rows == {1642377: ("Undrafted", "206"), 5: ("33", "190")}
 
 
+def test_large_k_keeps_few_rows(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(g, rng.choice([None, rng.random(), 0.5]), i) for g, n in (("big", 30_000), ("small", 40), (None, 3_000), ("none", 20)) for i in range(n)]
+    rows = [(g, None if g == "none" else v, i) for g, v, i in rows] + [("same", 1.0, i) for i in range(4_000)]
+    frame = spark.createDataFrame(rows, "g string, v double, i int").repartition(6)
+    for k, descending in ((1_500, True), (1_500, False), (3, True)):
+        want = {}
+        for g, v, i in rows:
+            want.setdefault(g, []).append((v is None, (-v if descending else v) if v is not None else 0, i, v))
+        want = {(g, i): place for g, found in want.items() for place, (_, _, i, _) in enumerate(sorted(found)[:k], 1)}
+        found = ranking.top_k_by_value(frame, ["g"], "v", k, [F.col("i")], descending, rank="place")
+        assert {(r["g"], r["i"]): r["place"] for r in found.collect()} == want
+
+
+def test_positions_follow_the_order(spark):
+    frame = spark.range(1_000).select((F.col("id") * 7919 % 1_000).alias("v"), F.lit("x").alias("_row")).repartition(5)
+    found = ranking.positioned(frame, [F.col("v").desc()])
+    assert found.columns == ["v", "_row", "position"]
+    assert {r["v"]: r["position"] for r in found.collect()} == {v: 1_000 - v for v in range(1_000)}
+
+
 def test_samples_have_the_asked_size_and_sorts_their_order(spark):
     frame = spark.range(20_000).select((F.col("id") % 7 == 0).alias("g"), "id")
     sample = ranking.sample_per_group(frame, ["g"], 100, 1, ["id"])

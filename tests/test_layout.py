@@ -18,8 +18,19 @@ def test_scratch_lies_in_the_shared_folder(spark):
 def test_scratch_can_be_removed(spark):
     frame = layout.stored(spark.range(10), "gone")
     assert frame.count() == 10
+    folder = Path(frame.inputFiles()[0].removeprefix("file:")).parent
+    assert folder.exists() and folder.parent == Path(spark.conf.get("spark.checkpoint.dir"))
     layout.remove_scratch(frame)
-    assert not any("gone-" in str(path) for path in Path(spark.conf.get("spark.checkpoint.dir")).iterdir())
+    assert not folder.exists()
+
+
+def test_numbers_follow_partitions_and_rows(spark):
+    frame = spark.range(1_000, numPartitions=7).filter("id % 3 = 0").withColumn("_row", F.lit("x"))
+    found, total = layout.numbered(frame, "n", first=5)
+    rows = sorted(tuple(r) for r in found.collect())
+    assert total == 334 and found.columns == ["id", "_row", "n"] and [n for _, _, n in rows] == list(range(5, 339))
+    nothing, none = layout.numbered(frame.limit(0), "n")
+    assert none == 0 and nothing.count() == 0
 
 
 def test_hot_groups_and_blocks(spark):

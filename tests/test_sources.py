@@ -115,8 +115,13 @@ def test_columns_are_matched_by_name_across_files(spark, tmp_path):
     folder.mkdir()
     write_text(folder / "a.csv", "PLAYER_ID,GAME_ID\n1,500\n")
     write_text(folder / "b.csv", "GAME_ID,PLAYER_ID\n600,2\n")
-    with pytest.raises(Exception, match="header"):
-        readers.read_game_logs(spark, str(folder)).collect()
+    write_text(folder / "c.csv", 'GAME_ID,"a,b",PLAYER_ID\n\n700,"x,y",NA\nGAME_ID,"a,b",PLAYER_ID\n800,,3\n')
+    write_text(folder / "d.csv", "")
+    logs = readers.read_text_csv(spark, str(folder))
+    assert logs.columns == ["PLAYER_ID", "GAME_ID", "a,b"]
+    assert sorted(map(tuple, logs.collect()), key=str) == [("1", "500", None), ("2", "600", None), ("3", "800", None), (None, "700", "x,y")]
+    only = readers.read_text_csv(spark, [str(folder / "b.csv"), str(folder / "b.csv")])
+    assert only.columns == ["GAME_ID", "PLAYER_ID"] and only.count() == 2
 
 
 def test_partitioned_writes_have_few_files(spark, tmp_path):
