@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formline.llm.texts import LOWER, NOT_SPACE, SLICE_BYTES, SPACE_BYTES, chunks, slices, text_bytes, word_hashes
+from formline.llm.texts import LOWER, NOT_SPACE, SLICE_BYTES, SPACE_BYTES, chunks, same_bytes, slices, text_bytes, word_hashes
 from formline.operators.layout import stored
 
 CAPACITY = 4096
@@ -67,6 +67,21 @@ def cut_pieces(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return data, starts, ends, whole[word[starts]]
 
 
+def distinct_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first occurrence of each distinct piece, and for every piece the number of its like.
+
+    Hashes group the pieces, and their bytes are compared; should two pieces share a hash, the bytes group them.
+    """
+    with np.errstate(over="ignore"):
+        _, first, inverse = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    like = first[inverse]
+    if (ends - starts == ends[like] - starts[like]).all() and same_bytes(data, starts, ends, starts[like]):
+        return first, inverse
+    text, number = data.tobytes(), {}
+    inverse = np.array([number.setdefault(text[a:b], len(number)) for a, b in zip(starts.tolist(), ends.tolist())], np.int64)
+    return np.unique(inverse, return_index=True)[1], inverse
+
+
 class WordTokens:
     """Token ids of whole texts, tokenising each distinct piece of a word once.
 
@@ -87,10 +102,10 @@ class WordTokens:
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[int, int] = {}  # by the piece's hash
+        self.place: dict[bytes, int] = {}
         self.ids, self.begin, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
 
-    def _learn(self, hashes: list[int], pieces: list[bytes], plain: np.ndarray) -> None:
+    def _learn(self, pieces: list[bytes], plain: np.ndarray) -> None:
         simple = [piece for piece, easy in zip(pieces, plain) if easy]
         other = [piece.decode() for piece, easy in zip(pieces, plain) if not easy]
         ids, sizes = [np.zeros(0, np.uint32)], np.zeros(len(pieces), np.int64)
@@ -112,7 +127,7 @@ class WordTokens:
         self.begin[n + 1 : n + 1 + len(pieces)] = self.used + np.cumsum(sizes)
         self.used += len(flat)
         in_order = np.argsort(~plain, kind="stable").tolist()
-        self.place.update(zip(map(hashes.__getitem__, in_order), range(n, n + len(pieces))))
+        self.place.update(zip(map(pieces.__getitem__, in_order), range(n, n + len(pieces))))
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of texts whose UTF-8 bytes stand one after the other, and where each text's ids begin.
@@ -128,19 +143,18 @@ class WordTokens:
         data, starts, ends, whole = cut_pieces(data, bounds)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
-        with np.errstate(over="ignore"):
-            hashes, first, inverse = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        at = np.fromiter(map(self.place.get, hashes.tolist(), repeat(-1)), np.int64, len(hashes))
+        first, inverse = distinct_pieces(data, starts, ends)
+        text = data.tobytes()
+        pieces = [text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        at = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
         new = np.flatnonzero(at < 0)
         if len(new):
             if self.used > CACHE_IDS:
                 self._clear()
-                new = np.arange(len(hashes))
-            text, where = data.tobytes(), first[new]
-            pieces = [text[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())]
-            keys = hashes[new].tolist()
-            self._learn(keys, pieces, ~whole[where])
-            at[new] = list(map(self.place.__getitem__, keys))
+                new = np.arange(len(pieces))
+            unknown = [pieces[i] for i in new.tolist()]
+            self._learn(unknown, ~whole[first[new]])
+            at[new] = list(map(self.place.__getitem__, unknown))
         places = at[inverse]
         begin = self.begin[places]
         sizes = self.begin[places + 1] - begin

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,9 +21,11 @@ LOWER[0x41:0x5B] += 32
 # Texts are taken in slices of about this many bytes, which bounds the arrays beside the batch.
 SLICE_BYTES = 1 << 19
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_POWERS: dict[str, np.ndarray] = {}
+# The low bytes of a lane that belong to a word, by their number.
+_LANE_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+# Words of more bytes are hashed one by one.
+LONG_WORD = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,17 +37,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "up" not in _POWERS or len(_POWERS["up"]) < n + 1:
-        size = max(n + 1, SLICE_BYTES + 1)
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for name, step in (("up", _BASE), ("down", inverse)):
-            steps = np.full(size, step, np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.cumprod(steps)
-    return _POWERS["up"], _POWERS["down"]
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column and the n + 1 offsets of its rows; null counts as empty."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -80,12 +72,40 @@ def word_bounds(data: np.ndarray, bounds: np.ndarray, member: np.ndarray) -> tup
     return starts, ends, np.searchsorted(starts, bounds)
 
 
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: equal words, equal hashes, wherever they stand."""
-    up, down = _powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    """A 64-bit hash of each word: equal words, equal hashes, wherever they stand.
+
+    Eight bytes at a time go through ``mix`` together with the hash so far, which starts with the length.
+    """
+    lanes, left = _lanes(data), (ends - starts).astype(np.int64)
+    found = mix(left.astype(np.uint64) * _STEP)
+    rest = np.flatnonzero(left <= LONG_WORD)
+    at, left = starts[rest], left[rest]
+    while len(rest):
+        lane = lanes[at] & _LANE_MASKS[np.minimum(left, 8)]
+        found[rest] = mix((found[rest] ^ lane) * _STEP + np.uint64(0x9E3779B97F4A7C15))
+        more = left > 8
+        rest, at, left = rest[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        found[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return found
+
+
+def same_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, others: np.ndarray) -> bool:
+    """Whether every word has the bytes of the word that begins at ``others``; lengths are known to be equal."""
+    lanes, left, at, other = _lanes(data), (ends - starts).astype(np.int64), starts, others
+    while len(left):
+        if ((lanes[at] ^ lanes[other]) & _LANE_MASKS[np.minimum(left, 8)]).any():
+            return False
+        more = left > 8
+        at, other, left = at[more] + 8, other[more] + 8, left[more] - 8
+    return True
 
 
 def chunks(data: np.ndarray, member: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[np.ndarray]:
