@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -40,11 +42,11 @@ TEMPLATES = (
 THRESHOLD, SHORT = 0.8, 10
 
 RESULT = ("struct<n_words:bigint,n_base:bigint,first_word:bigint,last_word:bigint,base_labels:string,labels:string,score:double,"
-          "blocks:array<struct<label:string,start:bigint,end:bigint,containment:double>>>")
+          "blocks:array<struct<label:string,start:bigint,end:bigint,containment:double,inside:boolean>>>")
 _RESULT = pa.struct([
     ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string()),
     ("labels", pa.string()), ("score", pa.float64()),
-    ("blocks", pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("containment", pa.float64())])))])
+    ("blocks", pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("containment", pa.float64()), ("inside", pa.bool_())])))])
 
 
 def words_of(text: str) -> list[str]:
@@ -144,17 +146,18 @@ def build_index(docs: DataFrame, text_col: str = "text", templates=TEMPLATES, ph
     return Index(hashes[order], np.array([rank[words[j]] for j in order], np.int64), built, fixed, rare)
 
 
-def matching_blocks(at: np.ndarray, token: np.ndarray, count: int, index: Index) -> list[tuple[str, int, int, float]]:
-    """Blocks of a text that hold a template: (label, first word, last word + 1, containment).
+def matching_blocks(at: np.ndarray, token: np.ndarray, count: int, index: Index) -> list[tuple[str, int, int, float, bool]]:
+    """All blocks of a text that hold a template: (label, first word, last word + 1, containment, inside).
 
     For a template of w words the blocks are the runs of 2 w words that begin at multiples of w (the last
-    one shorter), so every stretch of w words lies in one. A block says nothing more, and is left out, if a
-    template that has all its template's words matches in an overlapping block, and too few words stand
-    outside that notice. ``at``, ``token``: word numbers in the
-    text and vocabulary numbers of its vocabulary words.
+    one shorter), so every stretch of w words lies in one. ``inside`` tells that the block says nothing more
+    than a larger notice: a template that has all its template's words matches in an overlapping block, and too
+    few words stand outside that notice. ``at``, ``token``: word numbers in the text and vocabulary numbers of
+    its vocabulary words, in order. The work is linear in the text: a block meets a bounded number of others.
     """
-    found, matched = [], []
+    found: list[list[tuple[int, int, float]]] = []  # by template, in order
     for template in index.templates:
+        found.append([])
         member = np.isin(token, template.tokens)
         where, which = at[member], token[member]
         if len(np.unique(which)) < template.needed:  # length filter, over the whole text first
@@ -169,42 +172,60 @@ def matching_blocks(at: np.ndarray, token: np.ndarray, count: int, index: Index)
             # Positional filter: the rarest shared word is the i-th of the template, so i words are missing.
             if len(inside) < template.needed or len(template.tokens) - template.tokens.index(int(inside[0])) < template.needed:
                 continue
-            found.append((template.label, start, end, len(inside) / len(template.tokens)))
-            matched.append(template)
-    kept = []
-    for block, template in zip(found, matched):
-        _, start, end, _ = block
-        larger = [(other, by) for other, by in zip(found, matched)
-                  if set(template.tokens) < set(by.tokens) and other[1] < end and start < other[2]]
-        if larger:
-            taken = np.concatenate([_notice_places(at, token, other[1], other[2], by) for other, by in larger])
-            own = (at >= start) & (at < end) & np.isin(token, template.tokens) & ~np.isin(at, taken)
-            if len(np.unique(token[own])) < template.needed:
-                continue
-        kept.append(block)
-    return kept
-
-
-def _notice_places(at: np.ndarray, token: np.ndarray, start: int, end: int, template: Template) -> np.ndarray:
+            found[-1].append((start, end, len(inside) / len(template.tokens)))
+    larger = [[j for j, other in enumerate(index.templates) if found[j] and set(template.tokens) < set(other.tokens)] for template in index.templates]
+    places: dict[tuple[int, int], np.ndarray] = {}
+    blocks = []
+    for i, template in enumerate(index.templates):
+        for start, end, containment in found[i]:
+            taken = []
+            for j in larger[i]:
+                width = index.templates[j].width
+                first = bisect_left(found[j], (start - 2 * width + 1,))
+                for k in range(first, len(found[j])):
+                    if found[j][k][0] >= end:
+                        break
+                    if found[j][k][1] > start:
+                        if (j, k) not in places:
+                            a, b = np.searchsorted(at, found[j][k][:2])
+                            places[j, k] = _notice_places(at[a:b], token[a:b], index.templates[j])
+                        taken.append(places[j, k])
+            inside = False
+            if taken:
+                a, b = np.searchsorted(at, [start, end])
+                own = np.isin(token[a:b], template.tokens) & ~np.isin(at[a:b], np.concatenate(taken))
+                inside = len(np.unique(token[a:b][own])) < template.needed
+            blocks.append((template.label, start, end, containment, inside))
+    return blocks
+
+
+def _notice_places(at: np.ndarray, token: np.ndarray, template: Template) -> np.ndarray:
     """Where the notice itself stands in a block: the shortest stretches with all of the block's template words.
 
     Of the shortest ones those that follow the template's order best: a stretch that begins with the last words
     of another notice may be as short.
     """
-    member = (at >= start) & (at < end) & np.isin(token, template.tokens)
+    member = np.isin(token, template.tokens)
     where, which = at[member].tolist(), token[member].tolist()
-    distinct, ranked = len(set(which)), []
+    distinct, inside, j = len(set(which)), Counter(), 0
+    stretches = []
     for i, first in enumerate(where):
-        seen: set[int] = set()
-        for j in range(i, len(where)):
-            seen.add(which[j])
-            if len(seen) == distinct:
-                places = [w - first for w in where[i : j + 1]]
-                equal = sum(p < template.width and template.sequence[p] == t for p, t in zip(places, which[i : j + 1]))
-                ranked.append((where[j] - first, -equal, first))
-                break
-    best = min(ranked)[:2]
-    return np.unique(np.concatenate([np.arange(first, first + best[0] + 1) for *rank, first in ranked if tuple(rank) == best]))
+        while j < len(where) and len(inside) < distinct:
+            inside[which[j]] += 1
+            j += 1
+        if len(inside) < distinct:
+            break
+        stretches.append((where[j - 1] - first, i, j))
+        inside[which[i]] -= 1
+        if not inside[which[i]]:
+            del inside[which[i]]
+    least, ranked = min(stretches)[0], []
+    for length, i, j in stretches:
+        if length == least:
+            equal = sum(w - where[i] < template.width and template.sequence[w - where[i]] == t for w, t in zip(where[i:j], which[i:j]))
+            ranked.append((-equal, where[i]))
+    best = min(ranked)[0]
+    return np.unique(np.concatenate([np.arange(first, first + least + 1) for equal, first in ranked if equal == best]))
 
 
 def phrase_places(at: np.ndarray, token: np.ndarray, index: Index) -> list[tuple[int, str]]:
@@ -234,11 +255,11 @@ def _scan(index: Index, column: pa.Array) -> pa.Array:
             places = phrase_places(here, which, index)
             blocks = matching_blocks(here, which, count, index)
             base = sorted({label for _, label in places})
-            labels = sorted({*base, *(block[0] for block in blocks)})
+            labels = sorted({*base, *(block[0] for block in blocks if not block[4])})
             starts = [s for s, _ in places]
             rows.append((count, len(places), min(starts, default=None), max(starts, default=None), ",".join(base), ",".join(labels),
                          1.0 if places else max((block[3] for block in blocks), default=0.0),
-                         [dict(zip(("label", "start", "end", "containment"), block)) for block in blocks]))
+                         [dict(zip(("label", "start", "end", "containment", "inside"), block)) for block in blocks]))
     names = [f.name for f in _RESULT]
     return pa.array([dict(zip(names, row)) for row in rows], _RESULT)
 
@@ -247,11 +268,13 @@ def license_notices(docs: DataFrame, text_col: str = "text", index: Index | None
     """``docs`` with a struct column ``license``.
 
     n_words; n_base, first_word, last_word (places where a fixed phrase's words stand consecutively, and their
-    smallest and largest start); base_labels and labels (of the phrases; of the matching blocks as well);
-    score (1 with a phrase, else the best containment, 0 without a match); blocks (label, start, end,
-    containment: every block of words that holds THRESHOLD or more of a template's distinct words).
+    smallest and largest start); base_labels and labels (of the phrases; of the matching blocks as well, but for
+    those inside a larger notice); score (1 with a phrase, else the best containment, 0 without a match); blocks
+    (label, start, end, containment, inside: every block of words that holds THRESHOLD or more of a template's
+    distinct words, and whether a larger notice there explains it).
 
-    Texts are read whole. A null or empty text has no word and no label. A column named license is replaced.
+    Texts are read whole, in time linear in their length. Repeated rows each get their result. A null or empty
+    text has no word and no label; an empty table gives an empty table. A column named license is replaced.
     """
     built = build_index(docs, text_col) if index is None else index
 
