@@ -1,6 +1,7 @@
 import random
 import re
 import string
+import time
 
 import pytest
 
@@ -22,6 +23,7 @@ def brute(text):
 
 RNG = random.Random(3)
 RANDOM = ["".join(RNG.choice(string.ascii_letters + string.digits) for _ in range(40)) for _ in range(6)]
+LETTERS = "".join(RNG.choice(string.ascii_lowercase) for _ in range(40))
 TEXTS = [
     None, "", "nothing here", "password=abc", "password = 'abcdefghijkl'", "PassWord:abcdefghijklm tail", "my_api_key=ABCDEFGHIJKLMNOP",
     "apikey : \"aaaa.bbbb=cccc\"", "paſſword=abcdefghijklmnop", "toKen=abcdefghijklmnop", "token==abcdefghijkl1234",
@@ -41,14 +43,14 @@ def test_base_spans_equal_the_plain_patterns(spark):
 
 def test_incompressible_strings_in_sensitive_places(spark):
     hidden = [f"The bearer {RANDOM[0]} was sent", f"set private-key to {RANDOM[1]} now", f"credential\t{RANDOM[2]}"]
-    plain = ["the bearer of the thousandandoneplates", f"an ordinary identifier {RANDOM[3]}", "credential " + "abc123" * 8,
-             f"{RANDOM[4]} is repeated, {RANDOM[4]}, so the bearer {RANDOM[4]} says nothing new"]
+    hidden += [f"{RANDOM[4]} is repeated, {RANDOM[4]}, so the bearer {RANDOM[4]} is found", f"the token {LETTERS} of letters"]
+    plain = ["the bearer of the thousandandoneplates", f"an ordinary identifier {RANDOM[3]}", "credential " + "abc123" * 8]
     shared = [f"example {i}: use the bearer {RANDOM[5]} here" for i in range(8)]
     rows = [(i, t, None) for i, t in enumerate(hidden + plain + shared)]
     found = {r["doc_id"]: [r["text"][s["start"]:s["end"]] for s in r["secret_spans"] if s["kind"] == "novel"]
              for r in X.secret_spans(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert [found[i] for i in range(3)] == [[RANDOM[0]], [RANDOM[1]], [RANDOM[2]]]
-    assert all(found[i] == [] for i in range(3, len(rows)))
+    assert [found[i] for i in range(5)] == [[RANDOM[0]], [RANDOM[1]], [RANDOM[2]], [RANDOM[4]], [LETTERS]]
+    assert all(found[i] == [] for i in range(5, len(rows)))
 
 
 @pytest.mark.parametrize("before", [
@@ -89,7 +91,7 @@ def test_copies_and_near_copies_keep_their_secret(spark):
 def test_known_strings_do_not_depend_on_the_size(spark):
     def known(n):
         texts = [f"text {i}: the bearer {RANDOM[0]} and token {'ab' * 200}{i}cdefgh" for i in range(n)] + [f"text {i}" for i in range(n // 2)]
-        return X.known_strings(spark.createDataFrame([(0, t, None) for t in texts], SCHEMA))
+        return X.learn(spark.createDataFrame([(0, t, None) for t in texts], SCHEMA)).known
     assert known(10) == known(6_000) == {X.digest(RANDOM[0])}
 
 
@@ -113,3 +115,56 @@ def test_empty_table(spark):
 def test_joined_form(spark, text):
     row = X.secret_spans(spark.createDataFrame([(1, text, "")], SCHEMA)).select(X.joined("secret_spans").alias("spans")).first()
     assert row["spans"] == ",".join(f"{k}:{a}:{b}" for k, a, b in brute(text))
+
+
+def code_corpus():
+    """Code with its own identifiers, one of which often stands beside a sensitive word; and three secrets, copied and repeated."""
+    lines = [f"def loadCustomerProfile(self): return self.customerProfileCache.get(customer_{i}) if ready() else None;" for i in range(40)]
+    texts = [f"{line}\n# module {i}" for i, line in enumerate(lines)]
+    texts += [f"token for customerProfileCache and loadCustomerProfile, see page {i}" for i in range(4)]
+    secret = [f"{line}\nbearer {RANDOM[0]}" for line in lines[:3]] * 4 + [f"access key\t{RANDOM[1]} then {RANDOM[1]} again"] + [f"the credential {RANDOM[2]}"] * 9
+    return texts, secret + [f"{RANDOM[0]} stands alone here {i}" for i in range(30)]
+
+
+def test_dictionaries_prime_the_measure(spark):
+    import zstandard
+
+    texts, secret = code_corpus()
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts + secret)], SCHEMA).repartition(3)
+    knowledge = X.learn(docs)
+    assert b"loadCustomer" not in knowledge.identifiers and b"Customer" in knowledge.identifiers and b"ready()" in knowledge.code
+    words = (knowledge.code + b" " + knowledge.identifiers).split()
+    assert max(map(len, words)) < 12 and not any(k.encode() in knowledge.code + knowledge.identifiers for k in RANDOM)
+    found = {r["doc_id"]: r for r in X.secret_spans(docs, knowledge=knowledge).collect()}
+    spans = {i: [r["text"][s["start"]:s["end"]] for s in r["secret_spans"] if s["kind"] == "novel"] for i, r in found.items()}
+    assert all(spans[i] == [] for i in range(len(texts)))  # shared identifiers cost little
+    n = len(texts)
+    assert [spans[n + i] for i in range(12)] == [[RANDOM[0]]] * 12 and spans[n + 12] == [RANDOM[1]] * 2
+    assert [spans[n + 13 + i] for i in range(9)] == [[RANDOM[2]]] * 9 and all(spans[n + 22 + i] == [] for i in range(30))
+    # The measure once more, plainly.
+    content = zstandard.ZstdCompressionDict(knowledge.code + b" " + knowledge.identifiers, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    plain = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(
+        6, write_content_size=False, write_checksum=False, write_dict_id=False), dict_data=content)
+    measure, bare = X.Novelty(knowledge), X.Novelty()
+    for text in (texts[40], secret[0], "the token customerProfileCache"):
+        for start, end in X.candidates(text):
+            rest = (text[max(0, start - 256):start] + "\n" + text[end:end + 256] + "\n").encode()
+            cost = len(plain.compress(rest + text[start:end].encode())) - len(plain.compress(rest))
+            assert measure.marginal_bytes(text, start, end) == cost
+    text = "the token customerProfileCache"
+    assert measure.marginal_bytes(text, 10, 30) < bare.marginal_bytes(text, 10, 30)
+
+
+def test_dictionaries_have_a_fixed_size(spark, monkeypatch):
+    monkeypatch.setattr(X, "DICTIONARY_BYTES", 60)
+    texts = [f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} common" for i in range(900)]
+    knowledge = X.learn(spark.createDataFrame([(0, t, None) for t in texts * 5], SCHEMA))
+    assert len(knowledge.identifiers) <= 60 and knowledge.identifiers.endswith(b"common")
+
+
+def test_a_megabyte_of_assignments_takes_seconds():
+    text = " ".join(f"token{i}: abcdefghijkl{i:08d}Zz" if i % 2 else f"password={i:032d}" for i in range(28_000))
+    began = time.process_time()
+    spans = X.base_spans(text)
+    X.novel_spans(text, X.Novelty(), spans)
+    assert len(text) > 900_000 and time.process_time() - began < 30
