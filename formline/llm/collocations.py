@@ -23,7 +23,7 @@ from formline.operators.layout import numbered, remove_scratch, stored
 LEAST, LONGEST, TOP = 30, 4, 2_000
 UNKNOWN = "und"
 # Words of a block, and distinct n-grams that a bucket is meant to hold.
-BLOCK_WORDS, BUCKET_GRAMS = 1 << 20, 1 << 20
+BLOCK_WORDS, BUCKET_GRAMS = 1 << 19, 1 << 19
 # Texts are cut into words in stretches of about so many bytes.
 STRETCH = 1 << 22
 END = b"\xff"  # no text holds this byte: the end of a piece
