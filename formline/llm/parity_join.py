@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from formline.llm.components import connected_components
 from formline.llm.texts import mix, sets_of_batch
-from formline.operators.layout import remove_scratch, stored
+from formline.operators.layout import remove_scratch, stored, unused_name
 
 WIDTH = 5
 # Similarity 3/4: two sets link when 100 * common >= 75 * united.
@@ -312,8 +312,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     members = _members(docs, width)
     least = members.filter("label is not null").groupBy("label").agg(F.min("id").alias("least"))
-    named = members.join(least, "label", "left")
-    own = F.when(F.col("id").isNotNull(), F.coalesce("least", "id"))
+    # Rows without a label find nothing; their keys are spread, so that they do not meet in one task.
+    spread = F.coalesce("label", F.xxhash64("id"))
+    named = members.join(least.withColumnRenamed("label", "_group"), spread == F.col("_group"), "left")
+    own = F.when(F.col("id").isNotNull(), F.when(F.col("label").isNotNull(), F.coalesce("least", "id")).otherwise(F.col("id")))
     return named.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
@@ -340,8 +342,9 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
                 yield pa.array([[len(x), fingerprint(x)[0] if len(x) else 0] for x in sets_of_batch(column, width)], pa.list_(pa.int64()))
 
     single = single.join(repeated, own == repeated["id"], "left_anti")
-    several = docs.join(repeated, own == repeated["id"], "left_semi").withColumn("_pj", told(F.col(f"`{text_col}`")))
-    empty = several.filter(F.col("_pj")[0] == 0).drop("_pj")
-    several = several.filter(F.col("_pj")[0] > 0).withColumn("_pj", F.col("_pj")[1])
-    several = several.join(gone, (own == gone["id"]) & (F.col("_pj") == gone["fp"]), "left_anti")
-    return single.unionByName(empty).unionByName(several.dropDuplicates([id_col, "_pj"]).drop("_pj"))
+    mark = unused_name(docs, "_pj")
+    several = docs.join(repeated, own == repeated["id"], "left_semi").withColumn(mark, told(F.col(f"`{text_col}`")))
+    empty = several.filter(F.col(mark)[0] == 0).drop(mark)
+    several = several.filter(F.col(mark)[0] > 0).withColumn(mark, F.col(mark)[1])
+    several = several.join(gone, (own == gone["id"]) & (F.col(mark) == gone["fp"]), "left_anti")
+    return single.unionByName(empty).unionByName(several.dropDuplicates([id_col, mark]).drop(mark))
