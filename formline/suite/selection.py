@@ -6,7 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from formline import fixed_values as fv
-from formline.operators import enrich, ranking, reshape
+from formline.operators import enrich, ranking, reshape, sketches
+from formline.operators.layout import stored
 from formline.plans import selection as plans
 from formline.sources.readers import distinct_seasons as seasons_of
 from formline.suite.adapters import YEAR_LABEL_SQL, in_year, order_day, order_logs, year_label
@@ -258,3 +259,17 @@ def player_profiles(t: Tables):
     even = F.col("PERSON_ID") % 2 == 0
     info = plans.normalise_player_info([profiles.filter(even), profiles.filter(~even)])
     return publish(info.select("PLAYER_ID", "PLAYER_NAME", "DRAFT_ROUND", "DRAFT_PICK", "COUNTRY"))
+
+
+@query("sketched_profile", """
+SELECT count(*) AS rows, CAST(1 AS BIGINT) AS players_within_bound, CAST(1 AS BIGINT) AS games_within_bound, count(DISTINCT o_custkey) AS players,
+  count(DISTINCT o_orderkey) AS games FROM orders""")
+def sketched_profile(t: Tables):
+    """Distinct players and games from one stored sketch per season, merged, beside the exact counts."""
+    logs = order_logs(t)
+    stored_sketches = stored(sketches.season_sketches(logs, ["PLAYER_ID", "GAME_ID"]), "sketches")
+    exact = logs.agg(F.count_distinct("PLAYER_ID").alias("players"), F.count_distinct("GAME_ID").alias("games"))
+    both = sketches.merged(stored_sketches).crossJoin(F.broadcast(exact))  # one row each
+    return publish(both.select(
+        "rows", sketches.within_bound(F.col("distinct_PLAYER_ID"), F.col("players")).alias("players_within_bound"),
+        sketches.within_bound(F.col("distinct_GAME_ID"), F.col("games")).alias("games_within_bound"), "players", "games"))

@@ -10,6 +10,7 @@ from formline.operators import enrich, refresh, split
 from formline.operators import series as S
 from formline.operators.checks import wide_to_long
 from formline.operators.layout import find_hot_groups, scratch_path, stored
+from formline.sources.tables import write_by_entity
 from formline.sources.writers import write_features
 from formline.suite.adapters import (
     CODES_SQL, CUTOFF_SQL, GAMES_SQL, LOGS_SQL, LOGS_WITH_LINES_SQL, YEAR_LABEL_SQL, order_logs, order_logs_with_lines, player_games,
@@ -117,6 +118,16 @@ def all_time_series_features(t: Tables):
     return publish(result, **feature_digits(result.columns), **totals)
 
 
+@query("bucketed_features", logs_sql(rolling_sql("PTS") + history_sql("PTS", "season") + lag_sql("PTS")))
+def bucketed_features(t: Tables):
+    """Window features and a join by entity on tables laid out by it: no second stage shuffles."""
+    logs = write_by_entity(order_logs(t), scratch_path(t.spark, "by-entity"), buckets=8)
+    listed = S.rolling_features(["PTS"], WINDOWS) + S.min_max_features(["PTS"], ["season"]) + S.lag_features(["PTS"])
+    found = S.add_features(logs, listed, hot=None).withColumns(S.change_columns(["PTS"]))
+    result = features_only(found)
+    return publish(result, **feature_digits(result.columns))
+
+
 WHOLE_SQL = f'whole AS (SELECT {KEYS}, "GAME_DATE", ' + ",\n  ".join(all_feature_columns()) + " FROM wide_logs)"
 
 

@@ -129,3 +129,32 @@ def test_partitioned_writes_have_few_files(spark, tmp_path):
     writers.write_features(frame, str(tmp_path / "out"), ["SEASON"])
     assert len(list((tmp_path / "out").glob("SEASON=*/*.parquet"))) <= 8
     assert readers.read_features(spark, str(tmp_path / "out")).count() == 4000
+
+
+def test_tables_by_entity_need_no_second_shuffle(spark, tmp_path):
+    from formline.operators import series as S
+    from formline.sources.tables import write_by_entity
+
+    rows = spark.range(3_000).selectExpr("id % 50 as PLAYER_ID", "id as GAME_ID", "date_add(date'2020-01-01', cast(id as int)) as GAME_DATE", "'s' as SEASON", "id * 1.5 as PTS")
+    logs = write_by_entity(rows, str(tmp_path / "logs"), buckets=4)
+    lookup = write_by_entity(rows.groupBy("PLAYER_ID").agg(F.max("PTS").alias("most")), str(tmp_path / "lookup"), order=[], buckets=4)
+    result = S.add_features(logs, S.rolling_features(["PTS"], [5]) + S.min_max_features(["PTS"]), hot=None).join(lookup.hint("merge"), "PLAYER_ID")
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" in plan and "SortMergeJoin" in plan
+    want = S.add_features(rows, S.rolling_features(["PTS"], [5]) + S.min_max_features(["PTS"]), hot=None)
+    assert sorted(map(tuple, result.drop("most").select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sketches_of_seasons_merge(spark):
+    from formline.operators import sketches
+
+    rows = spark.range(60_000).selectExpr("id % 7000 as PLAYER_ID", "id as GAME_ID", "cast(id % 5 as string) as SEASON", "date_add(date'2020-01-01', cast(id % 900 as int)) as GAME_DATE")
+    by_season = sketches.season_sketches(rows, ["PLAYER_ID", "GAME_ID"])
+    whole = sketches.merged(by_season)
+    assert whole.columns == ["rows", "min_date", "max_date", "distinct_PLAYER_ID", "distinct_GAME_ID"]
+    found = whole.select("rows", sketches.within_bound(F.col("distinct_PLAYER_ID"), F.lit(7_000)), sketches.within_bound(F.col("distinct_GAME_ID"), F.lit(60_000))).first()
+    assert tuple(found) == (60_000, True, True)
+    # The same as one sketch of everything, as sketches merge without loss.
+    at_once = sketches.merged(sketches.season_sketches(rows.withColumn("SEASON", F.lit("all")), ["PLAYER_ID", "GAME_ID"])).first()
+    assert abs(at_once["distinct_GAME_ID"] / whole.first()["distinct_GAME_ID"] - 1) < sketches.ERRORS * sketches.STANDARD_ERROR
+    assert sketches.merged(by_season, ["SEASON"]).count() == 5
