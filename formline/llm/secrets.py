@@ -218,7 +218,9 @@ def learn(docs: DataFrame, text_col: str = "text") -> Knowledge:
     written = {}
     for name in WORDS:
         chosen, size = [], 0
-        for row in words.filter(F.col("dictionary") == name).orderBy(*best).limit(DICTIONARY_BYTES // 3).select("word").collect():
+        # Stored first: a task picks the best, and the driver gets no more than these.
+        top = stored(words.filter(F.col("dictionary") == name).orderBy(*best).limit(DICTIONARY_BYTES // 3), "dictionary")
+        for row in top.orderBy(*best).select("word").collect():
             size += len(row["word"]) + 1
             if size > DICTIONARY_BYTES:
                 break
