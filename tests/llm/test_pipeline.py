@@ -100,5 +100,5 @@ def test_empty_documents(spark, tmp_path):
 
 def test_registered_queries():
     names = set(driver.queries())
-    assert {"pipeline"} <= names and sorted(n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()) == sorted(f"op{i}" for i in range(1, 11))
+    assert {"pipeline"} <= names and sorted(n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()) == sorted(f"op{i}" for i in range(1, 14))
     assert curriculum.CAP == 2 and language.UNKNOWN == "und" and secrets.KINDS[:3] == ("assign", "access", "hex")
