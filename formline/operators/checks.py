@@ -163,7 +163,7 @@ def unique_by(df: DataFrame, keys: Sequence[str], name: str = "lookup") -> DataF
     """
     others = [column for column in df.columns if column not in keys]
     shown = F.concat_ws(", ", *[F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("NULL")) for key in keys])
-    message = F.concat(F.lit(f"{name} contains duplicate {', '.join(keys)} values: "), shown)
+    message = F.concat(F.lit(f"{name} has more than one row for {', '.join(keys)} "), shown)
     one = df.groupBy(*[F.col(f"`{key}`") for key in keys]).agg(
         F.count(F.lit(1)).alias("_rows"), F.any_value(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others])).alias("_row"))
     checked = F.when(F.col("_rows") == 1, F.col("_row")).otherwise(F.raise_error(message).cast(one.schema["_row"].dataType))
@@ -176,7 +176,7 @@ def require_unique(df: DataFrame, keys: Sequence[str], name: str = "lookup") ->
     offending = duplicate_groups(df, keys).limit(5).collect()
     if offending:
         values = [tuple(row[key] for key in keys) for row in offending]
-        raise ValueError(f"{name} contains duplicate {', '.join(keys)} values: {values}")
+        raise ValueError(f"{name} has more than one row for {', '.join(keys)}, e.g. {values}")
 
 
 def require_no_duplicates(df: DataFrame, keys: Sequence[str] = GAME_KEY) -> None:

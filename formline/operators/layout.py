@@ -44,11 +44,14 @@ def same_values(left: Sequence[str], right: Sequence[str]) -> Column:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    A session without the setting gets one inside its warehouse, which all executors reach as well.
+    A session without the setting gets one inside its warehouse. On a cluster that has to be a place all
+    executors reach: a warehouse in a local folder is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        if root.startswith(("/", "file:")) and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"Name a folder that all executors reach in spark.checkpoint.dir; {root} is on the driver's machine.")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from formline import fixed_values as fv
 from formline.functions import columns as C
-from formline.operators import checks, enrich, series
+from formline.operators import checks, enrich, series, violations
 from formline.operators.layout import find_hot_groups
 from formline.operators.series import GAME_KEYS, SeriesKeys
 
@@ -97,6 +97,19 @@ def build_full_features(
     return advanced_metrics(_player_columns(joined, features, keys, positions))
 
 
+def write_full_features(
+    features: DataFrame,
+    opponent_defense: DataFrame,
+    path: str,
+    codes: DataFrame | Mapping[str, int] = fv.TEAM_CODES,
+    keys: SeriesKeys = GAME_KEYS,
+    positions: Sequence[str] | None = None,
+) -> DataFrame:
+    """Build, check and write the full feature table by season in one job; returns the report, or raises and writes nothing."""
+    build = lambda base: build_full_features(base, opponent_defense, codes, keys, positions)
+    return violations.write_checked(features, build, path, [keys.season], keys=(keys.entity, keys.tiebreak))
+
+
 def validate_full_features(base: DataFrame, full: DataFrame, keys: Sequence[str] = checks.GAME_KEY) -> DataFrame:
     """Raise on lost or doubled rows and unmapped opponents; otherwise the report.
 

@@ -66,7 +66,7 @@ def test_player_info_join(spark):
     merged = {(r["PLAYER_ID"], r["GAME_ID"]): (r["PTS"], r["HEIGHT"], r["POSITION"]) for r in enrich.join_player_info(logs, info).collect()}
     assert merged == {(31, 1): (5, "7-0", "Center"), (32, 1): (6, "5-11", None), (31, 2): (7, "7-0", "Center")}
     twice = enrich.join_player_info(logs, info.unionByName(info.filter("PLAYER_ID = 31")))  # builds without a job
-    with pytest.raises(Exception, match="player_info contains duplicate PLAYER_ID values: 31"):
+    with pytest.raises(Exception, match="player_info has more than one row for PLAYER_ID 31"):
         twice.collect()
     assert enrich.already_enriched(logs, ["PTS"]) and not enrich.already_enriched(logs)
     info = info.filter("PLAYER_ID < 40").fillna("none")

@@ -1,6 +1,7 @@
 from pathlib import Path
 from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from formline.operators import layout
@@ -13,6 +14,14 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert layout.scratch_path(named, "blocks").startswith("hdfs:///shared/blocks-")
     unset = session(**{"spark.sql.warehouse.dir": "hdfs:///warehouse"})
     assert layout.scratch_path(unset, "blocks").startswith("hdfs:///warehouse/_scratch/blocks-")
+    for master, fits in (("local[4]", True), ("yarn", False)):
+        own = session(**{"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"})
+        own.sparkContext = SimpleNamespace(master=master)
+        if fits:
+            assert layout.scratch_path(own, "blocks").startswith("file:/home/me/spark-warehouse/_scratch/blocks-")
+        else:
+            with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+                layout.scratch_path(own, "blocks")
 
 
 def test_scratch_can_be_removed(spark):
