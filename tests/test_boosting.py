@@ -106,6 +106,12 @@ def test_constant_missing_and_absent_targets(spark):
         fitted(spark, data, Boosting(bins=255))
 
 
+def test_a_share_of_rows_with_many_columns_is_planned(spark):
+    frame = spark.range(3_000).selectExpr(*[f"cast(id % {i + 2} as double) as f{i}" for i in range(32)])
+    edges = B.bin_edges(frame, frame.columns, 4, 1_000)  # the optimizer ran out of memory over 2^32 conditions
+    assert [len(e) for e in edges[:3]] == [2, 3, 4] and all(0 < len(e) <= 4 for e in edges)
+
+
 def test_bins_of_large_tables_come_from_a_share_of_the_rows(spark):
     frame = spark.range(20_000).selectExpr("cast(id as double) as a")
     few, all_rows = (B.bin_edges(frame, ["a"], 10, n)[0] for n in (2_000, 10**6))
