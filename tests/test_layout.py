@@ -58,6 +58,14 @@ def test_hot_groups_and_blocks(spark):
         assert len({b for _, b in mine}) > 1
 
 
+def test_tasks_follow_the_rows_and_not_the_blocks(spark):
+    frame = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id").alias("o"))
+    blocks = layout.cut_blocks(frame, layout.find_hot_groups(frame, ["k"], 20), [F.col("o")])
+    assert len(blocks.inputFiles()) <= spark.sparkContext.defaultParallelism  # there were 150
+    sizes = [r["count"] for r in blocks.groupBy(layout.BLOCK).count().collect()]
+    assert len(sizes) >= 150 and max(sizes) <= 20
+
+
 def test_blocked_plan_has_no_cross_join_and_no_python(spark):
     frame = spark.range(2000).select(
         (F.col("id") % 2).alias("PLAYER_ID"), F.col("id").alias("GAME_ID"), F.lit("2024-01-01").cast("date").alias("GAME_DATE"),
