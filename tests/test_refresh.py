@@ -2,6 +2,7 @@
 
 import random
 from datetime import date, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from formline.operators import refresh
 from formline.operators import series as S
 from formline.operators.violations import BrokenRules
 from formline.sources import writers
+from formline.suite import series as queries
 
 SCHEMA = "PLAYER_ID int, GAME_ID int, GAME_DATE date, SEASON string, PTS double, REB int"
 
@@ -72,3 +74,19 @@ def test_only_touched_seasons_are_written_again(spark, tmp_path):
     refresh.refresh_features(new, path, str(tmp_path / "kept"), ["PTS"], [5])  # run again with the old state: rows are replaced
     assert files("2020-x") == before
     assert as_rows(spark.read.parquet(path), whole.columns) == as_rows(whole, whole.columns)
+
+
+def test_the_query_joins_the_lines_once(spark, monkeypatch):
+    seen = []
+
+    def label_split(df, *rest):
+        seen.append(df.inputFiles())
+        raise InterruptedError
+
+    monkeypatch.setattr(queries.split, "label_split", label_split)
+    day = F.lit("1995-03-01 00:00:00").cast("timestamp_ntz").alias("o_orderdate")
+    orders = spark.range(5).select(F.col("id").alias("o_custkey"), F.col("id").alias("o_orderkey"), day, F.lit(1.5).alias("o_totalprice"))
+    lines = spark.range(9).select((F.col("id") % 5).alias("l_orderkey"), F.lit(2.0).alias("l_quantity"))
+    with pytest.raises(InterruptedError):
+        queries.refresh_features(SimpleNamespace(spark=spark, orders=orders, lineitem=lines))
+    assert seen[0] and all("/logs-" in file for file in seen[0])
