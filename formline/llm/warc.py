@@ -19,6 +19,8 @@ from formline.operators.layout import scratch_path, stored
 # An archive is closed once it holds this many bytes; it is read as one row, so this bounds a reader's row.
 ARCHIVE_BYTES = 16 << 20
 READ_BYTES = 1 << 16
+# The manifest rows of so many tasks make one file. Every file starts processes where Hadoop sets its mode by chmod.
+TASKS_PER_FILE = 64
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 GZIP_LEVEL = 4
@@ -111,7 +113,9 @@ def write_archives(pages: DataFrame, folder: str, min_payload: int = 0, archive_
     rows = rows.join(groups, "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.col("size") >= min_payload)
     rows = rows.select("page_id", "url", "html", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
-    return stored(rows.mapInArrow(_store(folder, archive_bytes), "file string, records long, bytes long"), "manifest")
+    listed = rows.mapInArrow(_store(folder, archive_bytes), "file string, records long, bytes long")
+    # All rows of a task go to one reader, which takes them from one attempt, though a second one has other names.
+    return stored(listed.repartition(F.floor(F.spark_partition_id() / TASKS_PER_FILE)), "manifest")
 
 
 class _Stream:

@@ -54,6 +54,30 @@ def test_archives_are_plain_warc_files(spark, tmp_path):
     assert W.read_archives(spark, folder).count() == len(rows()) + 1
 
 
+@pytest.fixture
+def many_tasks(spark):
+    tasks = W.TASKS_PER_FILE + 6
+    held = {"spark.sql.shuffle.partitions": str(tasks), "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in held}
+    for name, value in held.items():
+        spark.conf.set(name, value)
+    yield tasks
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_manifest_of_many_tasks_is_few_files(spark, tmp_path, many_tasks):
+    folder = f"file://{tmp_path}/out"
+    data = [(i, f"u{i}", f"<p>{i % 500}</p>", "") for i in range(1_000)]
+    manifest = W.write_archives(spark.createDataFrame(data, SCHEMA), folder)
+    listed = [r["file"] for r in manifest.collect()]
+    assert len(manifest.inputFiles()) <= 3 < W.TASKS_PER_FILE < len(listed) <= many_tasks  # one may be empty
+    assert len(listed) == len(set(listed)) and set(listed) == {f.name for f in (tmp_path / "out").glob("*.gz")}
+    found = W.read_archives(spark, folder, manifest, with_payload=False).collect()
+    assert sorted((r["page_id"], r["refers_to"]) for r in found if r["refers_to"]) == [(i, i + 500) for i in range(500)]
+    assert len(found) == len(data)
+
+
 def test_damage_is_noticed():
     good = W.record(1, "u", b"hello world", None, False)
     assert [r["payload"] for r in W.records(memoryview(good + good))] == [b"hello world"] * 2
