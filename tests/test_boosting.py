@@ -121,6 +121,25 @@ def test_bins_of_large_tables_come_from_a_share_of_the_rows(spark):
     assert B.coded(np.array([np.nan, 1e9]), few, 11).tolist() == [11, 10]
 
 
+def test_bins_of_large_tables_come_from_all_rows(spark):
+    rng = random.Random(5)
+    draw = lambda: rng.choice([None, math.nan, math.inf, -math.inf, -0.5, 7.0, *[rng.gauss(0, 1) for _ in range(9)]])
+    data = [(draw(), rng.randrange(3), float(i), None) for i in range(30_000)]
+    frame = spark.createDataFrame(data, "a double, b int, c double, none double").repartition(6)
+    small, large = (B.bin_edges(frame, frame.columns, 64, n) for n in (10**6, 2_000))
+    assert [e.tolist() for e in large] == [e.tolist() for e in small] and len(large[0]) > 40 and not len(large[3])
+    known = sorted(a for a, *_ in data if a is not None and not math.isnan(a))
+    assert large[0].tolist() == sorted({known[math.ceil(i * len(known) / 64) - 1] for i in range(1, 65)})
+    assert large[1].tolist() == [0, 1, 2] and large[2].tolist() == [math.ceil(i * 30_000 / 64) - 1 for i in range(1, 65)]
+
+
+def test_a_run_on_a_large_table_takes_its_thresholds_from_all_rows(spark):
+    data = rows(600)
+    small, large = (Boosting(rounds=2, depth=2, rate=0.5, bins=8, bin_rows=n) for n in (10**6, 100))
+    want = sorted((*r[:7], round(r[7], 9)) for r in plain_trees(data, small))
+    assert shown(fitted(spark, data, large)) == want == shown(fitted(spark, data, small))
+
+
 @pytest.fixture(scope="module")
 def saved(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("models"))
