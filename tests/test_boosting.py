@@ -97,6 +97,47 @@ def test_partitions_blocks_and_written_rounds_do_not_change_a_tree(spark, monkey
     assert shown(fitted(spark, data, p, parts=7)) == want
 
 
+def test_deep_trees_equal_a_plain_trainer(spark):
+    data, p = rows(150), Boosting(rounds=1, depth=8, rate=0.5, bins=5)
+    assert shown(fitted(spark, data, p)) == sorted((*r[:7], round(r[7], 9)) for r in plain_trees(data, p))
+
+
+def test_tasks_follow_the_rows_and_features_alone_or_in_pairs_make_the_same_trees(spark, monkeypatch):
+    data, p, made = rows(), Boosting(rounds=3, depth=3, rate=0.3, bins=16), []
+    want = shown(fitted(spark, data, p))
+    grow = B._grow_level
+    monkeypatch.setattr(B, "_grow_level", lambda blocks, *rest: made.append(blocks.getNumPartitions()) or grow(blocks, *rest))
+    monkeypatch.setattr(B, "TASK_ROWS", 20)
+    monkeypatch.setattr(B, "COUNTED_ROWS", 3)
+    monkeypatch.setattr(B, "PAIR_CELLS", 1)
+    assert shown(fitted(spark, data, p)) == want
+    assert set(made) == {24}  # 8 cores, 3 times 20 rows or fewer
+
+
+def test_below_the_root_only_smaller_children_are_counted():
+    rng = np.random.default_rng(4)
+    codes, residuals, missing = rng.integers(0, 6, (3, 500)).astype(np.uint8), rng.normal(size=(2, 500)), 5
+    residuals[1, ::7] = np.nan
+    blocks = [(n, codes[:, a : a + n].tobytes(), residuals[:, a : a + n].tobytes()) for a, n in ((0, 200), (200, 300))]
+    trees, slabs, above = [B.Tree(2), B.Tree(2)], [(0, 2), (2, 3)], []
+    for level in (0, 1):
+        counted = [payload for part in (0, 1) for payload in B._histograms(trees, level, slabs, missing)(part, iter(blocks[part : part + 1]))]
+        above = list(B._totals(trees, level, slabs, missing)(iter(sorted(above + counted))))
+        if level == 0:
+            for t, tree in enumerate(trees):
+                tree.feature[0], tree.edge[0], tree.missing_left[0] = t, 1 + 2 * t, t == 1
+                nodes = tree.reached(codes, 1, missing)
+                tree.rows[:3] = [(~np.isnan(residuals[t])).sum(), *[((nodes == n) & ~np.isnan(residuals[t])).sum() for n in (1, 2)]]
+    small = [np.frombuffer(payload)[4:].reshape(2, -1, 2, 1, 6) for _, payload in counted]
+    assert sum(x[1, 0, t].sum() for x in small[::2] for t in (0, 1)) == sum(min(tree.rows[1:3]) for tree in trees)
+    for (slab, _), payload in above:
+        a, b = slabs[slab]
+        sums, counts = np.frombuffer(payload)[4:].reshape(2, b - a, 2, 2, 6)
+        for f, t, node, code in np.ndindex(b - a, 2, 2, 6):
+            here = (trees[t].reached(codes, 1, missing) == node + 1) & (codes[a + f] == code) & ~np.isnan(residuals[t])
+            assert counts[f, t, node, code] == here.sum() and sums[f, t, node, code] == pytest.approx(residuals[t, here].sum())
+
+
 def test_constant_missing_and_absent_targets(spark):
     data = [(i, float(i), 1, None, None, 2.0, None) for i in range(10)]
     found = fitted(spark, data, Boosting(rounds=2, depth=2))
